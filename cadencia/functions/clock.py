@@ -36,21 +36,27 @@ def seconds_of_day(df: DataFrame, name: str) -> Column:
     col, kind = df[name], df.schema[name].dataType
     if isinstance(kind, T.StringType):
         return clock_seconds(col)
+    if isinstance(kind, T.TimeType):
+        return F.call_function("time_diff", F.lit("SECOND"), F.expr("TIME '00:00:00'"), col).cast("int")
     return (F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)).cast("int")
 
 
+# The next functions name their argument once: an expression that repeats its input grows with every
+# layer the optimizer folds into it.
+
+
+def _interval(seconds: Column) -> Column:
+    return F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def clock_text(seconds: Column) -> Column:
-    text = F.format_string(
-        "%02d:%02d:%02d", F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60
-    )
-    return F.when(seconds.isNotNull(), text)
+    """Seconds since midnight to ``HH:mm:ss``, cut out of ``INTERVAL '0 HH:mm:ss' DAY TO SECOND``."""
+    return F.substring(_interval(seconds).cast("string"), 13, 8)
 
 
 def time_of_day(seconds: Column) -> Column:
     """Seconds since midnight to TIME."""
-    hour, minute = F.floor(seconds / 3600).cast("int"), (F.floor(seconds / 60) % 60).cast("int")
-    second = (seconds % 60).cast("decimal(16,6)")
-    return F.call_function("make_time", hour, minute, second)
+    return F.expr("TIME '00:00:00'") + _interval(seconds)
 
 
 def midnight(day: Column) -> Column:
@@ -59,7 +65,7 @@ def midnight(day: Column) -> Column:
 
 def instant(day: Column, seconds: Column) -> Column:
     """Date and seconds since midnight to one wall-clock timestamp."""
-    return midnight(day) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return midnight(day) + _interval(seconds)
 
 
 def stamp_text(stamp: Column) -> Column:

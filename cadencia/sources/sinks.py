@@ -26,7 +26,10 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Comma, UTF-8, header; quoted where a value needs it."""
-    csv_ready(df).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+    csv_ready(df).write.mode("overwrite").csv(
+        path, header=True, escape='"', emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def output_path(root: str, table: str, raw_name: str) -> str:
