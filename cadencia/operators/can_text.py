@@ -80,10 +80,9 @@ NUMERIC_FIELDS = tuple(f for g in _GROUPS for f, k in zip(g.fields, g.kinds) if
 
 def brand_of(text: Column) -> Column:
     """Brand of a raw telemetry text by its prefix; null for no brand, no text or an invalid row."""
-    chosen = F.lit(None).cast("string")
-    for brand in reversed(BRANDS):
-        chosen = F.when(text.startswith(brand.prefix), brand.name).otherwise(chosen)
-    return chosen
+    prefix = F.regexp_extract(text, "^(" + "|".join(b.prefix for b in BRANDS) + ")", 1)
+    names = F.create_map(*[F.lit(v) for b in BRANDS for v in (b.prefix, b.name)])
+    return F.try_element_at(names, prefix)
 
 
 def valid_rows(df: DataFrame, text: str = TEXT) -> DataFrame:
@@ -93,8 +92,8 @@ def valid_rows(df: DataFrame, text: str = TEXT) -> DataFrame:
 
 
 def branded_rows(df: DataFrame, text: str = TEXT) -> DataFrame:
-    """Valid rows with a ``brand`` column; rows of no known brand are left out."""
-    tagged = valid_rows(without_bom(df), text).withColumn("brand", brand_of(F.col(f"`{text}`")))
+    """Rows of a known brand with a ``brand`` column; error rows and listings have no brand."""
+    tagged = without_bom(df).withColumn("brand", brand_of(F.col(f"`{text}`")))
     return tagged.filter("brand IS NOT NULL")
 
 
@@ -134,13 +133,14 @@ def _start(text: Column) -> Column:
     """Struct of brand and remainder: first word if known, else the text before a double blank."""
 
     def split(plain: Column) -> Column:
-        word = F.split(plain, rf"(?U){_S}+", 2)[0]
-        parts = F.split(plain, "  ", 2)
+        word = F.regexp_extract(plain, r"(?U)^[^\s\x1c-\x1f]*", 0)
         known = word.isin(*KNOWN_BRANDS)
+        gap = F.instr(plain, "  ")
         return F.struct(
-            F.when(known, word).otherwise(strip(parts[0])).alias("brand"),
+            F.when(known, word).otherwise(strip(F.substring_index(plain, "  ", 1))).alias("brand"),
             F.when(known, strip(F.substring(plain, F.length(word) + 1, F.length(plain))))
-            .otherwise(F.coalesce(F.get(parts, F.lit(1)), F.lit("")))
+            .when(gap > 0, F.substring(plain, gap + 2, F.length(plain)))
+            .otherwise("")
             .alias("rest"),
         )
 
@@ -172,8 +172,9 @@ def _tidy(part: Column) -> Column:
 
 def key_value_entries(rest: Column) -> Column:
     """Parts with a letter and a ``=`` as (key, value), split at the first ``=``."""
+    # Longer runs leave empty or padded parts, which the trimming and the filter take care of.
     parts = F.filter(
-        F.transform(F.split(rest, " {2,}"), _tidy),
+        F.transform(F.split(rest, "  "), _tidy),
         lambda p: p.contains("=") & p.rlike("[a-zA-Z]"),
     )
     entries = F.transform(

@@ -95,63 +95,65 @@ def replace_range(
 
     The guard looks at rows with a main time. A row without one is placed by the fallback time and
     may fall outside the window: ``stray="reject"`` refuses such rows, ``stray="keep"`` adds them,
-    and then every run adds them again. Only the touched weeks are read and rewritten, without a
-    shuffle. Returns the number of rows written.
+    and then every run adds them again. ``new`` is computed once, into the stage, and checked there;
+    only the touched weeks of the table are read and rewritten, without a shuffle. Returns the number
+    of new rows.
     """
     check_window_arguments(start, end, date_type)
     if stray not in ("reject", "keep"):
         raise ValueError(f"stray must be 'reject' or 'keep', not {stray!r}")
     spark = new.sparkSession
     finish_replace(spark, table)
-    expected = check_window(new, key, start, end)
     weekly = with_week(new, key)
-    stray_weeks = _stray_weeks(weekly, key, start, end)
+    path = f"{shared_dir(spark)}/cadencia/stage-{uuid.uuid4().hex}"
+    weekly.write.parquet(path)
+    staged_new = spark.read.schema(weekly.schema).parquet(path)
+    written = check_window(staged_new, key, start, end)
+    stray_weeks = _stray_weeks(staged_new, key, start, end)
     if stray_weeks and stray == "reject":
         raise RuntimeError(f"rows without {key.time} lie outside the window, in weeks {stray_weeks}")
     if not spark.catalog.tableExists(checked_name(table)):
-        create_history(new.filter(F.lit(False)), table, key)
+        create_history(spark.createDataFrame([], new.schema), table, key)
     weeks = sorted({*weeks_touched(start, end), *stray_weeks})
     current = spark.table(quoted(table))
     touched = current.filter(F.col(PARTITION_COLUMN).isin(weeks))
-    nothing = weekly.filter(F.lit(False))
-    kept = range_replaced(touched, nothing, key, start, end).count()
-    _stage(range_replaced(touched, weekly, key, start, end).select(*current.columns), table)
-    staged = spark.table(quoted(table + _STAGED)).count()
-    if staged != kept + expected:
-        spark.sql(f"DROP TABLE {quoted(table + _STAGED)}")
-        raise RuntimeError(f"{table}: staged {staged} rows, not {kept} kept and {expected} new")
+    kept = range_replaced(touched, touched.limit(0), key, start, end)
+    kept.select(*weekly.columns).write.mode("append").parquet(path)
     listed = ",".join(w.isoformat() for w in weeks)
-    spark.sql(f"ALTER TABLE {quoted(table + _STAGED)} SET TBLPROPERTIES ('{_WEEKS}'='{listed}')")
+    spark.sql(
+        f"CREATE TABLE {quoted(table + _STAGED)} USING parquet LOCATION '{path}' "
+        f"TBLPROPERTIES ('{_WEEKS}'='{listed}')"
+    )
+    staged_rows = spark.table(quoted(table + _STAGED)).count()
     finish_replace(spark, table)
-    return expected
-
-
-def _stage(rows: DataFrame, table: str) -> None:
-    """A table over fresh files in the shared folder; it is in the catalog only once it is complete."""
-    path = f"{shared_dir(rows.sparkSession)}/cadencia/stage-{uuid.uuid4().hex}"
-    rows.write.option("path", path).saveAsTable(table + _STAGED)
+    stored = spark.table(quoted(table)).filter(F.col(PARTITION_COLUMN).isin(weeks)).count()
+    if stored != staged_rows:
+        raise RuntimeError(f"{table}: {stored} rows in the touched weeks, {staged_rows} were staged")
+    return written
 
 
 def finish_replace(spark: SparkSession, table: str) -> bool:
-    """Put a checked stage in place, or drop an unchecked one; True if one was put in place."""
+    """Put a stage in place that an earlier run completed; True if there was one.
+
+    The stage enters the catalog only once it is complete and checked, so doing this twice is safe.
+    """
     staged_name = checked_name(table) + _STAGED
     if not spark.catalog.tableExists(staged_name):
         return False
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(staged_name)}").collect()}
-    checked = _WEEKS in properties
-    if checked:
-        staged = spark.table(quoted(staged_name))
-        # No more weeks than the touched ones listed in the property.
-        filled = {r[0] for r in staged.select(PARTITION_COLUMN).distinct().collect()}
-        with _dynamic_overwrite(spark):
-            staged.write.mode("overwrite").insertInto(quoted(table))
-        for week in map(date.fromisoformat, properties[_WEEKS].split(",")):
-            if week not in filled:
-                spark.sql(
-                    f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}=DATE'{week}')"
-                )
+    columns = [f"`{c}`" for c in spark.table(quoted(table)).columns]
+    staged = spark.table(quoted(staged_name)).select(*columns)
+    # No more weeks than the touched ones listed in the property.
+    filled = {r[0] for r in staged.select(PARTITION_COLUMN).distinct().collect()}
+    with _dynamic_overwrite(spark):
+        staged.write.mode("overwrite").insertInto(quoted(table))
+    for week in map(date.fromisoformat, properties[_WEEKS].split(",")):
+        if week not in filled:
+            spark.sql(
+                f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}=DATE'{week}')"
+            )
     spark.sql(f"DROP TABLE {quoted(staged_name)}")
-    return checked
+    return True
 
 
 def render(sql: str) -> str:

@@ -68,3 +68,13 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     writer.parquet(path)
     # The schema is given, so reading back needs no footer scan and keeps partition value types.
     return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a few files out to all cores; many files are left alone.
+
+    For reports that cannot be split (CSV values with line breaks): one task per file would do all
+    the parsing that follows. ``scan`` must be a plain read.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan

@@ -33,12 +33,10 @@ def land_report(
     fresh = sorted(files.keys() - landed_files(spark, target, report, list(files)))
     if not fresh:
         return []
-    df = read_text_columns(spark, [files[n] for n in fresh], sep, encoding)
-    stamped = df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.lit(window_start).cast("date").alias("window_start"),
-        F.col("_metadata.file_name").alias("source_file"),
+    df = read_text_columns(
+        spark, [files[n] for n in fresh], sep, encoding, name_column="source_file"
     )
+    stamped = df.withColumn("window_start", F.lit(window_start).cast("date"))
     stamped.write.mode("append").parquet(f"{target}/report={report}")
     return fresh
 

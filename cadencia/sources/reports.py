@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.functions.text import null_if_na, without_bom
+from cadencia.session import spread
 
 FILES = T.StructType(
     [
@@ -61,12 +62,12 @@ def require_content(spark: SparkSession, path: str) -> None:
 
 def read_text_columns(
     spark: SparkSession, path: str | Sequence[str], sep: str, encoding: str,
-    na_as_null: bool = False, line_breaks: bool = True,
+    na_as_null: bool = False, line_breaks: bool = True, name_column: str | None = None,
 ) -> DataFrame:
     """A CSV report with a header, all columns as text. Files read together must share one header.
 
     Quoted values may hold line breaks. For huge files that have none, ``line_breaks=False`` lets
-    Spark split a file between tasks.
+    Spark split a file between tasks. ``name_column`` adds the name of the file a row comes from.
     """
     df = without_bom(
         spark.read.csv(
@@ -75,9 +76,13 @@ def read_text_columns(
             multiLine=line_breaks, enforceSchema=False,
         )
     )
-    if not na_as_null:
-        return df
-    return df.select(*[null_if_na(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    if na_as_null:
+        columns = [null_if_na(c).alias(n) for c, n in zip(columns, df.columns)]
+    if name_column:
+        columns.append(F.col("_metadata.file_name").alias(name_column))
+    df = df.select(*columns)
+    return spread(df) if line_breaks else df
 
 
 def read_trip_report(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
@@ -121,6 +126,8 @@ def read_can_reports(
     skipped = [d for n, d in wanted.items() if n not in found]
     if not found:
         return None, skipped
-    df = read_text_columns(spark, sorted(found.values()), ";", "ISO-8859-1", na_as_null=True)
-    tag = F.regexp_extract(F.col("_metadata.file_name"), r"CAN-(\d{6})\.csv$", 1)
-    return df.withColumn("report_day", F.to_date(tag, "ddMMyy")), skipped
+    df = read_text_columns(
+        spark, sorted(found.values()), ";", "ISO-8859-1", na_as_null=True, name_column="_file"
+    )
+    tag = F.regexp_extract("_file", r"CAN-(\d{6})\.csv$", 1)
+    return df.withColumn("report_day", F.to_date(tag, "ddMMyy")).drop("_file"), skipped

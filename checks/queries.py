@@ -259,7 +259,7 @@ def range_replace_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def range_replace_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through a stored table, with the replace run twice."""
-    rows = typed(spark, sf_dir, bad_days=False)
+    rows = materialize(typed(spark, sf_dir, bad_days=False), "typed")
     history = f"{scratch_schema(spark)}.trips"
     create_history(rows, history, jobs.TRIP_KEY)
     new = _corrected(rows)

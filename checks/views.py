@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadencia.session import spread
+
 _RAW_TRIPS = """
 select {day} as {q}Fecha{q}, event_type as {q}Ruta{q},
        case when event_id%13=0 then 'x' else cast(user_id as {text}) end as {q}Económico planificado{q},
@@ -61,11 +63,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def report_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that stands for an unsplittable report, dealt out as the report readers do it."""
+    return spread(table(spark, sf_dir, name))
+
+
 def raw_trips(spark: SparkSession, sf_dir: str, bad_days: bool = True) -> DataFrame:
     """Raw trip report from ``events``: some rows twice, some unreadable values."""
     day = _sometimes_bad(_SPARK_DAY) if bad_days else _SPARK_DAY
     sql = _RAW_TRIPS.format(**_SPARK, day=day, events="{events}")
-    return spark.sql(sql, events=table(spark, sf_dir, "events"))
+    return spark.sql(sql, events=report_input(spark, sf_dir, "events"))
 
 
 def raw_trips_sql(bad_days: bool = True) -> str:
@@ -91,7 +98,7 @@ from (select l_orderkey, l_linenumber, l_shipdate,
 def can_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry text from ``lineitem``; (l_orderkey, l_linenumber) is a label, not a key."""
     sql = _CAN.format(text="string", when="date_format(l_shipdate,'dd/MM/yyyy HH:mm:ss')", lineitem="{lineitem}")
-    return spark.sql(sql.replace('"', "`"), lineitem=table(spark, sf_dir, "lineitem"))
+    return spark.sql(sql.replace('"', "`"), lineitem=report_input(spark, sf_dir, "lineitem"))
 
 
 def can_rows_sql() -> str:
