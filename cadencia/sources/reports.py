@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -64,24 +66,39 @@ def read_text_columns(
     spark: SparkSession, path: str | Sequence[str], sep: str, encoding: str,
     na_as_null: bool = False, line_breaks: bool = True, name_column: str | None = None,
 ) -> DataFrame:
-    """A CSV report with a header, all columns as text. Files read together must share one header.
+    """A CSV report with a header, all columns as text; columns without a header are left out.
 
-    Quoted values may hold line breaks. For huge files that have none, ``line_breaks=False`` lets
-    Spark split a file between tasks. ``name_column`` adds the name of the file a row comes from.
+    Files read together must share one header, or the read fails. Quoted values may hold line breaks;
+    for huge files that have none, ``line_breaks=False`` lets Spark split a file between tasks.
+    ``name_column`` adds the name of the file a row comes from.
     """
-    df = without_bom(
-        spark.read.csv(
-            path if isinstance(path, str) else list(path),
-            sep=sep, encoding=encoding, header=True, inferSchema=False, escape='"',
-            multiLine=line_breaks, enforceSchema=False,
+
+    def scan(paths: str | list[str], check_headers: bool) -> DataFrame:
+        return spark.read.csv(
+            paths, sep=sep, encoding=encoding, header=True, inferSchema=False, escape='"',
+            multiLine=line_breaks, enforceSchema=not check_headers,
         )
-    )
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    if na_as_null:
-        columns = [null_if_na(c).alias(n) for c, n in zip(columns, df.columns)]
-    if name_column:
-        columns.append(F.col("_metadata.file_name").alias(name_column))
-    df = df.select(*columns)
+
+    def named(df: DataFrame) -> DataFrame:
+        df = without_bom(df)
+        columns = []
+        for name in df.columns:
+            if not re.fullmatch(r"_c\d+", name):
+                col = F.col(f"`{name}`")
+                columns.append((null_if_na(col) if na_as_null else col).alias(name))
+        if name_column:
+            columns.append(F.col("_metadata.file_name").alias(name_column))
+        return df.select(*columns)
+
+    df = scan(path if isinstance(path, str) else list(path), check_headers=True)
+    files = df.inputFiles()
+    if len(files) == 1:
+        df = named(scan(files, check_headers=False))
+    elif any(re.fullmatch(r"_c\d+", c) for c in df.columns):
+        # Spark's header check does not know unnamed columns; matching by name takes its place.
+        df = functools.reduce(DataFrame.unionByName, [named(scan([f], check_headers=False)) for f in files])
+    else:
+        df = named(df)
     return spread(df) if line_breaks else df
 
 
