@@ -31,7 +31,9 @@ def compare_schemas(left: StructType, right: StructType, strict_order: bool = Fa
 def row_hash(columns: Sequence[str]) -> Column:
     """MD5 of the row as JSON: columns by name, nulls written out."""
     ordered = F.struct(*[F.col(f"`{c}`") for c in sorted(columns)])
-    return F.md5(F.to_json(ordered, {"ignoreNullFields": "false"}).cast("binary"))
+    text = F.to_json(ordered, {"ignoreNullFields": "false"})
+    # Never null, and declared so: otherwise a join on it computes it once more to drop nulls.
+    return F.coalesce(F.md5(text.cast("binary")), F.lit(""))
 
 
 def paired_counts(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ TEXT = "Can Data"
 BRAND = "Marca"
 PAIRS = "pairs"
 
-# Unicode classes, letters of either case.
+# Unicode classes, letters of either case. Java's \s lacks the separators 1C to 1F.
 _FLAGS = "(?iU)"
 _S = r"[\s\x1c-\x1f]"
 
@@ -35,39 +35,39 @@ class Group(NamedTuple):
 # Special groups of the telemetry text, in the order in which they are taken out.
 _GROUPS = (
     Group(
-        r"Tanque 1 y 2~*=~*([\d.]+)~+y~+([\d.]+)~*(kPa)",
+        r"Tanque 1 y 2\s*=\s*([\d.]+)\s+y\s+([\d.]+)\s*(kPa)",
         ("Tanque_1_kPa", "Tanque_2_kPa"),
         "pp",
     ),
     Group(
-        r"Temperatura Baterias~*=~*([\d.]+)~+(\w+)~*,~*([\d.]+)~+(\w+)",
+        r"Temperatura Baterias\s*=\s*([\d.]+)\s+(\w+)\s*,\s*([\d.]+)\s+(\w+)",
         ("Temp_Bat_Min", "Temp_Bat_Min_Tipo", "Temp_Bat_Max", "Temp_Bat_Max_Tipo"),
         "ntnt",
     ),
     Group(
-        r"Temperatura Baterias~*=~*([\d.]+)~*([A-Za-z°]+)~*,",
+        r"Temperatura Baterias\s*=\s*([\d.]+)\s*([A-Za-z°]+)\s*,",
         ("Temp_Bat", "Temp_Bat_Unidad"),
         "nt",
     ),
     Group(
-        r"Condicion de Frenos~*:~*Del_D~*=~*([\d.]+)~*,~*Del_I~*=~*([\d.]+)~*,~*"
-        r"Tra_D1~*=~*([\d.]+)~*,~*Tra_I1~*=~*([\d.]+)~*,~*"
-        r"Tra_D2~*=~*([\d.]+)~*,~*Tra_I2~*=~*([\d.]+)",
+        r"Condicion de Frenos\s*:\s*Del_D\s*=\s*([\d.]+)\s*,\s*Del_I\s*=\s*([\d.]+)\s*,\s*"
+        r"Tra_D1\s*=\s*([\d.]+)\s*,\s*Tra_I1\s*=\s*([\d.]+)\s*,\s*"
+        r"Tra_D2\s*=\s*([\d.]+)\s*,\s*Tra_I2\s*=\s*([\d.]+)",
         ("Freno_Del_D", "Freno_Del_I", "Freno_Tra_D1", "Freno_Tra_I1", "Freno_Tra_D2", "Freno_Tra_I2"),
         "nnnnnn",
     ),
     Group(
-        r"ALARM~+Motor~*=~*(\w+)~*,~*Battery~*=~*(\w+)~*,~*Air~*=~*(\w+)",
+        r"ALARM\s+Motor\s*=\s*(\w+)\s*,\s*Battery\s*=\s*(\w+)\s*,\s*Air\s*=\s*(\w+)",
         ("ALARM_Motor", "ALARM_Battery", "ALARM_Air"),
         "ttt",
     ),
     Group(
-        r"ALARM~+Steering~*=~*(\w+)~*,~*Brake~*=~*(\w+)",
+        r"ALARM\s+Steering\s*=\s*(\w+)\s*,\s*Brake\s*=\s*(\w+)",
         ("ALARM_Steering", "ALARM_Brake"),
         "tt",
     ),
     Group(
-        r",?~*Horas~*=~*([\d.]+)~*,?~*Total Fuel usado~*=~*([\d.]+)",
+        r",?\s*Horas\s*=\s*([\d.]+)\s*,?\s*Total Fuel usado\s*=\s*([\d.]+)",
         ("Horas", "Total_Fuel_Litros"),
         "nn",
     ),
@@ -110,7 +110,7 @@ def _float_text(col: Column) -> Column:
 
 
 def _field(hit: Column, group: Group, index: int) -> Column:
-    pattern = _FLAGS + group.pattern.replace("~", _S)
+    pattern = _FLAGS + group.pattern.replace(r"\s", _S)
     kind = group.kinds[index]
     part = F.regexp_extract(hit, pattern, index + 1)
     if kind == "n":
@@ -149,7 +149,7 @@ def _start(text: Column) -> Column:
 
 def _take_group(rest: Column, group: Group) -> Column:
     """Struct of the text a group hit (or '') and what remains; the remainder is searched once."""
-    pattern = _FLAGS + group.pattern.replace("~", _S)
+    pattern = _FLAGS + group.pattern.replace(r"\s", _S)
 
     def cut(text: Column, hit: Column) -> Column:
         at = F.call_function("locate", hit, text)

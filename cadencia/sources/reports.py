@@ -25,15 +25,21 @@ FILES = T.StructType(
 )
 
 
-def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Path, name, modification time and size of the files a glob matches; contents are not read."""
+def _files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame | None:
     try:
-        files = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+        return spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Path, name, modification time and size of the non-empty files a glob matches, contents unread."""
+    files = _files(spark, path)
+    if files is None:
         return spark.createDataFrame([], FILES)
-    return files.select(
+    return files.filter("length > 0").select(
         "path",
         F.url_decode(F.element_at(F.split("path", "/"), -1)).alias("name"),
         F.col("modificationTime").alias("modified"),
@@ -55,10 +61,10 @@ def expected_or_newest(spark: SparkSession, folder: str, expected: str, pattern:
 
 def require_content(spark: SparkSession, path: str) -> None:
     """A missing or zero-byte report is an error. An action."""
-    sizes = list_files(spark, path).agg(F.count("*").alias("n"), F.min("bytes").alias("least")).first()
-    if not sizes.n:
+    files = _files(spark, path)
+    if files is None:
         raise FileNotFoundError(f"no report at {path}")
-    if not sizes.least:
+    if list_files(spark, path).count() < len(files.inputFiles()):
         raise RuntimeError(f"empty report at {path}")
 
 
@@ -137,7 +143,7 @@ def read_can_reports(
     Files are looked up before the read; a file name must belong to a day of the range.
     """
     wanted = {can_file(d): d for d in days_between(first, last)}
-    listed = list_files(spark, f"{folder.rstrip('/')}/CAN-*.csv").filter("bytes > 0")
+    listed = list_files(spark, f"{folder.rstrip('/')}/CAN-*.csv")
     # At most one file per day of the range.
     found = {r.name: r.path for r in listed.filter(F.col("name").isin(*wanted)).collect()}
     skipped = [d for n, d in wanted.items() if n not in found]

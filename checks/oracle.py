@@ -69,16 +69,15 @@ from ({raw_trips_sql(bad_days)}) raw
 
 def _gaps(bad_days: bool = True) -> str:
     return f"""
-with departures as (
-  select cast(cast("FECHA" as timestamp) as date) as "FECHA", "RUTA",
-         cast("FECHA" as timestamp) + to_seconds({_seconds('"PARTIDA_PLANEADA"')}) as ts
+with planned as (
+  select cast(cast("FECHA" as timestamp) as date) as day, "RUTA" as route,
+         cast("FECHA" as timestamp) + to_seconds({_seconds('"PARTIDA_PLANEADA"')}) as at
   from ({_typed(bad_days)}) t where "PARTIDA_PLANEADA" is not null),
-gaps as (
-  select "FECHA", "RUTA", cast(extract(hour from ts) as bigint) as "HORA",
-         datesub('second', lag(ts) over (partition by "FECHA", "RUTA" order by ts), ts) as diff_sec
-  from departures)
-select cast("FECHA" as varchar) as "FECHA", "RUTA", "HORA", max(diff_sec)/2.0::double as "INTERVALO_SEC"
-from gaps where diff_sec is not null group by all
+steps as (
+  select day, route, at, lag(at) over (partition by day, route order by at) as before from planned)
+select cast(day as varchar) as "FECHA", route as "RUTA", cast(hour(at) as bigint) as "HORA",
+       max(datesub('second', before, at))/2.0::double as "INTERVALO_SEC"
+from steps where before is not null group by all
 """
 
 
