@@ -9,8 +9,7 @@ import json
 import os
 import time
 
-from pyspark.sql import SparkSession
-
+from cadencia.session import build_session
 from checks.queries import QUERIES
 
 HEADLINE = (
@@ -33,13 +32,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.driver.memory", "16g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+    spark = build_session(
+        "bench", f"local[{cpus}]",
+        spark__sql__shuffle__partitions=cpus,
+        spark__driver__memory="16g",
+        spark__ui__enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/events.parquet").count()

@@ -1,0 +1,17 @@
+"""A name for an intermediate value inside one expression."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with ``value`` computed once and written once.
+
+    The optimizer folds projections and pushes filters through them by writing expressions out. One
+    that repeats its input then doubles with every layer below it.
+    """
+    return F.transform(F.array(value), body)[0]

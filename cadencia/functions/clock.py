@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadencia.functions.binding import bind
+
 _DAY_TEXT = r"^\d{1,2}/\d{1,2}/\d{4}$"
 _CLOCK_TEXT = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
 
@@ -27,8 +29,12 @@ def report_day(col: Column) -> Column:
 
 def clock_seconds(col: Column) -> Column:
     """``HH:mm:ss`` text to seconds since midnight; ``-``, ``24:00:00`` and the like are null."""
-    part = [F.split_part(col, F.lit(":"), F.lit(i)).cast("int") for i in (1, 2, 3)]
-    return F.when(col.rlike(_CLOCK_TEXT), part[0] * 3600 + part[1] * 60 + part[2])
+
+    def seconds(text: Column) -> Column:
+        part = [F.split_part(text, F.lit(":"), F.lit(i)).cast("int") for i in (1, 2, 3)]
+        return F.when(text.rlike(_CLOCK_TEXT), part[0] * 3600 + part[1] * 60 + part[2])
+
+    return bind(col, seconds)
 
 
 def seconds_of_day(df: DataFrame, name: str) -> Column:

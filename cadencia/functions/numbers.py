@@ -46,6 +46,6 @@ def signed_minutes(col: Column, dash_is_early: bool) -> Column:
     ]
     minutes = part[0] * 60 + part[1] + part[2] / F.lit(60.0)
     dashed = F.coalesce(col.startswith("-"), F.lit(False))
-    positive = dashed if dash_is_early else ~dashed
+    sign = F.when(dashed if dash_is_early else ~dashed, 1.0).otherwise(-1.0)
     # Adding 0.0 turns a negative zero into zero.
-    return F.when(positive, minutes).otherwise(-minutes) + F.lit(0.0)
+    return sign * minutes + F.lit(0.0)

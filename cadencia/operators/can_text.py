@@ -7,13 +7,12 @@ takes its place) before the next one is looked for.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadencia.functions.numbers import number
+from cadencia.functions.binding import bind
 from cadencia.functions.text import strip, without_bom
 from cadencia.schemas import BRANDS
 
@@ -27,6 +26,7 @@ _S = r"[\s\x1c-\x1f]"
 
 
 class Group(NamedTuple):
+    anchor: str  # lower-case text without which the pattern cannot match
     pattern: str
     fields: tuple[str, ...]
     kinds: str  # per field: n number, t text, p pressure with unit
@@ -35,21 +35,25 @@ class Group(NamedTuple):
 # Special groups of the telemetry text, in the order in which they are taken out.
 _GROUPS = (
     Group(
+        "tanque 1 y 2",
         r"Tanque 1 y 2\s*=\s*([\d.]+)\s+y\s+([\d.]+)\s*(kPa)",
         ("Tanque_1_kPa", "Tanque_2_kPa"),
         "pp",
     ),
     Group(
+        "temperatura baterias",
         r"Temperatura Baterias\s*=\s*([\d.]+)\s+(\w+)\s*,\s*([\d.]+)\s+(\w+)",
         ("Temp_Bat_Min", "Temp_Bat_Min_Tipo", "Temp_Bat_Max", "Temp_Bat_Max_Tipo"),
         "ntnt",
     ),
     Group(
+        "temperatura baterias",
         r"Temperatura Baterias\s*=\s*([\d.]+)\s*([A-Za-z°]+)\s*,",
         ("Temp_Bat", "Temp_Bat_Unidad"),
         "nt",
     ),
     Group(
+        "condicion de frenos",
         r"Condicion de Frenos\s*:\s*Del_D\s*=\s*([\d.]+)\s*,\s*Del_I\s*=\s*([\d.]+)\s*,\s*"
         r"Tra_D1\s*=\s*([\d.]+)\s*,\s*Tra_I1\s*=\s*([\d.]+)\s*,\s*"
         r"Tra_D2\s*=\s*([\d.]+)\s*,\s*Tra_I2\s*=\s*([\d.]+)",
@@ -57,16 +61,19 @@ _GROUPS = (
         "nnnnnn",
     ),
     Group(
+        "alarm",
         r"ALARM\s+Motor\s*=\s*(\w+)\s*,\s*Battery\s*=\s*(\w+)\s*,\s*Air\s*=\s*(\w+)",
         ("ALARM_Motor", "ALARM_Battery", "ALARM_Air"),
         "ttt",
     ),
     Group(
+        "alarm",
         r"ALARM\s+Steering\s*=\s*(\w+)\s*,\s*Brake\s*=\s*(\w+)",
         ("ALARM_Steering", "ALARM_Brake"),
         "tt",
     ),
     Group(
+        "total fuel usado",
         r",?\s*Horas\s*=\s*([\d.]+)\s*,?\s*Total Fuel usado\s*=\s*([\d.]+)",
         ("Horas", "Total_Fuel_Litros"),
         "nn",
@@ -99,14 +106,19 @@ def branded_rows(df: DataFrame, text: str = TEXT) -> DataFrame:
 
 def squeezed(text: Column) -> Column:
     """Line breaks and tabs to blanks, runs of whitespace to exactly two blanks, trimmed, never null."""
-    flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\n\r\t]+", " ")
-    return strip(F.regexp_replace(flat, rf"(?U){_S}{{2,}}", "  "))
 
+    def flat(raw: Column) -> Column:
+        broken = raw.contains("\n") | raw.contains("\r") | raw.contains("\t")
+        return F.when(broken, F.regexp_replace(raw, r"[\n\r\t]+", " ")).otherwise(raw)
 
-def _float_text(col: Column) -> Column:
+    plain = bind(F.coalesce(text, F.lit("")), flat)
+    return strip(F.regexp_replace(plain, rf"(?U){_S}{{2,}}", "  "))
+
+
+def _float_text(digits: Column) -> Column:
     """A number written as 8.1 or 8.0, never in exponent form."""
-    digits = number(col).cast("decimal(38,12)").cast("string")
-    return F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
+    plain = digits.try_cast("double").cast("decimal(38,12)").cast("string")
+    return F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
 
 
 def _field(hit: Column, group: Group, index: int) -> Column:
@@ -114,21 +126,13 @@ def _field(hit: Column, group: Group, index: int) -> Column:
     kind = group.kinds[index]
     part = F.regexp_extract(hit, pattern, index + 1)
     if kind == "n":
-        part = number(part)
+        part = part.try_cast("double")
     elif kind == "p":
-        part = F.concat_ws(" ", _float_text(part), F.regexp_extract(hit, pattern, 3))
+        # Null if the number is unreadable, e.g. 1..2.
+        part = F.concat(_float_text(part), F.lit(" "), F.regexp_extract(hit, pattern, 3))
     return F.when(hit != "", part)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value to a name inside one expression.
-
-    Written out instead, the chain below would double at every use of its predecessor as soon as the
-    optimizer pushes a filter on a parsed column through it.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def _start(text: Column) -> Column:
     """Struct of brand and remainder: first word if known, else the text before a double blank."""
 
@@ -144,7 +148,7 @@ def _start(text: Column) -> Column:
             .alias("rest"),
         )
 
-    return _let(squeezed(text), split)
+    return bind(squeezed(text), split)
 
 
 def _take_group(rest: Column, group: Group) -> Column:
@@ -158,12 +162,14 @@ def _take_group(rest: Column, group: Group) -> Column:
         return F.when(hit != "", F.concat(before, F.lit(" "), after)).otherwise(text)
 
     def taken(text: Column) -> Column:
-        return _let(
-            F.regexp_extract(text, pattern, 0),
+        # Most groups are missing from most texts, and a plain search for the anchor is cheap.
+        possible = F.lower(text).contains(group.anchor)
+        return bind(
+            F.when(possible, F.regexp_extract(text, pattern, 0)).otherwise(""),
             lambda hit: F.struct(hit.alias("hit"), cut(text, hit).alias("rest")),
         )
 
-    return _let(rest, taken)
+    return bind(rest, taken)
 
 
 def _tidy(part: Column) -> Column:
@@ -197,7 +203,7 @@ def last_of_each_key(entries: Column) -> Column:
 
         return F.filter(bound, lambda entry, i: ~repeated(entry, i))
 
-    return _let(entries, last)
+    return bind(entries, last)
 
 
 def parse_can(df: DataFrame, text: str = TEXT) -> DataFrame:

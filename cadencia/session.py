@@ -25,6 +25,9 @@ def build_session(app: str = "cadencia", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         TIME_TYPE_FLAG: "true",
+        # The JVM never compiles methods over 8000 bytes. A wide projection that generates one is
+        # better run outside the fused stage, where Spark splits it into small methods.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
