@@ -71,13 +71,13 @@ def _gaps(bad_days: bool = True) -> str:
     return f"""
 with planned as (
   select cast(cast("FECHA" as timestamp) as date) as day, "RUTA" as route,
-         cast("FECHA" as timestamp) + to_seconds({_seconds('"PARTIDA_PLANEADA"')}) as at
+         cast("FECHA" as timestamp) + to_seconds({_seconds('"PARTIDA_PLANEADA"')}) as departs
   from ({_typed(bad_days)}) t where "PARTIDA_PLANEADA" is not null),
 steps as (
-  select day, route, at, lag(at) over (partition by day, route order by at) as before from planned)
-select cast(day as varchar) as "FECHA", route as "RUTA", cast(hour(at) as bigint) as "HORA",
-       max(datesub('second', before, at))/2.0::double as "INTERVALO_SEC"
-from steps where before is not null group by all
+  select day, route, departs, lag(departs) over (partition by day, route order by departs) as earlier from planned)
+select cast(day as varchar) as "FECHA", route as "RUTA", cast(hour(departs) as bigint) as "HORA",
+       max(datesub('second', earlier, departs))/2.0::double as "INTERVALO_SEC"
+from steps where earlier is not null group by all
 """
 
 
