@@ -25,7 +25,7 @@ from cadencia.operators.ranges import (
     range_replaced,
 )
 from cadencia.schemas import PARTITION_COLUMN
-from cadencia.session import shared_dir
+from cadencia.session import scratch_dir
 
 _TABLE = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_-]*(\.[A-Za-z0-9_]+){1,2}")
 _STAGED, _OLD = "__staged", "__old"
@@ -105,7 +105,7 @@ def replace_range(
     spark = new.sparkSession
     finish_replace(spark, table)
     weekly = with_week(new, key)
-    path = f"{shared_dir(spark)}/cadencia/stage-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
     weekly.write.parquet(path)
     staged_new = spark.read.schema(weekly.schema).parquet(path)
     written = check_window(staged_new, key, start, end)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,17 +45,30 @@ def ensure_time_type(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Where it is unset (tests, single-machine use) it becomes a folder next to the tables of the warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    fallback = tempfile.mkdtemp(prefix="cadencia-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+_used: set[str] = set()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder; removed when the driver's Python ends."""
+    path = f"{shared_dir(spark)}/cadencia/{spark.sparkContext.applicationId}"
+    if path not in _used:
+        _used.add(path)
+        atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have been stopped already; then the files stay
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
@@ -64,7 +78,7 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     and later readers prune columns and partitions.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cadencia/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -20,7 +20,7 @@ from cadencia.plans import jobs
 from cadencia.plans.audit import audit_frames
 from cadencia.plans.store import create_history, quoted, rebuild_table, replace_range
 from cadencia.schemas import BRANDS, PARTITION_COLUMN, trip_schema
-from cadencia.session import ensure_time_type, materialize, shared_dir
+from cadencia.session import ensure_time_type, materialize, scratch_dir
 from cadencia.sources.landing import land_report, landed
 from cadencia.sources.sinks import read_processed_csv, write_csv
 
@@ -59,7 +59,7 @@ def query(run: Query) -> Query:
 def scratch_schema(spark: SparkSession) -> str:
     """A catalog schema of its own, with its files in the shared folder."""
     name = f"cadencia_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE SCHEMA {name} LOCATION '{shared_dir(spark)}/cadencia/{name}'")
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{scratch_dir(spark)}/{name}'")
     return name
 
 
@@ -281,7 +281,7 @@ def guarded_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weekly_run(spark: SparkSession, sf_dir: str, remove_outliers: bool) -> jobs.TripTables:
-    folder = f"{shared_dir(spark)}/cadencia/run-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
     raw_trips(spark, sf_dir, bad_days=False).write.csv(
         f"{folder}/raw", sep=";", encoding="ISO-8859-1", header=True
     )
@@ -312,7 +312,7 @@ def trips_job_headways(spark: SparkSession, sf_dir: str) -> DataFrame:
 def processed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip table written as processed CSV and loaded under the explicit schema."""
     ensure_time_type(spark)
-    path = f"{shared_dir(spark)}/cadencia/csv-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/csv-{uuid.uuid4().hex}"
     write_csv(trips.typed_trips(raw_trips(spark, sf_dir)), path)
     return read_processed_csv(spark, path, trip_schema())
 
@@ -320,7 +320,7 @@ def processed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def landed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report landed twice unchanged; the second time nothing is added."""
-    folder = f"{shared_dir(spark)}/cadencia/land-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/land-{uuid.uuid4().hex}"
     fleet_rows(spark, sf_dir).write.csv(f"{folder}/raw", sep=";", encoding="ISO-8859-1", header=True)
     for _ in range(2):
         land_report(spark, f"{folder}/raw/*.csv", "withdrawals", "2026-07-01", f"{folder}/landed")
