@@ -91,9 +91,9 @@ def _copies(rows: pd.DataFrame) -> pd.DataFrame:
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[float, ...] = (1, 2, 3), most: float = 3, group_rows: int = GROUP_ROWS, carry: tuple[str, ...] = (),
+    weights: tuple[float, ...] = (1, 2, 3), most: float = 3, group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """One row per input row: ``doc_id, size, source, source_size, target, copies, taken`` and the ``carry`` columns.
+    """One row per input row: ``doc_id, size, source, source_size, target, copies, taken``.
 
     ``size`` counts words (null: 0). Sources by code point, null last, weigh ``weights`` in turn and share all sizes, none
     over ``most`` times its own, the excess shared again. Every document of a source gets the same rate, rounded to
@@ -105,7 +105,7 @@ def mix(
     measured = materialize(
         docs.select(
             F.col(id_col).alias("doc_id"), words_in(F.col(text_col)).alias("size"), F.col(source_col).alias("source"),
-            F.xxhash64(F.col(id_col), F.lit(3)).alias("h"), *carry,
+            F.xxhash64(F.col(id_col), F.lit(3)).alias("h"),
         ),
         "mix-sizes",
     )
@@ -118,5 +118,5 @@ def mix(
     schema = T.StructType([*rated.schema.fields, T.StructField("copies", T.LongType())])
     copied = rated.groupBy("source", "group").applyInPandas(_copies, schema)
     return copied.select(
-        "doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *carry,
+        "doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
     )

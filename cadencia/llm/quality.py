@@ -7,8 +7,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,28 +152,31 @@ def train(
     return weights
 
 
-def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """One row per input row: ``doc_id, held_out, score, predicted``; only the text is scored.
+def scorer(spark: SparkSession, weights: np.ndarray):
+    """A function of a text column: the chance of label 1. Null, empty and tokenless texts score by the bias alone."""
+    shared = spark.sparkContext.broadcast(weights)
 
-    A score is the sparse dot product of the weights with the text's n-gram shares, through the logistic function.
-    Null, empty and tokenless texts score by the bias alone. Repeated rows score alike; an empty table gives an
-    empty result. Other columns are not read.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf(T.DoubleType())
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         make, w = Featurizer(), shared.value
-        for batch in batches:
-            dots = np.zeros(batch.num_rows)
-            for r, text in enumerate(batch.column(1)):
-                found = make(text.as_py() or "")
+        for texts in batches:
+            dots = np.zeros(len(texts))
+            for r, text in enumerate(texts):
+                found = make(text or "")
                 if len(found):
                     dots[r] = w[found].mean() * _SCALE
-            scores = 1 / (1 + np.exp(-np.clip(dots + w[BIAS], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+            yield pd.Series(1 / (1 + np.exp(-np.clip(dots + w[BIAS], -30, 30))))
 
-    scored = source.mapInArrow(run, T.StructType([source.schema["doc_id"], T.StructField("score", T.DoubleType())]))
+    return run
+
+
+def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """One row per input row: ``doc_id, held_out, score, predicted``; only the text is scored.
+
+    A score is the sparse dot product of the weights with the text's n-gram shares, through the logistic function.
+    Repeated rows score alike; an empty table gives an empty result. Other columns are not read.
+    """
+    scored = docs.select(F.col(id_col).alias("doc_id"), scorer(docs.sparkSession, weights)(F.col(text_col)).alias("score"))
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
     )

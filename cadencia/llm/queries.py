@@ -12,6 +12,10 @@ from cadencia.llm.common import table
 from cadencia.llm.decontam import decontaminate
 from cadencia.llm.exact import exact_dedup
 from cadencia.llm.lines import line_dedup
+from cadencia.llm.mixing import mix
+from cadencia.llm.pii import find_pii
+from cadencia.llm.quality import score, train
+from cadencia.llm.repeats import remove_repeats
 from cadencia.llm.sharding import shard
 from cadencia.llm.simhash import near_dedup
 
@@ -20,10 +24,31 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies",
+    )
+
+
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=100).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
@@ -59,7 +84,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_decontamination, op5_sharding, op7_chat, op8_line_dedup, op9_exact_dedup, op10_simhash,
+        op1_decontamination, op2_quality, op3_mixing, op4_repeats, op5_sharding, op6_pii, op7_chat, op8_line_dedup,
+        op9_exact_dedup, op10_simhash,
     )
 }
 
