@@ -95,8 +95,8 @@ def held_out(doc_id: Column) -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    max_rows: int = 20_000, shards: int = 8, epochs: int = 4,
-    alpha: float = 0.3, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1,
+    max_rows: int = 20_000, shards: int = 8, epochs: int = 8,
+    alpha: float = 1.0, beta: float = 0.5, l1: float = 0.02, l2: float = 0.1,
 ) -> np.ndarray:
     """Weights of all buckets, the bias last.
 
