@@ -22,18 +22,36 @@ def concatenated(texts: list[np.ndarray]) -> np.ndarray:
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling. The last symbol must occur once."""
+    """Suffix array by prefix doubling. The last symbol must occur once.
+
+    Ranks are places in the order, so suffixes that are told apart keep theirs, and a round only sorts
+    those that are not.
+    """
     n = len(symbols)
     rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-    step = 1
+    letters = int(rank.max()) + 2
+    step = 3 if letters < 1 << 20 else 2
+    key = np.zeros(n, np.int64)
+    for i in range(step):
+        key *= letters
+        key[: n - i] += rank[i:] + 1
+    order = np.argsort(key)
+    key = key[order]
+    places = np.arange(n)
+    suffixes = order
     while True:
-        key = rank * (n + 1)
-        key[: n - step] += rank[step:] + 1
-        order = np.argsort(key)
-        changed = np.concatenate(([0], np.cumsum(key[order[1:]] != key[order[:-1]])))
-        rank[order] = changed
-        if changed[-1] == n - 1 or step >= n:
+        # `suffixes` stand at `places` of the order; equal neighbours in `key` are not told apart yet.
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        first = places[np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))]
+        rank[suffixes] = first
+        alone = fresh & np.append(fresh[1:], True)
+        if alone.all():
             return order
+        places, suffixes, first = places[~alone], suffixes[~alone], first[~alone]
+        key = first * n + rank[suffixes + step]
+        by_key = np.argsort(key)
+        key, suffixes = key[by_key], suffixes[by_key]
+        order[places] = suffixes
         step *= 2
 
 
