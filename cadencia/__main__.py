@@ -35,7 +35,9 @@ def _parser() -> argparse.ArgumentParser:
     trips.add_argument("--start", type=datetime.fromisoformat, help="default: last closed service week")
     trips.add_argument("--end", type=datetime.fromisoformat)
     trips.add_argument("--keep-outliers", action="store_true")
-    trips.add_argument("--stray", choices=("reject", "keep"), default="reject")
+    trips.add_argument("--stray", choices=("reject", "keep"), default="keep")
+    trips.add_argument("--no-line-breaks", action="store_true", help="no quoted value holds one: files can be split")
+    trips.add_argument("--out", help="folder for the processed CSV, named after the raw file")
 
     can = job.add_parser("can", help="telemetry of one day or a range of days")
     can.add_argument("folder")
@@ -43,15 +45,23 @@ def _parser() -> argparse.ArgumentParser:
     can.add_argument("--first", type=date.fromisoformat, default=None, help="default: today")
     can.add_argument("--last", type=date.fromisoformat, default=None)
     can.add_argument("--format", action="append", help="stamp format, repeatable")
+    can.add_argument("--no-line-breaks", action="store_true")
+    can.add_argument("--unreadable", choices=("fail", "null"), default="fail", help="stamps in no format")
 
     fleet = job.add_parser("fleet", help="fleet snapshot")
     fleet.add_argument("path")
     fleet.add_argument("--table")
 
+    stamp = job.add_parser("stamp", help="add date and shift to a schedule extract")
+    stamp.add_argument("path")
+    stamp.add_argument("out")
+    stamp.add_argument("--at", type=datetime.fromisoformat, help="default: now")
+
     land = job.add_parser("land", help="keep a report unchanged")
     land.add_argument("report")
     land.add_argument("paths", nargs="+")
-    land.add_argument("--window-start", type=date.fromisoformat, required=True)
+    land.add_argument("--window-start", type=date.fromisoformat, help="default: the report's own week or day")
+    land.add_argument("--no-line-breaks", action="store_true")
     land.add_argument("--landing", required=True)
 
     rebuild = job.add_parser("rebuild", help="create or replace a table from a query file")
@@ -65,7 +75,7 @@ def _parser() -> argparse.ArgumentParser:
     compare.add_argument("--cutoff", required=True)
     compare.add_argument("--until")
     compare.add_argument("--out-dir")
-    compare.add_argument("--dump-limit", type=int, default=5000)
+    compare.add_argument("--dump-limit", type=int, default=None, help="default: all rows")
     return parser
 
 
@@ -77,13 +87,15 @@ def main(argv: Sequence[str] | None = None) -> int:
         tables = jobs.TripTables(args.trips, args.headways, args.gaps)
         written = jobs.run_trips(
             spark, args.raw, args.start or start, args.end or end, tables, args.landing,
-            remove_outliers=not args.keep_outliers, stray=args.stray,
+            remove_outliers=not args.keep_outliers, stray=args.stray, line_breaks=not args.no_line_breaks,
+            out_root=args.out,
         )
         print(*(f"{table}: {n} rows" for table, n in written.items()), sep="\n")
     elif args.job == "can":
         first = args.first or calendar.today()
         summary, skipped = jobs.run_can(
-            spark, args.folder, first, args.last or first, args.out, args.format or clock.STAMP_FORMATS
+            spark, args.folder, first, args.last or first, args.out, args.format or clock.STAMP_FORMATS,
+            line_breaks=not args.no_line_breaks, unreadable=args.unreadable,
         )
         # One row per requested day and configured brand.
         for row in summary.orderBy("report_day", "brand").collect():
@@ -92,8 +104,13 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "fleet":
         snapshot = jobs.run_fleet(spark, args.path, args.table)
         print("no snapshot" if snapshot is None else f"{snapshot.count()} rows")
+    elif args.job == "stamp":
+        print(jobs.run_stamp(spark, args.path, args.out, args.at), "rows")
     elif args.job == "land":
-        fresh = jobs.run_landing(spark, args.paths, args.report, args.window_start, args.landing)
+        fresh = jobs.run_landing(
+            spark, args.paths, args.report, args.window_start or jobs.default_window_start(args.report), args.landing,
+            line_breaks=not args.no_line_breaks,
+        )
         print("landed:", ", ".join(fresh) or "nothing new")
     elif args.job == "rebuild":
         sql = args.sql.read_text("utf-8") if args.sql else jobs.SCHEDULED_GAPS_SQL

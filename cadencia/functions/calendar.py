@@ -87,7 +87,11 @@ def friday_week(stamp: Column) -> Column:
     return F.date_sub(day, F.pmod(F.weekday(day) - 4, F.lit(7)))
 
 
+def local_wall_clock(stamp: Column, zone: str = ZONE) -> Column:
+    """Zoned timestamp to the local wall clock, without zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), stamp.cast("timestamp_ntz"))
+
+
 def local_day(stamp: Column, zone: str = ZONE) -> Column:
     """Local date of a zoned timestamp."""
-    local = F.convert_timezone(F.current_timezone(), F.lit(zone), stamp.cast("timestamp_ntz"))
-    return local.cast("date")
+    return local_wall_clock(stamp, zone).cast("date")

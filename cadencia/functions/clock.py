@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadencia.functions.binding import bind
 
 _DAY_TEXT = r"^\d{1,2}/\d{1,2}/\d{4}$"
 _CLOCK_TEXT = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
 
-# Formats accepted for telemetry stamps, tried in this order.
-STAMP_FORMATS = ("d/M/yyyy H:m:s", "d/M/yyyy H:m", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "d/M/yyyy", "yyyy-M-d")
+# Formats accepted for telemetry stamps, tried in this order. Days come before months: 01/07/2026 is 1 July.
+STAMP_FORMATS = (
+    "d/M/yyyy H:m:s[.SSSSSS]", "d/M/yyyy H:m", "yyyy-M-d H:m:s[.SSSSSS]", "yyyy-M-d'T'H:m:s[.SSSSSS]", "d/M/yyyy", "yyyy-M-d",
+)
 
 DUMMY_DAY = "1900-01-01"
 
@@ -30,11 +31,8 @@ def report_day(col: Column) -> Column:
 def clock_seconds(col: Column) -> Column:
     """``HH:mm:ss`` text to seconds since midnight; ``-``, ``24:00:00`` and the like are null."""
 
-    def seconds(text: Column) -> Column:
-        part = [F.split_part(text, F.lit(":"), F.lit(i)).cast("int") for i in (1, 2, 3)]
-        return F.when(text.rlike(_CLOCK_TEXT), part[0] * 3600 + part[1] * 60 + part[2])
-
-    return bind(col, seconds)
+    part = [F.split_part(col, F.lit(":"), F.lit(i)).cast("int") for i in (1, 2, 3)]
+    return F.when(col.rlike(_CLOCK_TEXT), part[0] * 3600 + part[1] * 60 + part[2])
 
 
 def seconds_of_day(df: DataFrame, name: str) -> Column:
@@ -88,20 +86,28 @@ def strict_compact_day(col: Column) -> Column:
     return checked.cast("timestamp_ntz")
 
 
-def report_stamp(col: Column, formats: Sequence[str] = STAMP_FORMATS) -> Column:
-    """Timestamp text in one of the declared formats; otherwise null."""
+def report_stamp(col: Column, formats: Sequence[str] = STAMP_FORMATS, unreadable: str = "fail") -> Column:
+    """Timestamp text in one of the declared formats.
+
+    Other text is an error that names it, or null with ``unreadable="null"``; ``unreadable_stamps`` counts it.
+    """
+    if unreadable not in ("fail", "null"):
+        raise ValueError(f"unreadable must be 'fail' or 'null', not {unreadable!r}")
     # ``try_to_timestamp`` yields a zoned value; the session zone cancels out in the cast back.
     tried = [F.try_to_timestamp(col, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    if unreadable == "fail":
+        bad = F.raise_error(F.concat(F.lit("unreadable time stamp: "), col)).cast("timestamp_ntz")
+        tried.append(F.when(F.trim(col) != "", bad))
     return F.coalesce(*tried)
 
 
-def day_tag(day: Column) -> Column:
-    return F.date_format(day, "ddMMyy")
+def unreadable_stamps(col: Column, formats: Sequence[str] = STAMP_FORMATS) -> Column:
+    """Aggregate: how many texts no format reads; blank texts are missing, not unreadable."""
+    return F.count_if((F.trim(col) != "") & report_stamp(col, formats, unreadable="null").isNull())
 
 
-def local_wall_clock(stamp: Column, zone: str) -> Column:
-    """Zoned timestamp to the local wall clock, without zone."""
-    return F.convert_timezone(F.current_timezone(), F.lit(zone), stamp.cast("timestamp_ntz"))
+def day_tag(day: Column) -> Column:
+    return F.date_format(day, "ddMMyy")
 
 
 def whole_seconds_between(earlier: Column, later: Column) -> Column:

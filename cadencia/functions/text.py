@@ -40,11 +40,16 @@ def strip_accents(col: Column) -> Column:
 
 
 def warehouse_name(name: str) -> str:
-    """Column name without accents, upper case, other characters as ``_``, never a leading digit."""
-    decomposed = unicodedata.normalize("NFKD", name)
-    plain = "".join(ch for ch in decomposed if not unicodedata.combining(ch)).upper()
-    joined = re.sub(r"[^0-9a-zA-Z_]+", "_", plain)
-    return f"_{joined}" if joined[:1].isdigit() else joined
+    """Column name of upper-case ASCII letters, digits and ``_``; other runs are one ``_``; no digit comes first."""
+    out: list[str] = []
+    for ch in unicodedata.normalize("NFKD", name):
+        for c in ch.upper():
+            if c.isascii() and (c.isalnum() or c == "_"):
+                out.append(c)
+            elif not unicodedata.combining(c) and (not out or out[-1] != "\0"):
+                out.append("\0")  # the place of one or more other characters
+    text = "".join(out).replace("\0", "_")
+    return "_" + text if text and text[0] in "0123456789" else text
 
 
 def with_warehouse_names(df: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cadencia.session import materialize
+
 LEFT, RIGHT = "1_left", "2_right"
 
 
@@ -29,11 +31,11 @@ def compare_schemas(left: StructType, right: StructType, strict_order: bool = Fa
 
 
 def row_hash(columns: Sequence[str]) -> Column:
-    """MD5 of the row as JSON: columns by name, nulls written out."""
+    """MD5 (16 bytes) of the row as JSON: columns by name, nulls written out."""
     ordered = F.struct(*[F.col(f"`{c}`") for c in sorted(columns)])
     text = F.to_json(ordered, {"ignoreNullFields": "false"})
     # Never null, and declared so: otherwise a join on it computes it once more to drop nulls.
-    return F.coalesce(F.md5(text.cast("binary")), F.lit(""))
+    return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(bytearray()))
 
 
 def paired_counts(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -67,29 +69,36 @@ def multiset_summary(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def discrepancies(left: DataFrame, right: DataFrame, limit: int | None = 5000) -> DataFrame:
-    """All copies of every row whose count differs, side column first.
+def discrepancies(left: DataFrame, right: DataFrame, limit: int | None = None) -> DataFrame:
+    """All copies of every row whose count differs, side column first; all of them unless a ``limit`` is named.
 
-    ``limit`` is the report's size; the rows are then the first in order of all columns and side.
-    The differing hashes usually are few and AQE turns the semi join into a broadcast after
-    measuring them; otherwise it stays a shuffle whose skewed partitions AQE splits.
+    With a limit the rows are the first in order of all columns and side. The differing hashes are written
+    first: when they are few, Spark broadcasts them by their measured size and the rows of both sides are only
+    scanned; when they are many, the join shuffles and AQE splits its skewed partitions.
     """
     columns = sorted(left.columns)
-    differing = paired_counts(left, right).filter("left_count <> right_count").select("h")
+    differing = materialize(
+        paired_counts(left, right).filter("left_count <> right_count").select("h"), "audit-differing",
+    )
     sides = [
         df.select(F.lit(side).alias("side"), *[f"`{c}`" for c in columns], row_hash(columns).alias("h"))
+        .join(differing, "h", "left_semi").drop("h")
         for df, side in ((left, LEFT), (right, RIGHT))
     ]
-    rows = sides[0].unionAll(sides[1]).join(differing, "h", "left_semi").drop("h")
-    if limit is None:
-        return rows
-    return rows.orderBy(*[f"`{c}`" for c in columns], "side").limit(limit)
+    rows = sides[0].unionAll(sides[1])
+    return rows if limit is None else rows.orderBy(*[f"`{c}`" for c in columns], "side").limit(limit)
+
+
+def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """What each side has more of, by a check without hashes; ``side`` first."""
+    ordered = right.select(*[f"`{c}`" for c in left.columns])
+    only_left, only_right = left.exceptAll(ordered), ordered.exceptAll(left)
+    return only_left.select(F.lit(LEFT).alias("side"), "*").unionAll(only_right.select(F.lit(RIGHT).alias("side"), "*"))
 
 
 def multisets_equal(left: DataFrame, right: DataFrame) -> bool:
     """Independent check without hashes. An action."""
-    ordered = right.select(*[f"`{c}`" for c in left.columns])
-    return left.exceptAll(ordered).isEmpty() and ordered.exceptAll(left).isEmpty()
+    return multiset_difference(left, right).isEmpty()
 
 
 def non_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -12,7 +12,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadencia.functions.binding import bind
 from cadencia.functions.text import strip, without_bom
 from cadencia.schemas import BRANDS
 
@@ -79,6 +78,7 @@ _GROUPS = (
         "nn",
     ),
 )
+# Brands that begin a text as one word.
 KNOWN_BRANDS = ("Yutong", "ADennis", "Volvo", "BYD", "Mercedes", "Scania")
 
 FIELDS = tuple(f for g in _GROUPS for f in g.fields)
@@ -107,69 +107,52 @@ def branded_rows(df: DataFrame, text: str = TEXT) -> DataFrame:
 def squeezed(text: Column) -> Column:
     """Line breaks and tabs to blanks, runs of whitespace to exactly two blanks, trimmed, never null."""
 
-    def flat(raw: Column) -> Column:
-        broken = raw.contains("\n") | raw.contains("\r") | raw.contains("\t")
-        return F.when(broken, F.regexp_replace(raw, r"[\n\r\t]+", " ")).otherwise(raw)
-
-    plain = bind(F.coalesce(text, F.lit("")), flat)
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\n\r\t]+", " ")
     return strip(F.regexp_replace(plain, rf"(?U){_S}{{2,}}", "  "))
 
 
 def _float_text(digits: Column) -> Column:
-    """A number written as 8.1 or 8.0, never in exponent form."""
-    plain = digits.try_cast("double").cast("decimal(38,12)").cast("string")
-    return F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
+    """Text of digits and points as a number written like 8.1 or 8.0, of any length; null if it is no number."""
+    whole = F.regexp_replace(F.substring_index(digits, ".", 1), "^0+(?=.)", "")
+    part = F.regexp_replace(F.regexp_replace(digits, r"^[0-9]*\.?", ""), "0+$", "")
+    text = F.concat(F.when(whole == "", "0").otherwise(whole), F.lit("."), F.when(part == "", "0").otherwise(part))
+    return F.when(digits.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), text)
 
 
-def _field(hit: Column, group: Group, index: int) -> Column:
-    pattern = _FLAGS + group.pattern.replace(r"\s", _S)
-    kind = group.kinds[index]
-    part = F.regexp_extract(hit, pattern, index + 1)
-    if kind == "n":
-        part = part.try_cast("double")
-    elif kind == "p":
-        # Null if the number is unreadable, e.g. 1..2.
-        part = F.concat(_float_text(part), F.lit(" "), F.regexp_extract(hit, pattern, 3))
-    return F.when(hit != "", part)
+def _kept(condition: Column, value: Column) -> Column:
+    """``value`` where the condition holds. The row number, always true, keeps the optimizer from writing a
+    filter on the result out through all the steps below, which would repeat them."""
+    return F.when(condition & (F.monotonically_increasing_id() >= 0), value)
 
 
-def _start(text: Column) -> Column:
-    """Struct of brand and remainder: first word if known, else the text before a double blank."""
+def _parts(hit: Column, group: Group) -> Column:
+    """Everything a group captures, by one search."""
+    pattern = _FLAGS + group.pattern.replace(r"\s", _S)
+    n = len(group.fields) + ("p" in group.kinds)
+    return F.split(F.regexp_replace(hit, pattern, "\x01".join(f"${i + 1}" for i in range(n))), "\x01")
 
-    def split(plain: Column) -> Column:
-        word = F.regexp_extract(plain, r"(?U)^[^\s\x1c-\x1f]*", 0)
-        known = word.isin(*KNOWN_BRANDS)
-        gap = F.instr(plain, "  ")
-        return F.struct(
-            F.when(known, word).otherwise(strip(F.substring_index(plain, "  ", 1))).alias("brand"),
-            F.when(known, strip(F.substring(plain, F.length(word) + 1, F.length(plain))))
-            .when(gap > 0, F.substring(plain, gap + 2, F.length(plain)))
-            .otherwise("")
-            .alias("rest"),
-        )
 
-    return bind(squeezed(text), split)
+def _field(hit: Column, parts: Column, group: Group, index: int) -> Column:
+    part = F.get(parts, F.lit(index))
+    if group.kinds[index] == "n":
+        part = part.try_cast("double")
+    elif group.kinds[index] == "p":
+        # Null if the number is unreadable, e.g. 1..2.
+        part = F.concat(_float_text(part), F.lit(" "), F.get(parts, F.lit(len(group.fields))))
+    return _kept(hit != "", part)
 
 
-def _take_group(rest: Column, group: Group) -> Column:
-    """Struct of the text a group hit (or '') and what remains; the remainder is searched once."""
+def _hit(rest: Column, group: Group) -> Column:
+    """The text of a group, or ''. Most groups are missing from most texts, and a plain search for the anchor is cheap."""
     pattern = _FLAGS + group.pattern.replace(r"\s", _S)
+    return F.when(F.lower(rest).contains(group.anchor), F.regexp_extract(rest, pattern, 0)).otherwise("")
 
-    def cut(text: Column, hit: Column) -> Column:
-        at = F.call_function("locate", hit, text)
-        before = F.substring(text, F.lit(1), at - 1)
-        after = F.substring(text, at + F.length(hit), F.length(text))
-        return F.when(hit != "", F.concat(before, F.lit(" "), after)).otherwise(text)
-
-    def taken(text: Column) -> Column:
-        # Most groups are missing from most texts, and a plain search for the anchor is cheap.
-        possible = F.lower(text).contains(group.anchor)
-        return bind(
-            F.when(possible, F.regexp_extract(text, pattern, 0)).otherwise(""),
-            lambda hit: F.struct(hit.alias("hit"), cut(text, hit).alias("rest")),
-        )
 
-    return bind(rest, taken)
+def _without(rest: Column, hit: Column) -> Column:
+    at = F.call_function("locate", hit, rest)
+    before = F.substring(rest, F.lit(1), at - 1)
+    after = F.substring(rest, at + F.length(hit), F.length(rest))
+    return F.when(hit != "", F.concat(before, F.lit(" "), after)).otherwise(rest)
 
 
 def _tidy(part: Column) -> Column:
@@ -194,16 +177,12 @@ def key_value_entries(rest: Column) -> Column:
 
 
 def last_of_each_key(entries: Column) -> Column:
-    """Of repeated keys the last one stays."""
-
-    def last(bound: Column) -> Column:
-        def repeated(entry: Column, i: Column) -> Column:
-            later = F.slice(bound, i + 2, F.size(bound))
-            return F.exists(later, lambda other: other.key == entry.key)
+    """Of repeated keys the last one stays. ``entries`` must be a column, as it is read for every entry."""
 
-        return F.filter(bound, lambda entry, i: ~repeated(entry, i))
+    def repeated(entry: Column, i: Column) -> Column:
+        return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other.key == entry.key)
 
-    return bind(entries, last)
+    return F.filter(entries, lambda entry, i: ~repeated(entry, i))
 
 
 def parse_can(df: DataFrame, text: str = TEXT) -> DataFrame:
@@ -212,15 +191,31 @@ def parse_can(df: DataFrame, text: str = TEXT) -> DataFrame:
     A key in ``pairs`` may have the name of a fixed field; ``can_wide`` lets it win.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c != text]
-    steps = df.withColumn("_step0", _start(F.col(f"`{text}`")))
+    # Every step is a projection of its own that the next ones name more than once, so Spark keeps them apart.
+    plain, word, rest = F.col("_plain"), F.col("_word"), F.col("_rest0")
+    known = word.isin(*KNOWN_BRANDS)
+    gap = F.instr(plain, "  ")
+    steps = (
+        df.withColumn("_plain", squeezed(F.col(f"`{text}`")))
+        .withColumn("_word", F.regexp_extract(plain, r"(?U)^[^\s\x1c-\x1f]*", 0))
+        .withColumn("_brand", F.when(known, word).otherwise(strip(F.substring_index(plain, "  ", 1))))
+        .withColumn(
+            "_rest0",
+            F.when(known, strip(F.substring(plain, F.length(word) + 1, F.length(plain))))
+            .when(gap > 0, F.substring(plain, gap + 2, F.length(plain)))
+            .otherwise(""),
+        )
+    )
     fields = []
     for i, group in enumerate(_GROUPS):
-        steps = steps.withColumn(f"_step{i + 1}", _take_group(F.col(f"_step{i}.rest"), group))
-        hit = F.col(f"_step{i + 1}.hit")
-        fields += [_field(hit, group, k).alias(name) for k, name in enumerate(group.fields)]
-    rest = F.col(f"_step{len(_GROUPS)}.rest")
-    pairs = F.map_from_entries(last_of_each_key(key_value_entries(rest)))
-    return steps.select(*kept, F.col("_step0.brand").alias(BRAND), *fields, pairs.alias(PAIRS))
+        hit, parts = F.col(f"_hit{i}"), F.col(f"_parts{i}")
+        steps = steps.withColumn(f"_hit{i}", _hit(rest, group)).withColumns({f"_rest{i + 1}": _without(rest, hit), f"_parts{i}": _parts(hit, group)})
+        fields += [_field(hit, parts, group, k).alias(name) for k, name in enumerate(group.fields)]
+        rest = F.col(f"_rest{i + 1}")
+    steps = steps.withColumn("_entries", key_value_entries(rest))
+    pairs = F.map_from_entries(last_of_each_key(F.col("_entries")))
+    always = F.lit(True)
+    return steps.select(*kept, _kept(always, F.col("_brand")).alias(BRAND), *fields, _kept(always, pairs).alias(PAIRS))
 
 
 def brand_counts(df: DataFrame, text: str = TEXT) -> DataFrame:
@@ -228,7 +223,7 @@ def brand_counts(df: DataFrame, text: str = TEXT) -> DataFrame:
     spark = df.sparkSession
     brands = spark.createDataFrame([(b.name,) for b in BRANDS], "brand string")
     counted = branded_rows(df, text).groupBy("brand").agg(F.count("*").alias("n"))
-    # The brand list is fixed in the configuration, so broadcasting it is safe at any data size.
-    return counted.join(F.broadcast(brands), "brand", "right").select(
+    # At most one row per configured brand on either side.
+    return brands.join(F.broadcast(counted), "brand", "left").select(
         "brand", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows")
     )

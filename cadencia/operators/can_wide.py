@@ -14,9 +14,9 @@ from cadencia.functions.numbers import number
 from cadencia.session import materialize
 from cadencia.operators.can_text import BRAND, FIELDS, NUMERIC_FIELDS, PAIRS
 
+# Fixed value: a number with its unit.
 _WITH_UNIT = r"^([-+]?[0-9]+(?:\.[0-9]+)?)(?U:\s*)([%°a-zA-Z/]+)$"
 UNIT_SHARE = 0.8
-MAX_COLUMNS = 2000
 STAMP = "Fecha"
 _RESERVED = ("Fecha", "Hora", "brand")
 
@@ -99,13 +99,11 @@ def output_name(key: Column, taken: Sequence[str]) -> Column:
 def layouts(parsed: DataFrame, by: Sequence[str] = ("brand",)) -> list[Layout]:
     """Column layouts of all slots, equal ones together. An action.
 
-    Text with runaway keys would make a table of runaway width; past ``MAX_COLUMNS`` it is an error,
-    found before anything is gathered.
+    The layout is what a wide table's schema is, so it comes to the driver. A feed whose keys are values
+    gives a schema that no table can take: the long form, ``can_long``, holds such a feed whole, and
+    ``can_wide`` then gets the profiles of the columns that are wanted.
     """
     profile = materialize(unit_profile(parsed, by), "can-profile")
-    widest = profile.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if widest > MAX_COLUMNS:
-        raise RuntimeError(f"telemetry text yields {widest} columns, more than {MAX_COLUMNS}")
     column = F.struct(
         "column", "generic", F.when(F.col("share") > UNIT_SHARE, F.col("unit")).alias("unit")
     )
@@ -117,6 +115,20 @@ def layouts(parsed: DataFrame, by: Sequence[str] = ("brand",)) -> list[Layout]:
     ]
 
 
+def can_long(parsed: DataFrame, keys: Sequence[str], by: Sequence[str] = ("brand",)) -> DataFrame:
+    """The complete result without a limit on columns: one row per ``keys``, slot, column and value as text."""
+    texts = [c for c in _passed_through(parsed) if parsed.schema[c].dataType == T.StringType() and c not in (*keys, *by)]
+    cell = lambda name, value: F.struct(name.alias("column"), value.alias("value"))
+    named = [cell(F.lit(c), _effective(parsed, c)) for c in (BRAND, *FIELDS)]
+    named += [cell(F.lit(c), F.col(f"`{c}`")) for c in texts]
+    generic = F.filter(F.map_entries(PAIRS), lambda e: ~e.key.isin(BRAND, *FIELDS))
+    cells = F.concat(
+        F.filter(F.array(*named), lambda c: c.value.isNotNull()),
+        F.transform(generic, lambda e: cell(output_name(e.key, texts), e.value)),
+    )
+    return parsed.select(*by, *keys, F.explode(cells).alias("c")).select(*by, *keys, "c.column", "c.value")
+
+
 def _column(parsed: DataFrame, profile: Profile) -> Column:
     name = profile.column
     if name in _passed_through(parsed):
@@ -145,6 +157,7 @@ def can_wide(
     drop: Sequence[str] = (),
     formats: Sequence[str] = clock.STAMP_FORMATS,
     clock_as: str = "text",
+    unreadable: str = "fail",
 ) -> DataFrame:
     """Wide table of one layout's rows: ``Fecha``, ``Hora``, raw columns, fixed fields, keys by name.
 
@@ -161,7 +174,7 @@ def can_wide(
     if STAMP in parsed.columns:
         stamp = parsed[STAMP]
         if isinstance(parsed.schema[STAMP].dataType, T.StringType):
-            stamp = clock.report_stamp(stamp, formats)
+            stamp = clock.report_stamp(stamp, formats, unreadable)
         seconds = (F.hour(stamp) * 3600 + F.minute(stamp) * 60 + F.second(stamp)).cast("int")
         hour = clock.clock_text(seconds) if clock_as == "text" else clock.time_of_day(seconds)
         stamps = [clock.midnight(stamp).alias(STAMP), F.when(stamp.isNotNull(), hour).alias("Hora")]

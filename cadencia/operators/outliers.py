@@ -1,7 +1,8 @@
 """Per-route anomaly removal with an isolation forest (Liu, Ting, Zhou 2008).
 
-Training sees a bounded sample of a route; scoring runs over all rows in bounded pieces; the cut is
-an exact percentile taken from a bounded histogram. No step holds a whole route.
+Every tree is grown on ``tree_rows`` rows of its route, as the algorithm has it; a route's trees draw from a
+proportional pool of ``trees * tree_rows`` rows. Scoring covers all rows; the cut is an exact percentile taken from a
+bounded histogram. No step holds a whole route.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ CONTAMINATION = 0.01
 SEED = 42
 TREES = 100
 TREE_ROWS = 256
-POOL_ROWS = TREES * TREE_ROWS  # at most this many rows of a route reach one training task
 PIECE_ROWS = 100_000  # expected rows of a route scored together
-DEPTH = 8  # log2(TREE_ROWS)
+# Forests up to this size in all are sent to every task, which then scores its rows where they are.
+SHARED_BYTES = 128 << 20
 # Depths are compared as whole numbers of 1/10000 level. The mean depth lies between 0 and 20, so a
 # route has at most 200,000 different values and their counts fit in one task.
 DEPTH_UNIT = 10_000
@@ -46,19 +47,21 @@ def _unsuccessful_search(n: np.ndarray) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, 2 * harmonic - 2 * (safe - 1) / safe))
 
 
-def grow_forest(rows: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def grow_forest(
+    rows: np.ndarray, seed: int, trees: int = TREES, tree_rows: int = TREE_ROWS,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Grow all trees of a route level by level; node ``k`` has the children ``2k+1`` and ``2k+2``.
 
     Returns per tree and node the split feature (-1 at a leaf), the threshold and the leaf's depth.
     """
     rng = np.random.default_rng(seed)
-    size = min(TREE_ROWS, len(rows))
+    size = min(tree_rows, len(rows))
     depth = int(np.ceil(np.log2(max(size, 2))))
     nodes = 2 ** (depth + 1) - 1
-    feature = np.full((TREES, nodes), -1, dtype=np.int8)
-    threshold = np.zeros((TREES, nodes))
-    leaf_depth = np.zeros((TREES, nodes))
-    for t in range(TREES):
+    feature = np.full((trees, nodes), -1, dtype=np.int8)
+    threshold = np.zeros((trees, nodes))
+    leaf_depth = np.zeros((trees, nodes))
+    for t in range(trees):
         sample = rows[rng.choice(len(rows), size, replace=False)]
         at = np.zeros(size, dtype=np.int64)
         for level in range(depth + 1):
@@ -102,12 +105,12 @@ def mean_depth(
     return np.rint(total / len(feature) * DEPTH_UNIT).astype(np.int64)
 
 
-def _train(features: Sequence[str], group: str):
+def _train(features: Sequence[str], group: str, trees: int, tree_rows: int):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         # Sorted vectors and a fixed seed: the same route gives the same forest on any cluster.
         pdf = pdf.sort_values(list(features))
         vectors = pdf[list(features)].to_numpy(float)
-        feature, threshold, leaf = grow_forest(np.repeat(vectors, pdf["copies"], axis=0), SEED)
+        feature, threshold, leaf = grow_forest(np.repeat(vectors, pdf["copies"], axis=0), SEED, trees, tree_rows)
         return pd.DataFrame(
             {
                 group: [pdf[group].iloc[0]],
@@ -122,35 +125,49 @@ def _train(features: Sequence[str], group: str):
     return fit
 
 
+def _arrays(model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    shape = (-1, int(model["nodes"]))
+    return (
+        np.frombuffer(model["feature"], np.int8).reshape(shape), np.frombuffer(model["threshold"], float).reshape(shape),
+        np.frombuffer(model["leaf_depth"], float).reshape(shape),
+    )
+
+
 def _score(features: Sequence[str], columns: Sequence[str]):
     def score(rows: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
         out = rows[list(columns)].copy()
         if rows.empty:
             return out.assign(depth=pd.Series(dtype="int64"))
-        model = forest.iloc[0]
-        shape = (TREES, int(model["nodes"]))
-        out["depth"] = mean_depth(
-            rows[list(features)].to_numpy(float),
-            np.frombuffer(model["feature"], np.int8).reshape(shape),
-            np.frombuffer(model["threshold"], float).reshape(shape),
-            np.frombuffer(model["leaf_depth"], float).reshape(shape),
-        )
+        out["depth"] = mean_depth(rows[list(features)].to_numpy(float), *_arrays(forest.iloc[0]))
         return out
 
     return score
 
 
-def training_pool(df: DataFrame, sizes: DataFrame, group: str, features: Sequence[str]) -> DataFrame:
-    """About ``POOL_ROWS`` rows per group, as distinct feature vectors with ``copies``.
+def _score_in_place(features: Sequence[str], group: str, shared):
+    def score(batches):
+        for rows in batches:
+            depth = np.zeros(len(rows), np.int64)
+            for name, at in rows.groupby(group, dropna=False).indices.items():
+                depth[at] = mean_depth(rows.iloc[at][list(features)].to_numpy(float), *_arrays(shared.value[name]))
+            yield rows.assign(depth=depth)
+
+    return score
+
+
+def training_pool(
+    df: DataFrame, sizes: DataFrame, group: str, features: Sequence[str], pool_rows: int = TREES * TREE_ROWS,
+) -> DataFrame:
+    """About ``pool_rows`` rows per group, as distinct feature vectors with ``copies``.
 
     Equal vectors are counted before the shuffle, so a crowd of copies is one row here. A vector
-    with ``n`` of the group's ``N`` rows gets ``n * POOL_ROWS / N`` copies, rounded up or down by its
+    with ``n`` of the group's ``N`` rows gets ``n * pool_rows / N`` copies, rounded up or down by its
     hash: proportional, and the same on any partitioning. Small groups are kept whole.
     """
     vectors = [F.col(f).cast("double").alias(f) for f in features]
     counted = df.select(group, *vectors).groupBy(group, *features).agg(F.count("*").alias("n"))
     position = F.xxhash64(F.lit(SEED), *features).cast("double") / F.lit(2.0**64) + F.lit(0.5)
-    share = F.least(F.lit(1.0), F.lit(float(POOL_ROWS)) / F.col("group_rows"))
+    share = F.least(F.lit(1.0), F.lit(float(pool_rows)) / F.col("group_rows"))
     copies = F.floor(F.col("n") * share + F.least(position, F.lit(0.999999))).cast("bigint")
     return (
         counted.join(sizes, group)
@@ -159,33 +176,45 @@ def training_pool(df: DataFrame, sizes: DataFrame, group: str, features: Sequenc
     )
 
 
-def depth_scores(df: DataFrame, group: str = "RUTA", features: Sequence[str] = FEATURES) -> DataFrame:
+def depth_scores(
+    df: DataFrame, group: str = "RUTA", features: Sequence[str] = FEATURES,
+    trees: int = TREES, tree_rows: int = TREE_ROWS, shared_bytes: int = SHARED_BYTES,
+) -> DataFrame:
     """All rows with ``depth``, the mean isolation depth under the forest of their group.
 
-    ``df`` must be a stored table: it is read three times, and its rows are numbered while they are
-    scanned to spread them over pieces. The numbers do not influence the scores.
+    ``df`` must be a stored table: it is read several times. Group sizes and forests are written, and so measured: forests
+    of up to ``shared_bytes`` in all go to every task, and rows are scored where they are scanned. More forests
+    than that meet the rows of their group in pieces of about ``PIECE_ROWS``; the scores are the same.
     """
     columns = df.columns
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    sizes = df.groupBy(group).agg(F.count("*").alias("group_rows")).withColumn(
-        "pieces", F.ceil(F.col("group_rows") / PIECE_ROWS).cast("bigint")
+    sizes = materialize(
+        df.groupBy(group).agg(F.count("*").alias("group_rows"))
+        .withColumn("pieces", F.ceil(F.col("group_rows") / PIECE_ROWS).cast("bigint")),
+        "outliers-sizes",
     )
     model_schema = T.StructType(
         [df.schema[group], T.StructField("nodes", T.IntegerType()), T.StructField("pieces", T.LongType())]
         + _FOREST.fields
     )
-    forests = (
-        training_pool(df, sizes, group, features)
+    forests = materialize(
+        training_pool(df, sizes, group, features, trees * tree_rows)
         .groupBy(group)
-        .applyInPandas(_train(features, group), model_schema)
+        .applyInPandas(_train(features, group, trees, tree_rows), model_schema),
+        "outliers-forests",
     )
+    scored = T.StructType([*df.schema.fields, T.StructField("depth", T.LongType())])
+    used = forests.agg(F.sum(F.octet_length("feature") + F.octet_length("threshold") + F.octet_length("leaf_depth"))).first()[0] or 0
+    if used <= shared_bytes:
+        shared = df.sparkSession.sparkContext.broadcast({r[group]: r.asDict() for r in forests.collect()})
+        return df.mapInPandas(_score_in_place(features, group, shared), scored)
     per_piece = forests.withColumn(
         "piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1))
     ).drop("pieces")
+    # The row number only spreads the rows over pieces.
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
     pieces = numbered.join(sizes.select(group, "pieces"), group).withColumn(
         "piece", F.pmod(F.xxhash64("_row"), F.col("pieces"))
     )
-    scored = T.StructType([*df.schema.fields, T.StructField("depth", T.LongType())])
     return (
         pieces.drop("_row", "pieces").groupBy(group, "piece")
         .cogroup(per_piece.groupBy(group, "piece"))
@@ -203,15 +232,15 @@ def depth_cuts(scored: DataFrame, group: str = "RUTA", contamination: float = CO
 
 def without_outliers(
     df: DataFrame, group: str = "RUTA", contamination: float = CONTAMINATION,
-    features: Sequence[str] = FEATURES,
+    features: Sequence[str] = FEATURES, trees: int = TREES, tree_rows: int = TREE_ROWS, stored: bool = False,
 ) -> DataFrame:
     """Rows that are not among the ``contamination`` share of most isolated rows of their group.
 
-    Runs jobs: the input and the scores are written to the shared folder once.
+    Runs jobs: the scores, and the input unless it is a ``stored`` table, are written to the shared folder once.
     """
-    base = materialize(df, "outliers-in")
-    scored = materialize(depth_scores(base, group, features), "outliers-scored")
-    cuts = depth_cuts(scored, group, contamination)
+    base = df if stored else materialize(df, "outliers-in")
+    scored = materialize(depth_scores(base, group, features, trees, tree_rows), "outliers-scored")
+    cuts = materialize(depth_cuts(scored, group, contamination), "outliers-cuts")
     return scored.join(cuts, group).filter("depth >= cut").select(*df.columns)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cadencia.operators.audit import compare_schemas, discrepancies, multiset_summary
 from cadencia.operators.ranges import date_filter
 from cadencia.plans.store import quoted
+from cadencia.session import materialize
 from cadencia.sources.sinks import dump_discrepancies
 
 IDENTICAL, DIFFERENT, FAULT = 0, 1, 2
@@ -40,9 +41,12 @@ def compare_frames(
 
 def audit_frames(
     name: str, left: DataFrame, right: DataFrame, cutoff: str, until: str | None = None,
-    out_dir: str | None = None, dump_limit: int = 5000,
+    out_dir: str | None = None, dump_limit: int | None = None,
 ) -> Report:
-    """Schemas first, then the rows; ``out_dir`` receives the first ``dump_limit`` differing rows."""
+    """Schemas first, then the rows; ``out_dir`` receives the differing rows.
+
+    All of them, unless the caller names a ``dump_limit``; a message then says how many of how many were written.
+    """
     date.fromisoformat(cutoff)
     if until:
         date.fromisoformat(until)
@@ -53,11 +57,18 @@ def audit_frames(
     summary = multiset_summary(left, right).first().asDict()
     if not summary["only_left_rows"] + summary["only_right_rows"]:
         return Report(name, IDENTICAL, verdict.messages, summary)
-    dump = None
+    dump, messages = None, [*verdict.messages]
     if out_dir:
         dump = f"{out_dir.rstrip('/')}/discrepancies_{name}"
-        dump_discrepancies(discrepancies(left, right, dump_limit), dump)
-    return Report(name, DIFFERENT, verdict.messages, summary, dump)
+        rows = materialize(discrepancies(left, right), "audit-rows")
+        found = rows.count()
+        if dump_limit is not None and found > dump_limit:
+            rows = rows.orderBy(*[f"`{c}`" for c in rows.columns if c != "side"], "side").limit(dump_limit)
+            messages.append(f"the limit was reached: {dump_limit} of {found} differing rows were written")
+        else:
+            messages.append(f"{found} differing rows were written")
+        dump_discrepancies(rows, dump)
+    return Report(name, DIFFERENT, messages, summary, dump)
 
 
 def audit_pair(spark: SparkSession, pair: Pair, cutoff: str, **options) -> Report:

@@ -10,26 +10,28 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadencia.functions import clock
+from cadencia.functions import calendar, clock, shifts
 from cadencia.functions.text import null_if_na
 from cadencia.operators.can_text import branded_rows, parse_can
 from cadencia.operators.can_wide import can_wide, layouts
-from cadencia.operators.fleet import fleet_snapshot
+from cadencia.operators.fleet import fleet_snapshot, stamp_snapshot
 from cadencia.operators.outliers import warn_if_over_cut, without_outliers
 from cadencia.operators.ranges import RangeKey
 from cadencia.operators.trips import headways, typed_trips
 from cadencia.plans.store import rebuild_table, replace_range
 from cadencia.schemas import BRANDS
 from cadencia.session import ensure_time_type, materialize
-from cadencia.sources.landing import land_report
+from cadencia.sources.landing import ORIGIN, land_report, landed
 from cadencia.sources.reports import (
+    UNNAMED,
     days_between,
     list_files,
     read_can_reports,
     read_fleet_report,
+    read_schedule_extract,
     require_content,
 )
-from cadencia.sources.sinks import append_table
+from cadencia.sources.sinks import append_table, output_path, write_csv
 
 TRIP_KEY = RangeKey("FECHA", "PARTIDA_REAL", "PARTIDA_PLANEADA")
 HEADWAY_KEY = RangeKey("FECHA", "PARTIDA_REAL")
@@ -42,59 +44,64 @@ class TripTables(NamedTuple):
     gaps: str
 
 
-def landed_trip_report(spark: SparkSession, landing: str, names: Sequence[str]) -> DataFrame:
-    """Landed trip files as they were, with missing-value tokens as nulls."""
-    landed = spark.read.parquet(f"{landing}/report=trips").filter(F.col("source_file").isin(*names))
-    raw = landed.drop("window_start", "source_file")
-    return raw.select(*[null_if_na(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+def landed_trip_report(spark: SparkSession, landing: str, raw_path: str) -> DataFrame:
+    """The landed rows of the files that ``raw_path`` names now, in their present version, missing-value tokens as nulls."""
+    raw = landed(spark, landing, "trips", versions="all", paths=raw_path).drop(*ORIGIN, "report")
+    return raw.select(*[null_if_na(F.col(f"`{c}`")).alias(c) for c in raw.columns if not UNNAMED.fullmatch(c)])
 
 
 def run_trips(
     spark: SparkSession, raw_path: str, start: datetime, end: datetime, tables: TripTables,
-    landing: str, remove_outliers: bool = True, stray: str = "reject",
+    landing: str, remove_outliers: bool = True, stray: str = "keep", line_breaks: bool = True, out_root: str | None = None,
 ) -> dict[str, int]:
     """Weekly trips: land the report, replace the week in both histories, rebuild scheduled gaps.
 
-    The CSV is parsed once, by the landing; both branches read the landed columns. The gaps are
-    rebuilt from the trip table and therefore strictly after it. Returns rows written per table.
+    The CSV is parsed once, by the landing; both branches read the landed columns. A file that was corrected
+    under its old name is landed as a new version, and its rows are the ones that count. The gaps are
+    rebuilt from the trip table and therefore strictly after it. ``out_root`` receives the processed tables as CSV, named
+    after the raw file. Returns rows written per table.
     """
     ensure_time_type(spark)
     require_content(spark, raw_path)
-    land_report(spark, raw_path, "trips", f"{start:%Y-%m-%d}", landing)
-    names = [r["name"] for r in list_files(spark, raw_path).select("name").collect()]
-    raw = landed_trip_report(spark, landing, names)
-    written = {tables.trips: replace_range(typed_trips(raw), tables.trips, TRIP_KEY, start, end, stray=stray)}
+    land_report(spark, raw_path, "trips", f"{start:%Y-%m-%d}", landing, line_breaks=line_breaks)
+    raw = landed_trip_report(spark, landing, raw_path)
+    trips = typed_trips(raw)
+    written = {tables.trips: replace_range(trips, tables.trips, TRIP_KEY, start, end, stray=stray)}
     rows = materialize(headways(raw), "headways")
     if remove_outliers:
-        inliers = materialize(without_outliers(rows), "headway-inliers")
+        inliers = materialize(without_outliers(rows, stored=True), "headway-inliers")
         warn_if_over_cut(rows.count(), inliers.count())
         rows = inliers
     written[tables.headways] = replace_range(
-        rows, tables.headways, HEADWAY_KEY, start, end, date_type="DATETIME"
+        rows, tables.headways, HEADWAY_KEY, start, end, date_type="DATETIME", stray=stray
     )
+    if out_root:
+        name = list_files(spark, raw_path).orderBy("name").first()["name"]
+        for label, df in (("trips", trips), ("headways", rows)):
+            write_csv(df, output_path(out_root, label, name))
     written[tables.gaps] = rebuild_table(spark, SCHEDULED_GAPS_SQL, tables.trips, tables.gaps)
     return written
 
 
 def run_can(
     spark: SparkSession, folder: str, first: date, last: date, out_dir: str,
-    formats: Sequence[str] = clock.STAMP_FORMATS,
+    formats: Sequence[str] = clock.STAMP_FORMATS, line_breaks: bool = True, unreadable: str = "fail",
 ) -> tuple[DataFrame, list[date]]:
     """Telemetry of a range of days: one scan, one wide output per brand and day.
 
     Returns rows per day and brand (zero rows included) and the days without a file. Days of a brand
     whose columns agree are written together, to ``out_dir/<brand>/report_day=...``.
     """
-    raw, skipped = read_can_reports(spark, folder, first, last)
+    raw, skipped = read_can_reports(spark, folder, first, last, line_breaks)
     if raw is None:
         return can_summary(spark, None, []), skipped
-    parsed = materialize(parse_can(branded_rows(raw)), "can-parsed", partition_by="brand")
+    parsed = materialize(parse_can(branded_rows(raw)), "can-parsed", partition_by=("brand", "report_day"))
     drop = {b.name: b.drop for b in BRANDS}
     for layout in layouts(parsed, ("brand", "report_day")):
         for brand in sorted({s[0] for s in layout.slots}):
             days = [s[1] for s in layout.slots if s[0] == brand]
             rows = parsed.filter((F.col("brand") == brand) & F.col("report_day").isin(days))
-            wide = can_wide(rows, layout.profiles, drop[brand], formats)
+            wide = can_wide(rows, layout.profiles, drop[brand], formats, unreadable=unreadable)
             (
                 wide.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
@@ -129,13 +136,31 @@ def run_fleet(spark: SparkSession, path: str, table: str | None = None) -> DataF
     return snapshot
 
 
+def run_stamp(spark: SparkSession, path: str, out: str, at: datetime | None = None) -> int:
+    """Date and shift of ``at`` (default: now, local) put before a schedule extract, written as CSV; returns its rows."""
+    at = at or calendar.wall_clock()
+    stamped = stamp_snapshot(read_schedule_extract(spark, path), at.date(), shifts.clock_shift(F.lit(at.hour)))
+    write_csv(stamped, out)
+    return stamped.count()
+
+
 # Reports that are only landed; their columns are not interpreted.
 LANDED_REPORTS = ("circuits_detailed", "circuits_executive", "withdrawals", "operators", "trips")
 
 
+def default_window_start(report: str) -> date:
+    """Where a land-only report's window begins: Friday's week for operators, yesterday for withdrawals, else the calendar week."""
+    if report == "operators":
+        return calendar.last_friday_week()[0]
+    if report == "withdrawals":
+        return calendar.yesterday()
+    return calendar.last_calendar_week()[0]
+
+
 def run_landing(
-    spark: SparkSession, paths: str | Sequence[str], report: str, window_start: date, landing: str
+    spark: SparkSession, paths: str | Sequence[str], report: str, window_start: date, landing: str,
+    line_breaks: bool = True,
 ) -> list[str]:
     if report not in LANDED_REPORTS and not report.startswith("can_"):
         raise ValueError(f"unknown report {report!r}")
-    return land_report(spark, paths, report, window_start.isoformat(), landing)
+    return land_report(spark, paths, report, window_start.isoformat(), landing, line_breaks=line_breaks)

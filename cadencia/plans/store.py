@@ -16,7 +16,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadencia.functions import calendar
+from cadencia.functions import calendar, clock
 from cadencia.operators.ranges import (
     RangeKey,
     check_window,
@@ -25,12 +25,11 @@ from cadencia.operators.ranges import (
     range_replaced,
 )
 from cadencia.schemas import PARTITION_COLUMN
-from cadencia.session import scratch_dir
+from cadencia.session import materialize, scratch_dir
 
 _TABLE = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_-]*(\.[A-Za-z0-9_]+){1,2}")
 _STAGED, _OLD = "__staged", "__old"
 _WEEKS = "touched_weeks"
-MAX_STRAY_WEEKS = 1000
 
 
 def checked_name(name: str, label: str = "table") -> str:
@@ -69,7 +68,7 @@ def with_week(df: DataFrame, key: RangeKey) -> DataFrame:
 
 def create_history(df: DataFrame, table: str, key: RangeKey) -> None:
     """Create the table from its first rows, which may be none."""
-    with_week(df, key).write.partitionBy(PARTITION_COLUMN).saveAsTable(checked_name(table))
+    with_week(df, key).hint("rebalance", PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN).saveAsTable(checked_name(table))
 
 
 def weeks_touched(start: datetime, end: datetime) -> list[date]:
@@ -79,25 +78,24 @@ def weeks_touched(start: datetime, end: datetime) -> list[date]:
     return [first + timedelta(weeks=i) for i in range((last - first).days // 7 + 1)]
 
 
-def _stray_weeks(weekly: DataFrame, key: RangeKey, start: datetime, end: datetime) -> list[date]:
-    outside = weekly.filter(~F.coalesce(in_window(key.column(weekly), start, end), F.lit(False)))
-    found = outside.select(PARTITION_COLUMN).distinct().limit(MAX_STRAY_WEEKS + 1).collect()
-    if len(found) > MAX_STRAY_WEEKS:
-        raise RuntimeError(f"rows outside the window touch more than {MAX_STRAY_WEEKS} weeks")
-    return [r[0] for r in found]
+def _strays(weekly: DataFrame, key: RangeKey, start: datetime, end: datetime) -> DataFrame:
+    """Week and instant of the rows outside the window, each once."""
+    at = key.column(weekly)
+    outside = weekly.filter(~F.coalesce(in_window(at, start, end), F.lit(False)))
+    return outside.select(F.col(PARTITION_COLUMN).alias("stray_week"), at.alias("stray_at")).distinct()
 
 
 def replace_range(
     new: DataFrame, table: str, key: RangeKey, start: datetime, end: datetime,
-    date_type: str = "TIMESTAMP", stray: str = "reject",
+    date_type: str = "TIMESTAMP", stray: str = "keep",
 ) -> int:
     """Replace the rows of ``[start, end)`` by ``new``; running it again changes nothing.
 
-    The guard looks at rows with a main time. A row without one is placed by the fallback time and
-    may fall outside the window: ``stray="reject"`` refuses such rows, ``stray="keep"`` adds them,
-    and then every run adds them again. ``new`` is computed once, into the stage, and checked there;
-    only the touched weeks of the table are read and rewritten, without a shuffle. Returns the number
-    of new rows.
+    The guard looks at rows with a main time. A row without one is placed by the fallback time, or at midnight, and
+    may fall outside the window. ``stray="keep"`` loads such rows in place of those without a main time that stand
+    at the same instants, which are the ones an earlier run of the report left; ``stray="reject"`` refuses
+    them. ``new`` is computed once, into the stage, and checked there; only the touched weeks of the table are read
+    and rewritten. Returns the number of new rows.
     """
     check_window_arguments(start, end, date_type)
     if stray not in ("reject", "keep"):
@@ -109,24 +107,30 @@ def replace_range(
     weekly.write.parquet(path)
     staged_new = spark.read.schema(weekly.schema).parquet(path)
     written = check_window(staged_new, key, start, end)
-    stray_weeks = _stray_weeks(staged_new, key, start, end)
-    if stray_weeks and stray == "reject":
-        raise RuntimeError(f"rows without {key.time} lie outside the window, in weeks {stray_weeks}")
+    strays = materialize(_strays(staged_new, key, start, end), "strays")
+    if stray == "reject" and not strays.isEmpty():
+        raise RuntimeError(f"rows without {key.time} lie outside the window, the first at {strays.agg(F.min('stray_at')).first()[0]}")
     if not spark.catalog.tableExists(checked_name(table)):
         create_history(spark.createDataFrame([], new.schema), table, key)
-    weeks = sorted({*weeks_touched(start, end), *stray_weeks})
+    weeks = weeks_touched(start, end)
     current = spark.table(quoted(table))
-    touched = current.filter(F.col(PARTITION_COLUMN).isin(weeks))
+    inside = F.col(PARTITION_COLUMN).isin(weeks)
+    # Weeks of strays are found by a join on the partition column, which prunes the scan.
+    more = current.filter(~inside).join(strays.select(F.col("stray_week").alias(PARTITION_COLUMN)).distinct(), PARTITION_COLUMN, "left_semi")
+    touched = current.filter(inside).unionByName(more)
     kept = range_replaced(touched, touched.limit(0), key, start, end)
+    left_before = clock.seconds_of_day(kept, key.time).isNull() & (key.column(kept) == F.col("stray_at"))
+    kept = kept.join(strays, left_before, "left_anti")
     kept.select(*weekly.columns).write.mode("append").parquet(path)
     listed = ",".join(w.isoformat() for w in weeks)
     spark.sql(
         f"CREATE TABLE {quoted(table + _STAGED)} USING parquet LOCATION '{path}' "
         f"TBLPROPERTIES ('{_WEEKS}'='{listed}')"
     )
-    staged_rows = spark.table(quoted(table + _STAGED)).count()
+    staged = spark.table(quoted(table + _STAGED))
+    staged_rows, staged_weeks = staged.count(), materialize(staged.select(PARTITION_COLUMN).distinct(), "weeks")
     finish_replace(spark, table)
-    stored = spark.table(quoted(table)).filter(F.col(PARTITION_COLUMN).isin(weeks)).count()
+    stored = spark.table(quoted(table)).join(staged_weeks, PARTITION_COLUMN, "left_semi").count()
     if stored != staged_rows:
         raise RuntimeError(f"{table}: {stored} rows in the touched weeks, {staged_rows} were staged")
     return written
@@ -143,11 +147,13 @@ def finish_replace(spark: SparkSession, table: str) -> bool:
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(staged_name)}").collect()}
     columns = [f"`{c}`" for c in spark.table(quoted(table)).columns]
     staged = spark.table(quoted(staged_name)).select(*columns)
-    # No more weeks than the touched ones listed in the property.
-    filled = {r[0] for r in staged.select(PARTITION_COLUMN).distinct().collect()}
+    listed = list(map(date.fromisoformat, properties[_WEEKS].split(",")))
+    # No more weeks than the window's, which the property lists.
+    filled = {r[0] for r in staged.filter(F.col(PARTITION_COLUMN).isin(listed)).select(PARTITION_COLUMN).distinct().collect()}
+    # A few even files per week instead of one per task and week; a heavy week is split.
     with _dynamic_overwrite(spark):
-        staged.write.mode("overwrite").insertInto(quoted(table))
-    for week in map(date.fromisoformat, properties[_WEEKS].split(",")):
+        staged.hint("rebalance", PARTITION_COLUMN).write.mode("overwrite").insertInto(quoted(table))
+    for week in listed:
         if week not in filled:
             spark.sql(
                 f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}=DATE'{week}')"

@@ -71,7 +71,7 @@ def _remove(spark: SparkSession, path: str) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: str | tuple[str, ...] | None = None) -> DataFrame:
     """Write an intermediate result as Parquet in the shared folder and read it back.
 
     Used where a result feeds several jobs: it is computed once, lost executors cannot take it away,
@@ -81,17 +81,7 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     writer.parquet(path)
     # The schema is given, so reading back needs no footer scan and keeps partition value types.
     return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a few files out to all cores; many files are left alone.
-
-    For reports that cannot be split (CSV values with line breaks): one task per file would do all
-    the parsing that follows. ``scan`` must be a plain read.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan

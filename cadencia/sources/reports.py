@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.functions.text import null_if_na, without_bom
-from cadencia.session import spread
 
 FILES = T.StructType(
     [
@@ -21,6 +20,7 @@ FILES = T.StructType(
         T.StructField("name", T.StringType()),
         T.StructField("modified", T.TimestampType()),
         T.StructField("bytes", T.LongType()),
+        T.StructField("location", T.StringType()),
     ]
 )
 
@@ -35,7 +35,7 @@ def _files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame | None:
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Path, name, modification time and size of the non-empty files a glob matches, contents unread."""
+    """Path, name, modification time, size and location (as row metadata gives it) of a glob's non-empty files, contents unread."""
     files = _files(spark, path)
     if files is None:
         return spark.createDataFrame([], FILES)
@@ -44,6 +44,7 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         F.url_decode(F.element_at(F.split("path", "/"), -1)).alias("name"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("bytes"),
+        F.col("_metadata.file_path").alias("location"),
     )
 
 
@@ -68,49 +69,50 @@ def require_content(spark: SparkSession, path: str) -> None:
         raise RuntimeError(f"empty report at {path}")
 
 
+UNNAMED = re.compile(r"_c\d+")
+
+
 def read_text_columns(
     spark: SparkSession, path: str | Sequence[str], sep: str, encoding: str,
-    na_as_null: bool = False, line_breaks: bool = True, name_column: str | None = None,
+    na_as_null: bool = False, line_breaks: bool = True, unnamed: bool = False,
+    partitions: int | None = None, origin: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """A CSV report with a header, all columns as text; columns without a header are left out.
+    """A CSV report with a header, all columns as text.
 
-    Files read together must share one header, or the read fails. Quoted values may hold line breaks;
-    for huge files that have none, ``line_breaks=False`` lets Spark split a file between tasks.
-    ``name_column`` adds the name of the file a row comes from.
+    Columns without a header are called ``_c<position>`` and left out unless ``unnamed``. Files read together must
+    share one header, or the read fails; the headers are read first, one line per file, and then all files in one
+    scan. Quoted values may hold line breaks, which keeps a file in one task: for huge files without any,
+    ``line_breaks=False`` lets Spark split it, and ``partitions`` deals the rows of unsplittable files out. ``origin`` adds
+    columns, of the file's metadata for example.
     """
-
-    def scan(paths: str | list[str], check_headers: bool) -> DataFrame:
-        return spark.read.csv(
-            paths, sep=sep, encoding=encoding, header=True, inferSchema=False, escape='"',
-            multiLine=line_breaks, enforceSchema=not check_headers,
-        )
-
-    def named(df: DataFrame) -> DataFrame:
-        df = without_bom(df)
-        columns = []
-        for name in df.columns:
-            if not re.fullmatch(r"_c\d+", name):
-                col = F.col(f"`{name}`")
-                columns.append((null_if_na(col) if na_as_null else col).alias(name))
-        if name_column:
-            columns.append(F.col("_metadata.file_name").alias(name_column))
-        return df.select(*columns)
-
-    df = scan(path if isinstance(path, str) else list(path), check_headers=True)
+    reader = functools.partial(
+        spark.read.csv, sep=sep, encoding=encoding, header=True, inferSchema=False, escape='"', multiLine=line_breaks,
+    )
+    paths = path if isinstance(path, str) else list(path)
+    df = without_bom(reader(paths))
     files = df.inputFiles()
-    if len(files) == 1:
-        df = named(scan(files, check_headers=False))
-    elif any(re.fullmatch(r"_c\d+", c) for c in df.columns):
-        # Spark's header check does not know unnamed columns; matching by name takes its place.
-        df = functools.reduce(DataFrame.unionByName, [named(scan([f], check_headers=False)) for f in files])
-    else:
-        df = named(df)
-    return spread(df) if line_breaks else df
-
-
-def read_trip_report(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    if len(files) > 1:
+        for file in files:
+            header = without_bom(reader([file])).columns
+            if header != df.columns:
+                raise ValueError(f"the header of {file} differs from the first file's: {header} against {df.columns}")
+    columns = []
+    for name in df.columns:
+        if unnamed or not UNNAMED.fullmatch(name):
+            col = F.col(f"`{name}`")
+            columns.append((null_if_na(col) if na_as_null else col).alias(name))
+    columns += [col.alias(name) for name, col in (origin or {}).items()]
+    df = df.select(*columns)
+    return df.repartition(partitions) if partitions else df
+
+
+def read_trip_report(
+    spark: SparkSession, path: str, line_breaks: bool = True, partitions: int | None = None,
+) -> DataFrame:
     require_content(spark, path)
-    return read_text_columns(spark, path, ";", "ISO-8859-1", na_as_null=True, line_breaks=line_breaks)
+    return read_text_columns(
+        spark, path, ";", "ISO-8859-1", na_as_null=True, line_breaks=line_breaks, partitions=partitions,
+    )
 
 
 def read_fleet_report(spark: SparkSession, path: str) -> DataFrame | None:
@@ -136,7 +138,8 @@ def days_between(first: date, last: date) -> list[date]:
 
 
 def read_can_reports(
-    spark: SparkSession, folder: str, first: date, last: date
+    spark: SparkSession, folder: str, first: date, last: date,
+    line_breaks: bool = True, partitions: int | None = None,
 ) -> tuple[DataFrame | None, list[date]]:
     """Telemetry of all days in one scan with a ``report_day`` column, and the days without a file.
 
@@ -150,7 +153,8 @@ def read_can_reports(
     if not found:
         return None, skipped
     df = read_text_columns(
-        spark, sorted(found.values()), ";", "ISO-8859-1", na_as_null=True, name_column="_file"
+        spark, sorted(found.values()), ";", "ISO-8859-1", na_as_null=True, line_breaks=line_breaks,
+        partitions=partitions, origin={"_file": F.col("_metadata.file_name")},
     )
     tag = F.regexp_extract("_file", r"CAN-(\d{6})\.csv$", 1)
     return df.withColumn("report_day", F.to_date(tag, "ddMMyy")).drop("_file"), skipped

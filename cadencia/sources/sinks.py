@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimeType
 
 from cadencia.functions import clock
+from cadencia.operators.audit import compare_schemas
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
@@ -62,20 +63,18 @@ def read_processed_csv(spark: SparkSession, path: str, schema: StructType) -> Da
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    """Append, creating the table on first use; columns are matched by name."""
+    """Append, creating the table on first use; columns are matched by name, and any other difference is an error."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
+        verdict = compare_schemas(df.schema, spark.table(table).schema)
+        if not verdict.same:
+            raise ValueError(f"rows do not fit {table}: {'; '.join(verdict.messages)}")
         df = df.select(*[f"`{c}`" for c in spark.table(table).columns])
         df.write.mode("append").insertInto(table)
     else:
         df.write.saveAsTable(table)
 
 
-def write_brands(parsed: DataFrame, path: str) -> None:
-    """Parsed telemetry in one pass, one folder per brand."""
-    parsed.write.mode("overwrite").partitionBy("brand").parquet(path)
-
-
 def dump_discrepancies(rows: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
     """The discrepancy report as CSV, side column first."""
     order = columns or [c for c in rows.columns if c != "side"]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadencia.operators.can_text import brand_counts, branded_rows, parse_can, squeezed, valid_rows
-from cadencia.operators.can_wide import can_wide, layouts, unit_profile
+from cadencia.operators.can_wide import can_long, can_wide, layouts, unit_profile
 from cadencia.plans.jobs import run_can
 from cadencia.schemas import BRANDS
 
@@ -94,10 +94,16 @@ def test_drop_names_follow_the_unit(spark):
     assert df.columns == ["Fecha", "Hora", "Empresa"]
 
 
-def test_runaway_keys_are_refused(spark, monkeypatch):
-    monkeypatch.setattr("cadencia.operators.can_wide.MAX_COLUMNS", 3)
-    with pytest.raises(RuntimeError, match="columns"):
-        wide(spark, ["Volvo  a = 1  b = 2  c = 3"])
+def test_long_form_holds_any_number_of_keys(spark):
+    rows = parse_can(can(spark, ["Volvo  " + "  ".join(f"k{i} = {i} h" for i in range(3000))], "Volvo").withColumn("id", F.lit("1")))
+    long = can_long(rows, ["id"]).filter("column like 'k%'")
+    assert {r.column: r.value for r in long.collect()} == {f"k{i}": f"{i} h" for i in range(3000)}
+
+
+def test_long_numbers_keep_their_digits(spark):
+    texts = ["Volvo  Tanque 1 y 2 = 123456789012345678901234567890.50 y 0.0000000000001 kPa", "Volvo  Tanque 1 y 2 = 007. y 1..2 kPa"]
+    got = [(r.Tanque_1_kPa, r.Tanque_2_kPa) for r in parse_can(can(spark, texts)).collect()]
+    assert got == [("123456789012345678901234567890.5 kPa", "0.0000000000001 kPa"), ("7.0 kPa", None)]
 
 
 def test_profile_counts(spark):

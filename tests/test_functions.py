@@ -46,7 +46,7 @@ def test_days(spark):
     assert values(spark, "string", ["20260701"], clock.strict_compact_day) == [datetime(2026, 7, 1)]
     with pytest.raises(Exception, match="not a yyyyMMdd date"):
         values(spark, "string", ["2026-07-01"], clock.strict_compact_day)
-    stamps = values(spark, "string", ["01/07/2026 05:06:07", "2026-07-01 05:06", "x"], clock.report_stamp)
+    stamps = values(spark, "string", ["01/07/2026 05:06:07", "2026-07-01 05:06", "x"], lambda c: clock.report_stamp(c, unreadable="null"))
     assert stamps == [datetime(2026, 7, 1, 5, 6, 7), None, None]
     assert values(spark, "date", [day], clock.day_tag) == ["010726"]
     assert values(spark, "date", [date(2026, 6, 22), date(2026, 6, 28)], clock.weekday) == [0, 6]
@@ -117,5 +117,15 @@ def test_week_columns(spark):
     fridays = values(spark, "timestamp_ntz", stamps, calendar.friday_week)
     assert fridays == [date(2026, 7, 10), date(2026, 7, 10), date(2026, 7, 10), date(2026, 7, 3)]
     assert values(spark, "timestamp_ntz", stamps[:1], calendar.calendar_week) == [date(2026, 7, 13)]
-    zoned = clock.local_wall_clock(F.lit("2026-07-01 05:00:00").cast("timestamp"), calendar.ZONE)
+    zoned = calendar.local_wall_clock(F.lit("2026-07-01 05:00:00").cast("timestamp"))
     assert spark.range(1).select(zoned.alias("v")).first().v == datetime(2026, 6, 30, 23)
+
+
+def test_unreadable_stamps_are_counted_and_refused(spark):
+    texts = ["2026-07-01 05:06:07.123", "01/07/2026 05:06:07", "1/7/2026 5:06:07 p. m.", "  ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.agg(clock.unreadable_stamps(F.col("t")).alias("n")).first().n == 1
+    read = df.filter("coalesce(t, '') not like '%m.'").select(clock.report_stamp(F.col("t")).alias("v")).collect()
+    assert [r.v for r in read] == [datetime(2026, 7, 1, 5, 6, 7, 123000), datetime(2026, 7, 1, 5, 6, 7), None, None]
+    with pytest.raises(Exception, match="unreadable time stamp"):
+        df.select(clock.report_stamp(F.col("t"))).collect()

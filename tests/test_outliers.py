@@ -36,11 +36,10 @@ def test_removes_about_one_percent_and_the_planted_row(spark):
     assert again == ids
 
 
-def test_pool_is_bounded_and_proportional(spark, monkeypatch):
-    monkeypatch.setattr(outliers, "POOL_ROWS", 600)
+def test_pool_is_bounded_and_proportional(spark):
     df = headway_rows(spark)
     sizes = df.groupBy("RUTA").agg(F.count("*").alias("group_rows")).withColumn("pieces", F.lit(1).cast("bigint"))
-    pool = training_pool(df, sizes, "RUTA", outliers.FEATURES)
+    pool = training_pool(df, sizes, "RUTA", outliers.FEATURES, 600)
     copies = {r.RUTA: r.n for r in pool.groupBy("RUTA").agg(F.sum("copies").alias("n")).collect()}
     assert 500 < copies["L1"] < 700 and copies["SAME"] == 300 and copies["ONE"] == 1
 
@@ -49,7 +48,7 @@ def test_pieces_do_not_change_scores(spark, monkeypatch):
     df = materialize(headway_rows(spark), "test")
     whole = sorted((r.id, r.depth) for r in depth_scores(df).collect())
     monkeypatch.setattr(outliers, "PIECE_ROWS", 250)
-    assert sorted((r.id, r.depth) for r in depth_scores(df).collect()) == whole
+    assert sorted((r.id, r.depth) for r in depth_scores(df, shared_bytes=0).collect()) == whole
 
 
 def test_cut_is_the_interpolated_percentile(spark):

@@ -99,6 +99,33 @@ def test_landing_skips_known_names(spark, tmp_path):
         run_landing(spark, str(raw), "unknown", date(2026, 7, 1), target)
 
 
+def test_corrected_and_equally_named_files_are_landed(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "landed")
+    for folder in ("x", "y"):
+        (raw / folder).mkdir(parents=True)
+        (raw / folder / "a.csv").write_text(f"p;;q\n1;{folder};2\n")
+    land = lambda: run_landing(spark, f"{raw}/*/*.csv", "withdrawals", date(2026, 7, 1), target)
+    assert land() == ["a.csv", "a.csv"] and land() == []
+    rows = landed(spark, target, "withdrawals").collect()
+    assert sorted((r.p, r["_c1"], r.q) for r in rows) == [("1", "x", "2"), ("1", "y", "2")]
+    (raw / "x" / "a.csv").write_text("p;;q\n9;corrected;2\n8;more;2\n")
+    os.utime(raw / "x" / "a.csv", (1_900_000_000, 1_900_000_000))
+    assert land() == ["a.csv"]
+    newest = sorted(r["_c1"] for r in landed(spark, target, "withdrawals").collect())
+    assert newest == ["corrected", "more", "y"]
+    assert landed(spark, target, "withdrawals", versions="all").count() == 4
+
+
+def test_append_refuses_other_columns(spark, schema):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    append_table(df, f"{schema}.t")
+    for odd in (df.withColumn("c", F.lit(1)), df.drop("a"), df.withColumn("a", F.lit("1"))):
+        with pytest.raises(ValueError, match="do not fit"):
+            append_table(odd, f"{schema}.t")
+    append_table(df.select("b", "a"), f"{schema}.t")
+    assert spark.table(f"{schema}.t").count() == 2
+
+
 def test_fleet(spark, tmp_path, schema):
     (tmp_path / "extract.csv").write_text("Ruta;Jornada;Económico;Empresa Programado;Empresa Real\nL1;5;007;A;B\nL2;x;8;A;\n")
     extract = read_schedule_extract(spark, str(tmp_path / "extract.csv"))
