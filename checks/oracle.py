@@ -142,7 +142,10 @@ def _can(pattern: str, group: int = 1) -> str:
 
 
 _TANK = r"Tanque 1 y 2 = ([\d.]+) y ([\d.]+) kPa"
-_TEMP = "Temperatura Baterias = ([0-9.]+) ([A-Za-z°]+),"
+_TEMP = "Temperatura Baterias = ([0-9.]+) (°C),"
+_MIN_MAX = r"Temperatura Baterias = ([\d.]+) (\w+), ([\d.]+) (\w+)"
+_BRAKES = "Condicion de Frenos: " + ", ".join(rf"{w} = ([\d.]+)" for w in ("Del_D", "Del_I", "Tra_D1", "Tra_I1", "Tra_D2", "Tra_I2"))
+_STEERING = r"ALARM Steering = (\w+), Brake = (\w+)"
 _ALARM = r"ALARM Motor = (\w+), Battery = (\w+), Air = (\w+)"
 _FUEL = r"Horas = ([\d.]+), Total Fuel usado = ([\d.]+)"
 _PAIRS = {
@@ -150,22 +153,29 @@ _PAIRS = {
     "Velocidad": _can(r"Velocidad = ([\d.]+ km/h)"),
     "SOC": _can(r"SOC = (\d+ %)"),
     "Nivel": _can(r".*Nivel = (\w+)"),
+    "Par": _can(r"Par = (\d+ \w+)"),
+    "Presion": _can("Presion = (alta|5 bar)"),
+    "Caudal": _can(r"Caudal = (alto|[\d.]+ lpm)"),
+    "Solo": _can(r"Solo = (\d+ V)"),
 }
 _FIELDS = {
     "Tanque_1_kPa": f"{_can(_TANK, 1)} || ' kPa'",
     "Tanque_2_kPa": f"{_can(_TANK, 2)} || ' kPa'",
-    "Temp_Bat_Min": "cast(null as double)",
-    "Temp_Bat_Min_Tipo": "cast(null as varchar)",
-    "Temp_Bat_Max": "cast(null as double)",
-    "Temp_Bat_Max_Tipo": "cast(null as varchar)",
+    "Temp_Bat_Min": f"cast({_can(_MIN_MAX, 1)} as double)",
+    "Temp_Bat_Min_Tipo": _can(_MIN_MAX, 2),
+    "Temp_Bat_Max": f"cast({_can(_MIN_MAX, 3)} as double)",
+    "Temp_Bat_Max_Tipo": _can(_MIN_MAX, 4),
     "Temp_Bat": f"cast({_can(_TEMP, 1)} as double)",
     "Temp_Bat_Unidad": _can(_TEMP, 2),
-    **{f"Freno_{w}": "cast(null as double)" for w in ("Del_D", "Del_I", "Tra_D1", "Tra_I1", "Tra_D2", "Tra_I2")},
+    **{
+        f"Freno_{w}": f"cast({_can(_BRAKES, i + 1)} as double)"
+        for i, w in enumerate(("Del_D", "Del_I", "Tra_D1", "Tra_I1", "Tra_D2", "Tra_I2"))
+    },
     "ALARM_Motor": _can(_ALARM, 1),
     "ALARM_Battery": _can(_ALARM, 2),
     "ALARM_Air": _can(_ALARM, 3),
-    "ALARM_Steering": "cast(null as varchar)",
-    "ALARM_Brake": "cast(null as varchar)",
+    "ALARM_Steering": _can(_STEERING, 1),
+    "ALARM_Brake": _can(_STEERING, 2),
     "Horas": f"cast({_can(_FUEL, 1)} as double)",
     "Total_Fuel_Litros": f"cast({_can(_FUEL, 2)} as double)",
 }
@@ -179,7 +189,7 @@ _CELLS = " union all ".join(
 
 def _stripped(expr: str) -> str:
     """Halves to even, as DuckDB's round on doubles goes away from zero."""
-    return f"cast(round_even(cast(regexp_extract({expr}, '^([0-9.]+)', 1) as double), 0) as bigint)"
+    return f"cast(round_even(try_cast(regexp_extract({expr}, '^([0-9.]+)', 1) as double), 0) as bigint)"
 
 
 _ALTERED = f"({altered_lineitem_sql()})"
@@ -188,36 +198,34 @@ _LINE_COLUMNS = (
     "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
 _ALL = ", ".join(_LINE_COLUMNS)
-_SAME = " and ".join(f"a.{c} is not distinct from b.{c}" for c in _LINE_COLUMNS)
+
+
+def _balance(where: str = "true") -> str:
+    """Every different row once, with its copies on either side."""
+    return f"""
+select {_ALL}, sum(here) as here, sum(there) as there
+from (select {_ALL}, 1 as here, 0 as there from lineitem union all select {_ALL}, 0, 1 from {_ALTERED} x) both_sides
+where {where} group by {_ALL}"""
 
 
 def _counts(where: str = "true") -> str:
     return f"""
-with p as (select {_ALL}, count(*) as c from lineitem where {where} group by all),
-     l as (select {_ALL}, count(*) as c from {_ALTERED} x where {where} group by all),
-     j as (select coalesce(a.c,0) as pc, coalesce(b.c,0) as lc from p a full outer join l b on {_SAME})
-select cast(coalesce(sum(least(pc,lc)),0) as bigint) as matched_rows,
-       cast(coalesce(sum(greatest(pc-lc,0)),0) as bigint) as only_left_rows,
-       cast(coalesce(sum(greatest(lc-pc,0)),0) as bigint) as only_right_rows,
-       cast(coalesce(sum(pc),0) as bigint) as left_total, cast(coalesce(sum(lc),0) as bigint) as right_total
-from j
+select coalesce(sum(least(here, there)), 0)::bigint as matched_rows,
+  coalesce(sum(here - there) filter (here > there), 0)::bigint as only_left_rows,
+  coalesce(sum(there - here) filter (there > here), 0)::bigint as only_right_rows,
+  coalesce(sum(here), 0)::bigint as left_total, coalesce(sum(there), 0)::bigint as right_total
+from ({_balance(where)}) balance
 """
 
 
 def _differing(columns: str) -> str:
     return f"""
-with p as (select {_ALL}, count(*) as c from lineitem group by all),
-     l as (select {_ALL}, count(*) as c from {_ALTERED} x group by all),
-     diff as (select {", ".join(f"coalesce(a.{c}, b.{c}) as {c}" for c in _LINE_COLUMNS)}
-              from p a full outer join l b on {_SAME} where coalesce(a.c,0) <> coalesce(b.c,0)),
-     rows as (select '1_left' as side, {_ALL} from lineitem semi join diff using ({_ALL})
-              union all select '2_right' as side, {_ALL} from {_ALTERED} x semi join diff using ({_ALL}))
-select {columns} from rows
+select {columns} from (
+  select case when copy <= here then '1_left' else '2_right' end as side, {_ALL}
+  from ({_balance()}) balance, unnest(range(1, (here + there)::bigint + 1)) as u(copy) where here <> there) rows
 """
 
 
-_LINE_SORTED = ", ".join(sorted(_LINE_COLUMNS))
-
 ORACLE_SQL: dict[str, str] = {
     "scheduled_gap_by_hour": _gaps(),
     "guarded_rebuild": _gaps(False),
@@ -273,7 +281,7 @@ select seconds, count(*) as n_rows, max(seconds/60.0::double) as minutes,
 from g group by seconds""",
     "missing_tokens": """
 select doc_id, case when doc_id%3=0 then null when doc_id%3=1 then '-' else lang end as token,
-  concat('Economico Nandu ', source) as plain, length(text) as text_length
+  concat('Economico Nandu ', source) as plain, md5(translate(text, 'áéíóúüñÁÉÍÓÚÜÑ', 'aeiouunAEIOUUN')) as text_md5
 from documents""",
     "service_week_totals": f"""
 select {_SERVICE_WEEK.format('ts')} as week,
@@ -301,14 +309,41 @@ select count(*) as total_rows, count(*) - count("FECHA") as bad_dates, count(*)
   {_stamp(f'max(cast("FECHA" as timestamp) + to_seconds({_seconds(chr(34) + "PARTIDA_REAL" + chr(34))}))')} as max_key
 from ({_typed()}) t""",
     "range_replace_result": _replaced(True),
+    "trips_job_corrected": _typed(False),
+    "processed_names": _typed(False),
+    "newest_file": """
+select wanted, n_name, n_regionkey::varchar as n_regionkey from nation
+join (values ('Desinc_0.csv', 0), ('Desinc_none.csv', 2)) w(wanted, region) on n_regionkey = region""",
+    "guard_verdicts": f"""
+select * from (values ('empty', true, 0::bigint), ('bad_dates', true, 0), ('no_times', true, 0), ('outside', true, 0)) v(input, refused, n_rows)
+union all select 'good', false, count(*) from ({_typed(False)}) t where "PARTIDA_REAL" is not null and {_IN_WEEK}""",
+    "warehouse_columns": f"""
+select "Ruta" as "RUTA", "Desc. Status del Viaje" as "DESC_STATUS_DEL_VIAJE", "I.P.K" as "I_P_K", count("Fecha") as "FECHA",
+  count("Económico planificado") as "ECONOMICO_PLANIFICADO", count("Vel. promedio Km") as "VEL_PROMEDIO_KM", count("Tiemp.Punto") as "TIEMP_PUNTO"
+from ({raw_trips_sql()}) r group by all""",
+    "dump_csv": f"""
+select side, l_returnflag, count(*) as n_rows, sum(l_orderkey)::bigint as key_sum from ({_differing('*')}) d group by all""",
+    "can_range_job": f"""
+select d.day as report_day, n.brand, count(b.brand) as n_rows, cast(1 as int) as n_skipped
+from (values ('1995-03-01'),('1995-03-02'),('1995-03-04')) d(day)
+cross join (values ('Volvo'),('Yutong'),('BYD'),('Mercedes Benz'),('Alexander Dennis'),('Scania')) n(brand)
+left join {_BRANDED} b on n.brand = b.brand and strftime(strptime(b."Fecha", '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d') = d.day
+group by d.day, n.brand""",
+    "headway_inliers": f"""
+select route as "RUTA", count(*) + 1 as n_before, cast(0 as bigint) as planted_left, true as share_kept
+from ({_headways()}) h group by route""",
+    "landed_versions": f"""
+select "Ruta", "Económico" || 'x' as "_c1", "Turno", 'report.csv' as source_file from ({fleet_rows_sql()}) f""",
+    "append_strict": f"""
+select "Ruta" as ruta, "Turno" as turno, 2 * count(*) as n_rows, cast(3 as int) as refused
+from ({fleet_rows_sql()}) f group by all""",
     "range_replace_stored": _replaced(False),
     "landed_report": f"""
 select "Ruta", "Jornada", "Económico", "Empresa Programado", "Empresa Real", "Date", "Turno",
   '2026-07-01' as window_start from ({fleet_rows_sql()}) f""",
     "multiset_audit_summary": _counts(),
     "multiset_audit_dump": f"""
-{_differing("side, " + ", ".join(c if c != "l_shipdate" else "strftime(l_shipdate,'%Y-%m-%d %H:%M:%S') as l_shipdate" for c in _LINE_COLUMNS))}
-order by {", ".join("rows." + c for c in sorted(_LINE_COLUMNS))}, side limit 5000""",
+{_differing("side, " + ", ".join(c if c != "l_shipdate" else "strftime(l_shipdate,'%Y-%m-%d %H:%M:%S') as l_shipdate" for c in _LINE_COLUMNS))}""",
     "multiset_audit_all": f"select side, l_quantity, count(*) as n_rows from ({_differing('*')}) r group by all",
     "multiset_except": f"""
 select '1_left' as side, count(*) as n_rows, cast(sum(l_orderkey) as bigint) as key_sum
@@ -339,13 +374,20 @@ with rows as (select * from {_BRANDED} b),
 cells as (select * from ({_CELLS}) c where value is not null),
 units as (select *, case when regexp_matches(value, '^[-+]?[0-9]+(\\.[0-9]+)?\\s*[%°a-zA-Z/]+$')
                     then regexp_extract(value, '([%°a-zA-Z/]+)$', 1) end as unit from cells)
-select brand, "column", count(*) as n_values, count(unit) as n_with_unit, min(unit) as unit from units group by all""",
+per_unit as (select brand, "column", unit, count(*) as n from units group by all)
+select brand, "column", sum(n)::bigint as n_values, coalesce(sum(n) filter (unit is not null), 0)::bigint as n_with_unit,
+  coalesce(sum(n) filter (unit is not null), 0)::bigint / sum(n)::bigint as share,
+  (list(unit order by n desc, unit) filter (unit is not null))[1] as unit,
+  "column" in ({", ".join(f"'{k}'" for k in _PAIRS)}) as generic
+from per_unit group by brand, "column"""",
     "can_wide_clean": f"""
 select brand, l_orderkey, l_linenumber,
   strftime(strptime("Fecha", '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d 00:00:00') as "Fecha", split_part("Fecha",' ',2) as "Hora",
   {_stripped(_FIELDS["Tanque_1_kPa"])} as "Tanque_1_kPa (kPa)", {_stripped(_FIELDS["Tanque_2_kPa"])} as "Tanque_2_kPa (kPa)",
   {_FIELDS["Temp_Bat"]} as "Temp_Bat", {_FIELDS["Temp_Bat_Unidad"]} as "Temp_Bat_Unidad",
-  {", ".join(f'{_FIELDS[c]} as "{c}"' for c in ("ALARM_Motor", "ALARM_Battery", "ALARM_Air", "Horas", "Total_Fuel_Litros"))},
+  {", ".join(f'{_FIELDS[c]} as "{c}"' for c in _FIELDS if not c.startswith(("Tanque", "Temp_Bat_Unidad")) and c != "Temp_Bat")},
+  {_PAIRS["Presion"]} as "Presion", {_stripped(_PAIRS["Par"])} as "Par (Nm)", {_stripped(_PAIRS["Caudal"])} as "Caudal (lpm)",
+  {_stripped(_PAIRS["Solo"])} as "Solo (V)",
   {_PAIRS["Nivel"]} as "Nivel", {_stripped(_PAIRS["RPM"])} as "RPM (rpm)", {_stripped(_PAIRS["SOC"])} as "SOC (%)",
   {_stripped(_PAIRS["Velocidad"])} as "Velocidad (km/h)"
 from {_BRANDED} b""",
@@ -357,6 +399,10 @@ left join {_BRANDED} b on n.brand = b.brand group by n.brand""",
 select '2026-07-01 00:00:00' as date, "Turno" as turno, "Ruta" as ruta, cast(try_cast("Jornada" as double) as bigint) as jornada,
   "Económico" as economico, "Empresa Programado" as empresa_programado, "Empresa Real" as empresa_real
 from ({fleet_rows_sql()}) f""",
+    "fleet_job": f"""
+select '2026-07-01 00:00:00' as date, 'Vespertino' as turno, "Ruta" as ruta, cast(try_cast("Jornada" as double) as bigint) as jornada,
+  "Económico" as economico, "Empresa Programado" as empresa_programado, "Empresa Real" as empresa_real
+from ({fleet_rows_sql()}) f cross join (values (1), (2)) twice(n)""",
     "fleet_stamped": f"""
 select '2026-07-01 00:00:00' as date, 'Vespertino' as turno, "Ruta" as ruta, cast(try_cast("Jornada" as double) as bigint) as jornada,
   "Económico" as economico, "Empresa Programado" as empresa_programado, "Empresa Real" as empresa_real

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.functions import calendar, clock, numbers, shifts
-from cadencia.functions.text import null_if_na, strip_accents
+from cadencia.functions.text import null_if_na, strip_accents, with_warehouse_names, without_bom
 from cadencia.operators import audit, fleet, ranges, schedule, trips
 from cadencia.operators.can_text import PAIRS, branded_rows, brand_counts, parse_can, squeezed
 from cadencia.operators.can_wide import can_wide, layouts, unit_profile
@@ -22,7 +23,8 @@ from cadencia.plans.store import create_history, quoted, rebuild_table, replace_
 from cadencia.schemas import BRANDS, PARTITION_COLUMN, trip_schema
 from cadencia.session import ensure_time_type, materialize, scratch_dir
 from cadencia.sources.landing import land_report, landed
-from cadencia.sources.sinks import read_processed_csv, write_csv
+from cadencia.sources.reports import can_file, expected_or_newest, read_text_columns
+from cadencia.sources.sinks import append_table, read_processed_csv, write_csv
 
 from checks.views import altered_lineitem, can_rows, fleet_rows, raw_trips, table
 
@@ -106,7 +108,22 @@ def headway_without_unmapped_shift(spark: SparkSession, sf_dir: str) -> DataFram
 
 @query
 def headway_inliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_outliers(trips.headways(raw_trips(spark, sf_dir)))
+    """The anomaly model by what must hold whatever trees are drawn: rows per route before, that at least one but not much
+    more than the set share goes, and that a route of fewer than two rows stays whole. One planted extreme per route goes."""
+    rows = trips.headways(raw_trips(spark, sf_dir)).withColumn("planted", F.lit(False))
+    ends = rows.groupBy("RUTA").agg(*[F.max(c).alias(c) for c in rows.columns if c not in ("RUTA", "planted")])
+    extreme = ends.withColumns({
+        "planted": F.lit(True), "DIFF_PARTIDA": F.lit(9e5), "INTERVALO_MINUTOS": F.lit(9e5), "ECONOMICO": F.lit(9e6),
+    })
+    base = materialize(rows.unionByName(extreme), "inliers-in")
+    kept = materialize(without_outliers(base, stored=True), "inliers-out")
+    before = base.groupBy("RUTA").agg(F.count("*").alias("n_before"))
+    after = kept.groupBy(F.col("RUTA").alias("r")).agg(F.count("*").alias("n_after"), F.count_if("planted").alias("planted_left"))
+    removed = F.col("n_before") - F.coalesce("n_after", F.lit(0))
+    return before.join(after, F.col("RUTA") == F.col("r"), "left").select(
+        "RUTA", "n_before", F.coalesce("planted_left", F.lit(0)).alias("planted_left"),
+        ((removed >= 1) & (removed <= F.ceil(F.col("n_before") * 0.01))).alias("share_kept"),
+    )
 
 
 @query
@@ -148,7 +165,7 @@ def stamp_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     staged = events.select("event_id", "ts", text.alias("stamp"))
     seconds = (F.hour("at") * 3600 + F.minute("at") * 60 + F.second("at")).cast("int")
-    return staged.withColumn("at", clock.report_stamp(F.col("stamp"))).select(
+    return staged.withColumn("at", clock.report_stamp(F.col("stamp"), unreadable="null")).select(
         "event_id",
         "stamp",
         clock.midnight(F.col("at")).alias("day"),
@@ -183,7 +200,7 @@ def missing_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         null_if_na(token).alias("token"),
         strip_accents(F.concat(F.lit("Económico Ñandú "), F.col("source"))).alias("plain"),
-        F.length(strip_accents(F.col("text"))).cast("bigint").alias("text_length"),
+        F.md5(strip_accents(F.col("text"))).alias("text_md5"),
     )
 
 
@@ -221,9 +238,9 @@ def fri_thu_week_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def local_day_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times taken as UTC, counted per local day and local hour."""
-    utc = F.convert_timezone(F.lit("UTC"), F.lit(calendar.ZONE), F.col("ts"))
+    utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts").cast("timestamp_ntz")).cast("timestamp")
     return table(spark, sf_dir, "events").groupBy(
-        utc.cast("date").alias("local_day"), F.hour(utc).alias("local_hour")
+        calendar.local_day(utc).alias("local_day"), F.hour(calendar.local_wall_clock(utc)).alias("local_hour")
     ).agg(F.count("*").alias("n_rows"))
 
 
@@ -299,6 +316,144 @@ def trips_job_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(quoted(_weekly_run(spark, sf_dir, True).gaps))
 
 
+@query
+def trips_job_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report loaded, then corrected under the same name and loaded again: the correction is what is stored."""
+    ensure_time_type(spark)
+    folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
+    schema = scratch_schema(spark)
+    tables = jobs.TripTables(f"{schema}.trips", f"{schema}.headways", f"{schema}.gaps")
+    raw = raw_trips(spark, sf_dir, bad_days=False)
+    for vehicle in (F.lit("1"), F.col("`Vehiculo real`")):
+        raw.withColumn("Vehiculo real", vehicle).coalesce(1).write.mode("overwrite").csv(
+            f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True
+        )
+        _put_under_one_name(spark, f"{folder}/new", f"{folder}/raw/RV_month.csv")
+        jobs.run_trips(spark, f"{folder}/raw/RV_month.csv", *MONTH, tables, f"{folder}/landed", remove_outliers=False)
+    return spark.table(quoted(tables.trips)).drop(PARTITION_COLUMN)
+
+
+def _put_under_one_name(spark: SparkSession, folder: str, name: str) -> None:
+    """The one part file of a folder under a fixed name, in place of what was there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target = path(name)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (part,) = [f.getPath() for f in fs.globStatus(path(f"{folder}/part-*.csv"))]
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    fs.rename(part, target)
+
+
+@query
+def landed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one name in two folders, with a column that has no header: all rows and columns are landed."""
+    folder = f"{scratch_dir(spark)}/land-{uuid.uuid4().hex}"
+    for number, day in enumerate(("a", "b")):
+        rows = fleet_rows(spark, sf_dir).filter(F.col("Turno") == ("Matutino" if number else "Vespertino"))
+        rows.select("Ruta", F.concat("Económico", F.lit("x")).alias(""), "Turno").coalesce(1).write.csv(
+            f"{folder}/new{number}", sep=";", encoding="ISO-8859-1", header=True
+        )
+        _put_under_one_name(spark, f"{folder}/new{number}", f"{folder}/{day}/report.csv")
+    for _ in range(2):
+        land_report(spark, f"{folder}/[ab]/*.csv", "withdrawals", "2026-07-01", f"{folder}/landed")
+    return landed(spark, f"{folder}/landed", "withdrawals").select("Ruta", "_c1", "Turno", "source_file")
+
+
+@query
+def append_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends by name; rows with a column more are refused and leave the table as it was."""
+    snapshot = fleet.fleet_snapshot(fleet_rows(spark, sf_dir))
+    name = f"{scratch_schema(spark)}.fleet"
+    append_table(snapshot, name)
+    append_table(snapshot.select(*reversed(snapshot.columns)), name)
+    refused = 0
+    for odd in (snapshot.withColumn("more", F.lit(1)), snapshot.drop("ruta"), snapshot.withColumn("ruta", F.lit(1))):
+        try:
+            append_table(odd, name)
+        except ValueError:
+            refused += 1
+    return spark.table(quoted(name)).groupBy("ruta", "turno").agg(
+        F.count("*").alias("n_rows"), F.lit(refused).alias("refused")
+    )
+
+
+@query
+def processed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips job's processed CSV, found under the name derived from the raw file."""
+    ensure_time_type(spark)
+    folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
+    schema = scratch_schema(spark)
+    raw_trips(spark, sf_dir, bad_days=False).coalesce(1).write.csv(f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True)
+    _put_under_one_name(spark, f"{folder}/new", f"{folder}/raw/RV_sem01.csv")
+    tables = jobs.TripTables(f"{schema}.trips", f"{schema}.headways", f"{schema}.gaps")
+    jobs.run_trips(
+        spark, f"{folder}/raw/*.csv", *MONTH, tables, f"{folder}/landed", remove_outliers=False, line_breaks=False,
+        out_root=f"{folder}/out",
+    )
+    return read_processed_csv(spark, f"{folder}/out/trips/trips_sem01", trip_schema())
+
+
+@query
+def fleet_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A schedule extract stamped, read back and appended, twice."""
+    folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
+    fleet_rows(spark, sf_dir).drop("Date", "Turno").write.csv(f"{folder}/raw", sep=";", header=True)
+    jobs.run_stamp(spark, f"{folder}/raw/*.csv", f"{folder}/stamped", datetime(2026, 7, 1, 13))
+    table_name = f"{scratch_schema(spark)}.fleet"
+    for _ in range(2):
+        jobs.run_fleet(spark, f"{folder}/stamped/*.csv", table_name)
+    return spark.table(quoted(table_name))
+
+
+@query
+def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per region; the expected one is taken, else the newest that fits the pattern."""
+    folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
+    nation = table(spark, sf_dir, "nation")
+    for number in range(3):
+        nation.filter(F.col("n_regionkey") == number).coalesce(1).write.csv(f"{folder}/new{number}", sep=";", header=True)
+        _put_under_one_name(spark, f"{folder}/new{number}", f"{folder}/in/Desinc_{number}.csv")
+        time.sleep(1.1)  # file times may have whole seconds
+    picked = None
+    for wanted in ("Desinc_0.csv", "Desinc_none.csv"):
+        path = expected_or_newest(spark, f"{folder}/in", wanted, "Desinc_*.csv")
+        rows = read_text_columns(spark, path, ";", "UTF-8").select(F.lit(wanted).alias("wanted"), "n_name", "n_regionkey")
+        picked = rows if picked is None else picked.unionByName(rows)
+    return picked
+
+
+@query
+def guard_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which inputs the guard of the range replace refuses, and how many rows it lets through."""
+    rows = typed(spark, sf_dir, bad_days=False)
+    inside = rows.filter(ranges.in_window(jobs.TRIP_KEY.strict_column(rows), *WEEK))
+    cases = {
+        "good": inside,
+        "empty": inside.limit(0),
+        "bad_dates": inside.withColumn("FECHA", F.when(F.col("RUTA") != "click", F.col("FECHA"))),
+        "no_times": inside.withColumn("PARTIDA_REAL", F.lit(None).cast("string")),
+        "outside": rows,
+    }
+    verdicts = []
+    for name, case in cases.items():
+        try:
+            verdicts.append((name, False, ranges.check_window(case, jobs.TRIP_KEY, *WEEK)))
+        except RuntimeError:
+            verdicts.append((name, True, 0))
+    return spark.createDataFrame(verdicts, "input string, refused boolean, n_rows bigint")
+
+
+@query
+def warehouse_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report headers as column names, a byte-order mark on the first."""
+    raw = raw_trips(spark, sf_dir)
+    marked = raw.toDF("\ufeff" + raw.columns[0], *raw.columns[1:])
+    named = with_warehouse_names(without_bom(marked))
+    return named.groupBy("RUTA", "DESC_STATUS_DEL_VIAJE", "I_P_K").agg(
+        *[F.count(c).alias(c) for c in ("FECHA", "ECONOMICO_PLANIFICADO", "VEL_PROMEDIO_KM", "TIEMP_PUNTO")]
+    )
+
+
 @query
 def trips_job_headways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole trips job without the outlier model: headway rows stored per week, route and state."""
@@ -324,7 +479,9 @@ def landed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet_rows(spark, sf_dir).write.csv(f"{folder}/raw", sep=";", encoding="ISO-8859-1", header=True)
     for _ in range(2):
         land_report(spark, f"{folder}/raw/*.csv", "withdrawals", "2026-07-01", f"{folder}/landed")
-    return landed(spark, f"{folder}/landed", "withdrawals").drop("source_file", "report")
+    return landed(spark, f"{folder}/landed", "withdrawals").drop(
+        "source_file", "source_path", "source_modified", "batch", "report"
+    )
 
 
 # Audit
@@ -342,8 +499,20 @@ def multiset_audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def multiset_audit_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The capped discrepancy report."""
-    return audit.discrepancies(*_sides(spark, sf_dir), limit=5000)
+    """The whole discrepancy report."""
+    return audit.discrepancies(*_sides(spark, sf_dir))
+
+
+@query
+def dump_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The discrepancies as the audit writes them to CSV, whole."""
+    out = f"{scratch_dir(spark)}/dump-{uuid.uuid4().hex}"
+    left, right = _sides(spark, sf_dir)
+    report = audit_frames("lineitem", left, right, cutoff="1900-01-01", out_dir=out)
+    rows = spark.read.csv(report.dump, header=True)
+    return rows.groupBy("side", "l_returnflag").agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("l_orderkey").cast("bigint")).alias("key_sum")
+    )
 
 
 @query
@@ -356,10 +525,7 @@ def multiset_audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def multiset_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hash-free cross-check: what each side has more of."""
-    left, right = _sides(spark, sf_dir)
-    extra = left.exceptAll(right).withColumn("side", F.lit(audit.LEFT)).unionByName(
-        right.exceptAll(left).withColumn("side", F.lit(audit.RIGHT))
-    )
+    extra = audit.multiset_difference(*_sides(spark, sf_dir))
     return extra.groupBy("side").agg(F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("key_sum"))
 
 
@@ -417,7 +583,7 @@ def can_map_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def can_unit_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = unit_profile(parse_can(branded_rows(can_rows(spark, sf_dir))))
-    return profile.select("brand", "column", "n_values", "n_with_unit", "unit")
+    return profile.select("brand", "column", "n_values", "n_with_unit", "share", "unit", "generic")
 
 
 @query
@@ -430,10 +596,24 @@ def can_wide_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         for (brand,) in layout.slots:
             rows = can_wide(parsed.filter(F.col("brand") == brand), layout.profiles, drop[brand])
             rows = rows.withColumn("brand", F.lit(brand))
-            wide = rows if wide is None else wide.unionByName(rows)
+            wide = rows if wide is None else wide.unionByName(rows, allowMissingColumns=True)
     return wide
 
 
+@query
+def can_range_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry job over a range of days with one file per day and one day missing."""
+    folder = f"{scratch_dir(spark)}/can-{uuid.uuid4().hex}"
+    first = date(1995, 3, 1)
+    for offset in (0, 1, 3):
+        day = first + timedelta(days=offset)
+        rows = can_rows(spark, sf_dir).filter(F.col("Fecha").startswith(f"{day:%d/%m/%Y}"))
+        rows.coalesce(1).write.csv(f"{folder}/new{offset}", sep=";", encoding="ISO-8859-1", header=True)
+        _put_under_one_name(spark, f"{folder}/new{offset}", f"{folder}/in/{can_file(day)}")
+    summary, skipped = jobs.run_can(spark, f"{folder}/in", first, first + timedelta(days=3), f"{folder}/out")
+    return summary.withColumn("n_skipped", F.lit(len(skipped)))
+
+
 @query
 def can_brand_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brand_counts(can_rows(spark, sf_dir))

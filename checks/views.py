@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadencia.session import spread
-
 _RAW_TRIPS = """
 select {day} as {q}Fecha{q}, event_type as {q}Ruta{q},
        case when event_id%13=0 then 'x' else cast(user_id as {text}) end as {q}Económico planificado{q},
@@ -63,16 +61,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def report_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that stands for an unsplittable report, dealt out as the report readers do it."""
-    return spread(table(spark, sf_dir, name))
-
-
 def raw_trips(spark: SparkSession, sf_dir: str, bad_days: bool = True) -> DataFrame:
     """Raw trip report from ``events``: some rows twice, some unreadable values."""
     day = _sometimes_bad(_SPARK_DAY) if bad_days else _SPARK_DAY
     sql = _RAW_TRIPS.format(**_SPARK, day=day, events="{events}")
-    return spark.sql(sql, events=report_input(spark, sf_dir, "events"))
+    return spark.sql(sql, events=table(spark, sf_dir, "events"))
 
 
 def raw_trips_sql(bad_days: bool = True) -> str:
@@ -83,8 +76,17 @@ def raw_trips_sql(bad_days: bool = True) -> str:
 _CAN = """
 select l_orderkey, l_linenumber, {when} as "Fecha", 'E1' as "Empresa",
        concat(b,'  RPM = ',rpm,' rpm  Velocidad = ',v,'.5 km/h  Tanque 1 y 2 = ',v,'.1 y 7.9 kPa',
-              case when l_linenumber=1 then '  Temperatura Baterias = 30 °C, SOC = 80 %'
-                   when l_linenumber=2 then '  Nivel = bajo  Nivel = alto  sin valor' else '' end,
+              case l_linenumber
+                when 1 then '  Temperatura Baterias = 30 °C, SOC = 80 %'
+                when 2 then '  Nivel = bajo  Nivel = alto  sin valor'
+                when 3 then '  Temperatura Baterias = 20.5 min, 31.5 max'
+                when 4 then '  Condicion de Frenos: Del_D = 1.1, Del_I = 2.2, Tra_D1 = 3.3, Tra_I1 = 4.4, Tra_D2 = 5.5, Tra_I2 = 6.6'
+                when 5 then '  ALARM Steering = ok, Brake = low'
+                when 6 then '  Par = 9 Nm'
+                when 7 then '  Par = 8 lb' else '' end,
+              case when l_orderkey%4=0 then '  Presion = alta' else '  Presion = 5 bar' end,
+              case when l_orderkey%9=0 then '  Caudal = alto' else concat('  Caudal = ',v,'.5 lpm') end,
+              case when b='Volvo' then '  Solo = 4 V' else '' end,
               '  ALARM Motor = ok, Battery = ok, Air = low  Horas = ',rpm,'.5, Total Fuel usado = 900.1') as "Can Data"
 from (select l_orderkey, l_linenumber, l_shipdate,
              case l_suppkey%8 when 0 then 'Volvo' when 1 then 'Yutong' when 2 then 'BYD' when 3 then 'Mercedes'
@@ -98,7 +100,7 @@ from (select l_orderkey, l_linenumber, l_shipdate,
 def can_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry text from ``lineitem``; (l_orderkey, l_linenumber) is a label, not a key."""
     sql = _CAN.format(text="string", when="date_format(l_shipdate,'dd/MM/yyyy HH:mm:ss')", lineitem="{lineitem}")
-    return spark.sql(sql.replace('"', "`"), lineitem=report_input(spark, sf_dir, "lineitem"))
+    return spark.sql(sql.replace('"', "`"), lineitem=table(spark, sf_dir, "lineitem"))
 
 
 def can_rows_sql() -> str:
