@@ -29,11 +29,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash component, that of the smallest id; of rows that repeat an id, one."""
+    """Keeps one document of each SimHash component, that of the smallest id (null ids are smaller than all and stay); of rows that repeat an id, one."""
     placed = materialize(near_dedup(docs), "pipeline-near")
     others = placed.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
     kept = _without(docs, others, "pipeline-near-gone")
-    repeated = materialize(placed.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id")), "pipeline-repeated")
+    repeated = materialize(placed.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id")), "pipeline-repeated")
     again = F.col("doc_id").eqNullSafe(F.col("_id"))
     one = kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id"])
     return kept.join(repeated, again, "left_anti").unionByName(one)
