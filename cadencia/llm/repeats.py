@@ -22,8 +22,8 @@ GRAM = 24
 SEGMENT_WINDOWS = 512
 BLOCK = 1 << 18
 #: Bytes of segments indexed together, and of one anchor's segments beyond which its windows are compared by shuffle.
-BUCKET_BYTES = 1 << 20
-ANCHOR_BYTES = 1 << 21
+BUCKET_BYTES = 1 << 19
+ANCHOR_BYTES = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -99,38 +99,24 @@ def _ranges(marked: np.ndarray, start: int, length: int) -> list[tuple[int, int]
 def repeated_windows(anchors: list[int], texts: list[bytes], again: list[bool], length: int) -> list[np.ndarray]:
     """For segments in corpus order: which of their windows occur earlier in a segment of the same anchor, or in the same one.
 
-    Halving: at every level the segments of an anchor are cut into nodes, the left half of each node is indexed
-    and the right half is streamed through the index, so each pair of segments meets once with the earlier one indexed.
-    Symbols carry the number of their node; one index serves all nodes of a level and only finds matches inside a node.
+    One run-length index holds all segments; symbols carry the number of their anchor, so matches stay among segments of
+    one. Segments are streamed through it, except those that are the first of their anchor and cannot repeat
+    themselves. A window with a long enough match is marked if the earliest place of that match lies before it.
     """
     marks = [np.zeros(len(t) - length + 1, bool) for t in texts]
-    place: dict[int, int] = {}
-    nth = []
-    for a in anchors:
-        nth.append(place.get(a, 0))
-        place[a] = nth[-1] + 1
-    number = {a: i for i, a in enumerate(place)}
-    group = np.array([number[a] for a in anchors])
-    nth_ = np.array(nth)
-    arrays = [np.frombuffer(t, np.uint8).astype(np.int64) for t in texts]
-    for level in range(max(place.values(), default=1).bit_length()):
-        if (1 << level) >= max(place.values(), default=1):
-            break
-        node = np.unique(group * (1 << 40) + (nth_ >> (level + 1)), return_inverse=True)[1]
-        right = (nth_ >> level) & 1 == 1
-        busy = np.bincount(node[right], minlength=node.max() + 1) > 0
-        indexed = np.flatnonzero(~right & busy[node])
-        streamed = np.flatnonzero(right)
-        index = RunIndex([arrays[i] + 256 * int(node[i]) for i in indexed])
-        found = index.matching_lengths([arrays[i] + 256 * int(node[i]) for i in streamed], length)
-        for i, lengths in zip(streamed.tolist(), found):
-            marks[i] |= lengths[: len(marks[i])] >= length
-    for i in np.flatnonzero(again):
-        seen: set[bytes] = set()
-        for w in range(len(marks[i])):
-            window = texts[i][w : w + length]
-            marks[i][w] |= window in seen
-            seen.add(window)
+    number: dict[int, int] = {}
+    streamed, coloured = [], []
+    for i, (anchor, text) in enumerate(zip(anchors, texts)):
+        if anchor in number or again[i]:
+            streamed.append(i)
+        colour = number.setdefault(anchor, len(number))
+        coloured.append(np.frombuffer(text, np.uint8).astype(np.int64) + 256 * colour)
+    if streamed:
+        index = RunIndex(coloured, length)
+        begins = np.cumsum([0, *[len(t) + 1 for t in texts]]).tolist()
+        for i, (lengths, where) in zip(streamed, index.matching_statistics([coloured[i] for i in streamed], length)):
+            n = len(marks[i])
+            marks[i] = (lengths[:n] >= length) & (index.first[where[:n]] < begins[i] + np.arange(n))
     return marks
 
 

@@ -1,8 +1,9 @@
 """Run-length index: a run-compressed Burrows-Wheeler transform with suffix positions sampled at run ends.
 
-``matching_lengths`` streams patterns through it from right to left and gives, for every position of a pattern, the length of the
-longest match that begins there, up to what a match has to reach. All patterns advance together, one character a
-step, as array operations.
+``matching_statistics`` streams patterns through it from right to left and gives, for every position of a pattern, the length of
+the longest match that begins there, up to what a match has to reach, and a place of it in the text. All patterns
+advance together, one character a step, as array operations. ``first`` leads from a place to the earliest one with the
+same ``length`` symbols.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ def concatenated(texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling. The last symbol must occur once.
+def suffix_array(symbols: np.ndarray, length: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array by prefix doubling, and which suffixes share ``length`` symbols (at least 3) with the one before them in it.
 
-    Ranks are places in the order, so suffixes that are told apart keep theirs, and a round only sorts
-    those that are not.
+    The last symbol must occur once. Ranks are places in the order, so suffixes that are told apart keep theirs, and a
+    round only sorts those that are not.
     """
     n = len(symbols)
     rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
@@ -39,26 +40,39 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     key = key[order]
     places = np.arange(n)
     suffixes = order
+    shared, alike, known = np.zeros(n, bool), None, 0
     while True:
         # `suffixes` stand at `places` of the order; equal neighbours in `key` are not told apart yet.
         fresh = np.concatenate(([True], key[1:] != key[:-1]))
         first = places[np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))]
         rank[suffixes] = first
         alone = fresh & np.append(fresh[1:], True)
+        if step <= length < 2 * step:
+            alike = rank.copy()  # equal where `step` symbols are
+            known = step
         if alone.all():
-            return order
+            break
         places, suffixes, first = places[~alone], suffixes[~alone], first[~alone]
         key = first * n + rank[suffixes + step]
         by_key = np.argsort(key)
         key, suffixes = key[by_key], suffixes[by_key]
         order[places] = suffixes
         step *= 2
+    if length and alike is not None:
+        rest = length - known
+        # Next to each other in the order; a suffix too short for the second comparison differs in its separator already.
+        here, before = np.minimum(order[1:] + rest, n - 1), np.minimum(order[:-1] + rest, n - 1)
+        shared[1:] = (alike[order[1:]] == alike[order[:-1]]) & (alike[here] == alike[before])
+    return order, shared
 
 
 class RunIndex:
-    def __init__(self, texts: list[np.ndarray]):
+    def __init__(self, texts: list[np.ndarray], length: int = 0):
         self.text = concatenated(texts)
-        suffixes = suffix_array(self.text)
+        suffixes, shared = suffix_array(self.text, length)
+        begins = np.flatnonzero(~shared)
+        self.first = np.empty(len(suffixes), np.int64)
+        self.first[suffixes] = np.repeat(np.minimum.reduceat(suffixes, begins), np.diff(np.append(begins, len(suffixes))))
         bwt = self.text[suffixes - 1]
         self.starts = np.flatnonzero(np.concatenate(([True], bwt[1:] != bwt[:-1])))
         ends = np.append(self.starts[1:], len(bwt)) - 1
@@ -89,8 +103,9 @@ class RunIndex:
             width = min(width * 2, 64)
         return out
 
-    def matching_lengths(self, patterns: list[np.ndarray], enough: int) -> list[np.ndarray]:
-        """Lengths of the longest matches; from ``enough`` on they may be too low, but never fall below it."""
+    def matching_statistics(self, patterns: list[np.ndarray], enough: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Lengths of the longest matches, and where each is in the text; from ``enough`` on lengths may be too low, but never
+        fall below it."""
         longest_first = sorted(range(len(patterns)), key=lambda i: -len(patterns[i]))
         sizes = np.array([len(patterns[i]) for i in longest_first])
         joined = np.concatenate([patterns[i] for i in longest_first])
@@ -98,7 +113,7 @@ class RunIndex:
         symbol = np.searchsorted(self.symbols, joined)
         symbol[symbol == len(self.symbols)] = 0
         symbol = np.where(self.symbols[symbol] == joined, symbol, -1)
-        out = np.zeros(len(joined), np.int64)
+        out, where = np.zeros(len(joined), np.int64), np.zeros(len(joined), np.int64)
         run = np.zeros(len(sizes), np.int64)
         row = np.zeros(len(sizes), np.int64)
         place = np.full(len(sizes), self.at_start[0])
@@ -116,10 +131,10 @@ class RunIndex:
             row[:live] = np.where(known, self.to[r] + row[:live] - self.starts[r], 0)
             place[:live] = np.where(known, place[:live] - 1, self.at_start[0])
             length[:live] = np.where(known, length[:live] + 1, 0)
-            out[at] = length[:live]
-        result: list[np.ndarray] = [None] * len(patterns)  # type: ignore[list-item]
+            out[at], where[at] = length[:live], place[:live]
+        result: list[tuple[np.ndarray, np.ndarray]] = [None] * len(patterns)  # type: ignore[list-item]
         for i, b, n in zip(longest_first, base.tolist(), sizes.tolist()):
-            result[i] = out[b : b + n]
+            result[i] = out[b : b + n], where[b : b + n]
         return result
 
     def _jump(self, which, c, run, row, place, length, enough) -> None:

@@ -67,7 +67,7 @@ def test_segments_hold_every_window_once():
         assert windows == list(range(max(0, len(text) - 99)))
 
 
-def test_run_index_gives_matching_lengths():
+def test_run_index_gives_matching_statistics():
     rng = random.Random(3)
 
     def longest(texts, pattern, i):
@@ -80,8 +80,22 @@ def test_run_index_gives_matching_lengths():
         k = rng.randrange(1, 4)
         texts = [[rng.randrange(k) for _ in range(rng.randrange(1, 25))] for _ in range(rng.randrange(1, 4))]
         patterns = [[rng.randrange(k + 1) for _ in range(rng.randrange(1, 15))] for _ in range(3)]
-        found = RunIndex([np.array(t, np.int64) for t in texts]).matching_lengths([np.array(p, np.int64) for p in patterns], 99)
-        assert [f.tolist() for f in found] == [[longest(texts, p, i) for i in range(len(p))] for p in patterns]
+        found = RunIndex([np.array(t, np.int64) for t in texts]).matching_statistics([np.array(p, np.int64) for p in patterns], 99)
+        assert [f.tolist() for f, _ in found] == [[longest(texts, p, i) for i in range(len(p))] for p in patterns]
+
+
+def test_run_index_leads_to_the_earliest_place():
+    rng = random.Random(8)
+    for length in (3, 5, 6, 7, 12):
+        for _ in range(20):
+            texts = [[rng.randrange(2) for _ in range(rng.randrange(1, 40))] for _ in range(rng.randrange(1, 4))]
+            index = RunIndex([np.array(t, np.int64) for t in texts], length)
+            text = index.text.tolist()
+            seen = {}
+            for at in range(len(text) - length + 1):
+                window = tuple(text[at : at + length])
+                if min(window) >= 0:
+                    assert index.first[at] == seen.setdefault(window, at)
 
 
 def test_simhash_on_whole_table(spark, documents):
