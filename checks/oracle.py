@@ -325,9 +325,9 @@ from ({raw_trips_sql()}) r group by all""",
 select side, l_returnflag, count(*) as n_rows, sum(l_orderkey)::bigint as key_sum from ({_differing('*')}) d group by all""",
     "can_range_job": f"""
 select d.day as report_day, n.brand, count(b.brand) as n_rows, cast(1 as int) as n_skipped
-from (values ('1995-03-01'),('1995-03-02'),('1995-03-04')) d(day)
+from (values ('2025-03-01'),('2025-03-02'),('2025-03-04')) d(day)
 cross join (values ('Volvo'),('Yutong'),('BYD'),('Mercedes Benz'),('Alexander Dennis'),('Scania')) n(brand)
-left join {_BRANDED} b on n.brand = b.brand and strftime(strptime(b."Fecha", '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d') = d.day
+left join {_BRANDED} b on n.brand = b.brand and strftime(strptime(b."Fecha", '%d/%m/%Y %H:%M:%S') + interval 30 year, '%Y-%m-%d') = d.day
 group by d.day, n.brand""",
     "headway_inliers": f"""
 select route as "RUTA", count(*) + 1 as n_before, cast(0 as bigint) as planted_left, true as share_kept
@@ -373,13 +373,13 @@ select l_orderkey, l_linenumber, brand, {_WORD} as "Marca", {_FIELD_COLUMNS} fro
 with rows as (select * from {_BRANDED} b),
 cells as (select * from ({_CELLS}) c where value is not null),
 units as (select *, case when regexp_matches(value, '^[-+]?[0-9]+(\\.[0-9]+)?\\s*[%°a-zA-Z/]+$')
-                    then regexp_extract(value, '([%°a-zA-Z/]+)$', 1) end as unit from cells)
+                    then regexp_extract(value, '([%°a-zA-Z/]+)$', 1) end as unit from cells),
 per_unit as (select brand, "column", unit, count(*) as n from units group by all)
 select brand, "column", sum(n)::bigint as n_values, coalesce(sum(n) filter (unit is not null), 0)::bigint as n_with_unit,
   coalesce(sum(n) filter (unit is not null), 0)::bigint / sum(n)::bigint as share,
   (list(unit order by n desc, unit) filter (unit is not null))[1] as unit,
   "column" in ({", ".join(f"'{k}'" for k in _PAIRS)}) as generic
-from per_unit group by brand, "column"""",
+from per_unit group by brand, 2""",
     "can_wide_clean": f"""
 select brand, l_orderkey, l_linenumber,
   strftime(strptime("Fecha", '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d 00:00:00') as "Fecha", split_part("Fecha",' ',2) as "Hora",

@@ -326,7 +326,7 @@ def trips_job_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_trips(spark, sf_dir, bad_days=False)
     for vehicle in (F.lit("1"), F.col("`Vehiculo real`")):
         raw.withColumn("Vehiculo real", vehicle).coalesce(1).write.mode("overwrite").csv(
-            f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True
+            f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True, ignoreLeadingWhiteSpace=False
         )
         _put_under_one_name(spark, f"{folder}/new", f"{folder}/raw/RV_month.csv")
         jobs.run_trips(spark, f"{folder}/raw/RV_month.csv", *MONTH, tables, f"{folder}/landed", remove_outliers=False)
@@ -383,7 +383,9 @@ def processed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_time_type(spark)
     folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
     schema = scratch_schema(spark)
-    raw_trips(spark, sf_dir, bad_days=False).coalesce(1).write.csv(f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True)
+    raw_trips(spark, sf_dir, bad_days=False).coalesce(1).write.csv(
+        f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True, ignoreLeadingWhiteSpace=False
+    )
     _put_under_one_name(spark, f"{folder}/new", f"{folder}/raw/RV_sem01.csv")
     tables = jobs.TripTables(f"{schema}.trips", f"{schema}.headways", f"{schema}.gaps")
     jobs.run_trips(
@@ -604,10 +606,11 @@ def can_wide_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def can_range_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The telemetry job over a range of days with one file per day and one day missing."""
     folder = f"{scratch_dir(spark)}/can-{uuid.uuid4().hex}"
-    first = date(1995, 3, 1)
+    first = date(2025, 3, 1)  # file names have two digits for the year, so the days of 1995 are moved
     for offset in (0, 1, 3):
         day = first + timedelta(days=offset)
-        rows = can_rows(spark, sf_dir).filter(F.col("Fecha").startswith(f"{day:%d/%m/%Y}"))
+        moved = can_rows(spark, sf_dir).withColumn("Fecha", F.replace("Fecha", F.lit("/1995 "), F.lit("/2025 ")))
+        rows = moved.filter(F.col("Fecha").startswith(f"{day:%d/%m/%Y}"))
         rows.coalesce(1).write.csv(f"{folder}/new{offset}", sep=";", encoding="ISO-8859-1", header=True)
         _put_under_one_name(spark, f"{folder}/new{offset}", f"{folder}/in/{can_file(day)}")
     summary, skipped = jobs.run_can(spark, f"{folder}/in", first, first + timedelta(days=3), f"{folder}/out")

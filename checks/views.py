@@ -83,7 +83,7 @@ select l_orderkey, l_linenumber, {when} as "Fecha", 'E1' as "Empresa",
                 when 4 then '  Condicion de Frenos: Del_D = 1.1, Del_I = 2.2, Tra_D1 = 3.3, Tra_I1 = 4.4, Tra_D2 = 5.5, Tra_I2 = 6.6'
                 when 5 then '  ALARM Steering = ok, Brake = low'
                 when 6 then '  Par = 9 Nm'
-                when 7 then '  Par = 8 lb' else '' end,
+                when 7 then case when l_orderkey%3=0 then '  Par = 8 lb' else '' end else '' end,
               case when l_orderkey%4=0 then '  Presion = alta' else '  Presion = 5 bar' end,
               case when l_orderkey%9=0 then '  Caudal = alto' else concat('  Caudal = ',v,'.5 lpm') end,
               case when b='Volvo' then '  Solo = 4 V' else '' end,
