@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -16,6 +13,8 @@ LOWER = UPPER.lower()
 #: Bytes (and code points) that count as whitespace in the contracts.
 BLANKS = b" \t\n\x0b\x0c\r"
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,10 +30,10 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def map_arrow(
-    df: DataFrame, schema: T.StructType | str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts reach Python in batches of at most 8 MB, unless the session has set a bound of its own."""
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":  # Spark's default
+        spark.conf.set(_BATCH_BYTES, "8m")
 
 
 def ordered_parts(df: DataFrame, *order: Column) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.llm import bloom
-from cadencia.llm.common import BLANKS, as_bytes
+from cadencia.llm.common import BLANKS, as_bytes, bounded_batches
 from cadencia.session import materialize
 
 
@@ -38,6 +38,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the shuffle); all others pass through as groups of one. Texts are never shuffled.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
         F.coalesce(F.char_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_chars"),

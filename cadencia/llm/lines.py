@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.llm import bloom
-from cadencia.llm.common import BLANKS, as_bytes
+from cadencia.llm.common import BLANKS, as_bytes, bounded_batches
 from cadencia.session import materialize
 
 
@@ -51,6 +51,7 @@ def line_dedup(
     can split) and each document gets the list of its dropped keys.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # The identity of a row for the joins below; rows with equal id and text have equal results.
     source = source.withColumn("tk", F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length("text")))

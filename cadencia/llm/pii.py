@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadencia.llm.common import bounded_batches
 from cadencia.session import materialize
 
 #: In the order in which spans with one start are listed.
@@ -201,6 +202,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     labelers) are shuffled and reach the driver.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     counted = [T.StructField(f"n_{k}", T.LongType()) for k in KINDS[:4]]
     kept = [source.schema["doc_id"], *counted, T.StructField("base_sha256", T.StringType())]

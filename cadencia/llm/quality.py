@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadencia.llm.common import bounded_batches
 from cadencia.session import materialize
 
 BUCKETS = 1 << 18
@@ -106,6 +107,7 @@ def train(
     count as their mean; null labels are no labels. Without labels all weights are 0 and every score is 0.5.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     chosen = (
         labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("label"))
         .filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -154,6 +156,7 @@ def train(
 
 def scorer(spark: SparkSession, weights: np.ndarray):
     """A function of a text column: the chance of label 1. Null, empty and tokenless texts score by the bias alone."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(weights)
 
     @F.pandas_udf(T.DoubleType())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.llm import bloom
-from cadencia.llm.common import as_bytes
+from cadencia.llm.common import as_bytes, bounded_batches
 from cadencia.llm.rindex import RunIndex
 from cadencia.session import materialize
 
@@ -142,6 +142,7 @@ def remove_repeats(
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     source = source.withColumn("tk", F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length("text")))
     id_field = source.schema["doc_id"]

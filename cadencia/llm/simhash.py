@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadencia.llm.common import as_bytes
+from cadencia.llm.common import as_bytes, bounded_batches
 from cadencia.llm.components import components
 from cadencia.session import materialize
 
@@ -147,6 +147,7 @@ def links_in_blocks(max_bits: int):
 
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
     """``doc_id, fp`` (the 64 bits as a long) for every row, written once."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
