@@ -13,7 +13,7 @@ from cadencia.llm.common import ordered_parts, running_totals
 from cadencia.session import materialize
 
 #: About so many documents of a source are rounded together.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 
 
 def words_in(text: Column) -> Column:
