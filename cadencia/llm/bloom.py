@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 #: Upper bound of a filter: 2^28 bits are 32 MB. More hashes than it can tell apart cost shuffle, not results.
 MAX_BITS = 1 << 28
-BITS_PER_HASH = 16
+BITS_PER_HASH = 8
 SEGMENTS = 64
 PROBES = 3
 
