@@ -7,6 +7,7 @@ leaves the stage, and the next run finishes or discards it first.
 
 from __future__ import annotations
 
+import logging
 import re
 import uuid
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ from cadencia.operators.ranges import (
 from cadencia.schemas import PARTITION_COLUMN
 from cadencia.session import materialize, scratch_dir
 
+_log = logging.getLogger(__name__)
 _TABLE = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_-]*(\.[A-Za-z0-9_]+){1,2}")
 _STAGED, _OLD = "__staged", "__old"
 _WEEKS = "touched_weeks"
@@ -200,7 +202,8 @@ def rebuild_table(
     than ``min_row_ratio`` of the rows before, is an error and leaves the old table as it was.
     """
     checked_name(dest_table, "dest_table")
-    query, _ = dry_run(spark, sql, source_table)
+    query, scanned = dry_run(spark, sql, source_table)
+    _log.info("rebuilding %s, which scans %s", dest_table, scanned)
     recover_swap(spark, dest_table)
     before = row_count(spark, dest_table)
     staged = f"{dest_table}{_STAGED}_{uuid.uuid4().hex}"
