@@ -194,6 +194,9 @@ def remove_repeats(
         "doc_id", "tk", "start", (F.col("start") + F.col("size")).alias("end"),
     )
     to_read = firsts.select("h", "first.*", "size", "again").join(wanted.select("h", (F.col("bytes") > anchor_bytes).alias("wide")), "h")
+    sums = wanted.agg(
+        F.sum(F.when(F.col("bytes") <= anchor_bytes, F.col("bytes"))).alias("narrow"), F.count_if(F.col("bytes") > anchor_bytes).alias("wide"),
+    ).first()
     lists = to_read.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("h", "start", "size", "again", "wide")).alias("s")).select(
         F.col("doc_id").alias("d"), F.col("tk").alias("t"), "s",
     )
@@ -215,10 +218,8 @@ def remove_repeats(
     piece_fields = [id_field, *[T.StructField(n, T.LongType()) for n in ("tk", "h", "start")], T.StructField("piece", T.BinaryType()), T.StructField("again", T.BooleanType()), T.StructField("wide", T.BooleanType())]
     # Rows that repeat an id and a text are one document here.
     read = source.join(lists, source["doc_id"].eqNullSafe(F.col("d")) & (source["tk"] == F.col("t"))).select("doc_id", "text", "tk", "s")
-    cut_out = materialize(read.mapInArrow(pieces, T.StructType(piece_fields)), "repeat-pieces")
-
-    total = cut_out.filter("not wide").agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    buckets = max(1, -(-total // bucket_bytes))
+    cut_out = read.mapInArrow(pieces, T.StructType(piece_fields))
+    buckets = max(1, -(-(sums.narrow or 0) // bucket_bytes))
 
     def index_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -274,7 +275,7 @@ def remove_repeats(
                 )
 
     spread = cut_out.filter("wide").mapInArrow(windows, T.StructType([id_field, T.StructField("tk", T.LongType()), T.StructField("start", T.LongType()), T.StructField("w", T.BinaryType())]))
-    if wanted.filter(F.col("bytes") > anchor_bytes).limit(1).count():
+    if sums.wide:
         spread = materialize(spread, "repeat-windows")
         earliest = materialize(spread.groupBy("w").agg(F.min(F.struct("doc_id", "tk", "start")).alias("first")), "repeat-earliest")
         later = spread.join(earliest, "w").filter(~is_first).select("doc_id", "tk", "start", (F.col("start") + length).alias("end"))
