@@ -25,6 +25,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def text_key(text: Column) -> Column:
+    """Tells apart the texts of rows that share an id; a null text is as an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.octet_length(text))
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadencia.llm.common import ascii_lower
+from cadencia.llm.common import ascii_lower, text_key
 from cadencia.session import materialize
 
 #: Separators between words, of texts whose A-Z are lowered.
@@ -72,7 +72,7 @@ def _windows(tokens: Column, minima: Column, length: int) -> Column:
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", window: int = 13, share: int = 20,
+    item_col: str = "item_id", item_text_col: str = "text", window: int = 13, share: int = 20, with_key: bool = False,
 ) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
 
@@ -80,7 +80,8 @@ def decontaminate(
     of a document inside an occurrence of a window are hit. A document is contaminated if any word is hit and hits are at
     least one in ``share`` words. Null, empty and wordless texts have no words and no hits; wordless
     items have no windows; an item that repeats counts once. Rows of one id are separate documents; rows of equal
-    id and text get equal results. An empty benchmark hits nothing. Other columns are not read.
+    id and text get equal results. An empty benchmark hits nothing. Other columns are not read. ``with_key`` adds ``tk``,
+    the ``text_key`` of the row's text.
 
     Winnowing: each window is represented by its smallest k-gram hash, so a shared window always shares
     a fingerprint. Different fingerprints of the documents are written once, joined with those of the benchmark,
@@ -106,7 +107,7 @@ def decontaminate(
     wanted = materialize(wanted.select("item_id", "w.len", "w.print", "w.window").distinct(), "decontam-windows")
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    source = source.withColumn("tk", F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length("text")))
+    source = source.withColumn("tk", text_key(F.col("text")))
     hashed = _hashed(source, "text", lengths)
     prints = [_prints(F.col(f"m{n}"), n) for n in lengths]
     printed = materialize(
@@ -160,5 +161,5 @@ def decontaminate(
     return printed.drop("prints").join(found, printed["doc_id"].eqNullSafe(F.col("d")) & (printed["tk"] == F.col("t")), "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256"),
-        ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
+        ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"), *(["tk"] if with_key else []),
     )

@@ -91,7 +91,7 @@ def _copies(rows: pd.DataFrame) -> pd.DataFrame:
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[float, ...] = (1, 2, 3), most: float = 3, group_rows: int = GROUP_ROWS,
+    weights: tuple[float, ...] = (1, 2, 3), most: float = 3, group_rows: int = GROUP_ROWS, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per input row: ``doc_id, size, source, source_size, target, copies, taken``.
 
@@ -100,12 +100,13 @@ def mix(
     whole copies so that the words taken stay within about one small document per ``group_rows`` of the target: a
     source is dealt by hash into groups of about that many rows, each rounded by itself, so a hot source is many
     tasks. Runs repeat exactly. Null and empty texts have size 0, take nothing and keep the rate's copies; a
-    null source is a source; rows that repeat count each; an empty table gives an empty result.
+    null source is a source; rows that repeat count each; an empty table gives an empty result. ``carry`` names columns of
+    ``docs`` that are added to the result.
     """
     measured = materialize(
         docs.select(
             F.col(id_col).alias("doc_id"), words_in(F.col(text_col)).alias("size"), F.col(source_col).alias("source"),
-            F.xxhash64(F.col(id_col), F.lit(3)).alias("h"),
+            F.xxhash64(F.col(id_col), F.lit(3)).alias("h"), *carry,
         ),
         "mix-sizes",
     )
@@ -118,5 +119,5 @@ def mix(
     schema = T.StructType([*rated.schema.fields, T.StructField("copies", T.LongType())])
     copied = rated.groupBy("source", "group").applyInPandas(_copies, schema)
     return copied.select(
-        "doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
+        "doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *carry,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadencia.llm.common import table
+from cadencia.llm.common import table, text_key
 from cadencia.llm.decontam import decontaminate
 from cadencia.llm.mixing import mix
 from cadencia.llm.quality import scorer, train
@@ -13,13 +13,31 @@ from cadencia.llm.sharding import shard
 from cadencia.llm.simhash import near_dedup
 from cadencia.session import materialize
 
-# Ids identify documents. Where rows share an id, a decision about the id holds for all of them.
+# A row is known by its id, the key of its text and a hash of its other columns: ids may be null or shared, and what
+# is decided about one row must not reach another. Rows that agree in all three are equal and interchangeable.
+_KEY = ("doc_id", "_tk", "_rest")
 
 
-def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """Rows whose id is not among ``ids`` (column ``doc_id``), which are written first so that their size is known."""
-    gone = materialize(ids.distinct(), label).withColumnRenamed("doc_id", "_gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with the other two parts of their key."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.xxhash64(F.col("text").isNull(), *[x for c in others for x in (F.col(c), F.col(c).isNull())])
+    return docs.withColumns({"_tk": text_key(F.col("text")), "_rest": rest})
+
+
+def _joined(docs: DataFrame, found: DataFrame, key: tuple[str, ...], how: str) -> DataFrame:
+    """``docs`` joined on ``key``, null ids being equal; the key columns of ``found`` go."""
+    named = found.select(*[F.col(c).alias(f"_of{c}") if c in key else F.col(c) for c in found.columns])
+    same = docs["doc_id"].eqNullSafe(named["_ofdoc_id"])
+    for c in key[1:]:
+        same &= docs[c] == named[f"_of{c}"]
+    return docs.join(named, same, how).drop(*[f"_of{c}" for c in key])
+
+
+def _once(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One of the equal rows of each key in ``repeated``, all other rows."""
+    one = _joined(docs, repeated, _KEY, "left_semi").dropDuplicates(list(_KEY))
+    return _joined(docs, repeated, _KEY, "left_anti").unionByName(one)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,30 +47,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash component, that of the smallest id (null ids are smaller than all and stay); of rows that repeat an id, one."""
-    placed = materialize(near_dedup(docs), "pipeline-near")
-    others = placed.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    kept = _without(docs, others, "pipeline-near-gone")
-    repeated = materialize(placed.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id")), "pipeline-repeated")
-    again = F.col("doc_id").eqNullSafe(F.col("_id"))
-    one = kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, again, "left_anti").unionByName(one)
+    """Keeps one row of each SimHash component, that of the smallest id, null ids before all; of rows that share it, the smallest key's."""
+    keyed = _keyed(docs)
+    placed = materialize(near_dedup(keyed.withColumn("_key", F.struct(*_KEY)), "_key"), "pipeline-near")
+    key = [F.col(f"doc_id.{c}").alias(c) for c in _KEY]
+    gone = materialize(placed.filter("doc_id <> component_id").select(*key).distinct(), "pipeline-near-gone")
+    repeated = placed.filter("doc_id = component_id").select(*key).groupBy(*_KEY).count().filter("count > 1").drop("count")
+    return _once(_joined(keyed, gone, _KEY, "left_anti"), materialize(repeated, "pipeline-repeated")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the decontamination contract calls contaminated."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.filter("contaminated").select("doc_id"), "pipeline-contaminated")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), with_key=True).withColumnRenamed("tk", "_tk")
+    gone = materialize(found.filter("contaminated").select("doc_id", "_tk").distinct(), "pipeline-contaminated")
+    return _joined(_keyed(docs), gone, ("doc_id", "_tk"), "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it, from none to three times."""
-    copies = mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").cast("int").alias("_copies"))
-    taken = materialize(copies.filter("_copies > 0"), "pipeline-copies")
+    """Every document as often as the mix takes it, from none to three times; equal rows as often as all of them together."""
+    keyed = _keyed(docs)
+    copies = mix(keyed, carry=_KEY[1:]).groupBy(*_KEY).agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    copies = materialize(copies, "pipeline-copies")
+    distinct = _once(keyed, copies.filter("_rows > 1").select(*_KEY))
     return (
-        docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_id")))
+        _joined(distinct, copies.filter("_copies > 0").drop("_rows"), _KEY, "inner")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[docs[c] for c in docs.columns])
+        .select(*docs.columns)
     )
 
 

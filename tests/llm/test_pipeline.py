@@ -97,3 +97,16 @@ def test_repeated_and_null_ids(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert not stage(spark, empty, SF).collect()
+
+
+def test_rows_under_null_and_shared_ids_are_judged_by_their_own_text(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    clean = [f"row {i} speaks of its own things: " + " ".join(f"w{i}x{j}" for j in range(40)) for i in range(6)]
+    rows = [(None, item), (None, clean[0]), (None, clean[1]), (5, item), (5, clean[2]), (3, clean[3]), (5, clean[3]), (5, clean[4]), (2**60 + 1, clean[5])]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], schema)
+    after = Counter((r.doc_id, r.text) for r in corpus_pipeline.decontamination(spark, docs, SF).collect())
+    assert after == Counter((d, t) for d, t in rows if t != item)
+    # The text of 3 is also one of 5's; the item is under null and 5; all others are alone.
+    after = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert after == Counter((d, t) for d, t in rows if (d, t) not in ((5, clean[3]), (5, item)))
