@@ -205,3 +205,14 @@ def test_quality_on_rows_never_learnt_from(spark):
             (good if labels[r.doc_id] else bad).append(r.score)
     assert np.mean([g > b for g in good for b in bad]) > 0.97
     assert np.mean(np.array(good) >= 0.3) > 0.97 and np.mean(np.array(bad) < 0.3) > 0.7
+
+
+def test_mix_with_one_long_text_in_every_group(spark):
+    # Ten groups; the long texts have most of the words, and no group can take up the error of one.
+    rows = [(i, "w " * (3_000 if i % 200 == 0 else 3), "a") for i in range(2_000)] + [(9_000 + i, "w " * 1_200, "b") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mix(docs, weights=(1, 3), most=3, group_rows=200).collect()
+    assert len(found) == len(rows)
+    for source in "ab":
+        mine = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= (30 if source == "a" else 600)

@@ -110,3 +110,15 @@ def test_rows_under_null_and_shared_ids_are_judged_by_their_own_text(spark):
     # The text of 3 is also one of 5's; the item is under null and 5; all others are alone.
     after = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
     assert after == Counter((d, t) for d, t in rows if (d, t) not in ((5, clean[3]), (5, item)))
+
+
+def test_copies_are_those_of_the_row(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None if i % 3 else i + 2**60, f"{i} " + "w " * (i % 7), "en", "ab"[i % 2], i) for i in range(300)]
+    rows += [(7, "equal rows", "en", "a", 1)] * 5
+    docs = spark.createDataFrame(rows, schema)
+    expected = Counter()
+    for r in corpus_pipeline.mix(docs.withColumn("t", corpus_pipeline.F.col("text")), carry=("t",)).collect():
+        expected[r.doc_id, r.t] += r.copies
+    after = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixing(spark, docs, SF).collect())
+    assert after == +expected and len({n for (d, _), n in after.items() if d is None}) > 1
