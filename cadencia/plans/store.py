@@ -26,12 +26,12 @@ from cadencia.operators.ranges import (
     range_replaced,
 )
 from cadencia.schemas import PARTITION_COLUMN
-from cadencia.session import materialize, scratch_dir
+from cadencia.session import delete_folder, materialize, shared_dir
 
 _log = logging.getLogger(__name__)
 _TABLE = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_-]*(\.[A-Za-z0-9_]+){1,2}")
 _STAGED, _OLD = "__staged", "__old"
-_WEEKS = "touched_weeks"
+_WEEKS, _ROWS = "touched_weeks", "staged_rows"
 
 
 def checked_name(name: str, label: str = "table") -> str:
@@ -105,7 +105,28 @@ def replace_range(
     spark = new.sparkSession
     finish_replace(spark, table)
     weekly = with_week(new, key)
-    path = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
+    # Not in this application's scratch folder: a later application may have to finish the replace.
+    path = f"{shared_dir(spark)}/cadencia-stages/{uuid.uuid4().hex}"
+    try:
+        written = _stage(weekly, path, new, table, key, start, end, stray)
+    except Exception:
+        if not spark.catalog.tableExists(table + _STAGED):
+            delete_folder(spark, path)
+        raise
+    staged = spark.table(quoted(table + _STAGED))
+    staged_rows, staged_weeks = staged.count(), materialize(staged.select(PARTITION_COLUMN).distinct(), "weeks")
+    finish_replace(spark, table)
+    stored = spark.table(quoted(table)).join(staged_weeks, PARTITION_COLUMN, "left_semi").count()
+    if stored != staged_rows:
+        raise RuntimeError(f"{table}: {stored} rows in the touched weeks, {staged_rows} were staged")
+    return written
+
+
+def _stage(
+    weekly: DataFrame, path: str, new: DataFrame, table: str, key: RangeKey, start: datetime, end: datetime, stray: str,
+) -> int:
+    """Write and check the stage and enter it in the catalog, with its weeks and number of rows; returns the number of new rows."""
+    spark = new.sparkSession
     weekly.write.parquet(path)
     staged_new = spark.read.schema(weekly.schema).parquet(path)
     written = check_window(staged_new, key, start, end)
@@ -125,28 +146,30 @@ def replace_range(
     kept = kept.join(strays, left_before, "left_anti")
     kept.select(*weekly.columns).write.mode("append").parquet(path)
     listed = ",".join(w.isoformat() for w in weeks)
+    rows = spark.read.schema(weekly.schema).parquet(path).count()
     spark.sql(
         f"CREATE TABLE {quoted(table + _STAGED)} USING parquet LOCATION '{path}' "
-        f"TBLPROPERTIES ('{_WEEKS}'='{listed}')"
+        f"TBLPROPERTIES ('{_WEEKS}'='{listed}', '{_ROWS}'='{rows}')"
     )
-    staged = spark.table(quoted(table + _STAGED))
-    staged_rows, staged_weeks = staged.count(), materialize(staged.select(PARTITION_COLUMN).distinct(), "weeks")
-    finish_replace(spark, table)
-    stored = spark.table(quoted(table)).join(staged_weeks, PARTITION_COLUMN, "left_semi").count()
-    if stored != staged_rows:
-        raise RuntimeError(f"{table}: {stored} rows in the touched weeks, {staged_rows} were staged")
     return written
 
 
 def finish_replace(spark: SparkSession, table: str) -> bool:
     """Put a stage in place that an earlier run completed; True if there was one.
 
-    The stage enters the catalog only once it is complete and checked, so doing this twice is safe.
+    The stage enters the catalog only once it is complete and checked, so doing this twice is safe. A stage that no
+    longer holds the rows it was entered with is an error and leaves the history as it was.
     """
     staged_name = checked_name(table) + _STAGED
     if not spark.catalog.tableExists(staged_name):
         return False
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(staged_name)}").collect()}
+    present = spark.table(quoted(staged_name)).count()
+    if properties.get(_ROWS) != str(present):
+        raise RuntimeError(
+            f"{staged_name} holds {present} rows, {properties.get(_ROWS, 'an unknown number')} were staged; nothing was replaced, "
+            "drop the stage and load the report again"
+        )
     columns = [f"`{c}`" for c in spark.table(quoted(table)).columns]
     staged = spark.table(quoted(staged_name)).select(*columns)
     listed = list(map(date.fromisoformat, properties[_WEEKS].split(",")))
@@ -160,7 +183,9 @@ def finish_replace(spark: SparkSession, table: str) -> bool:
             spark.sql(
                 f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}=DATE'{week}')"
             )
+    location = spark.sql(f"DESCRIBE FORMATTED {quoted(staged_name)}").filter("col_name = 'Location'").first()["data_type"]
     spark.sql(f"DROP TABLE {quoted(staged_name)}")
+    delete_folder(spark, location)  # an external table's files outlive it
     return True
 
 

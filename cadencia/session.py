@@ -67,8 +67,12 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def _remove(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):  # the session may have been stopped already; then the files stay
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | tuple[str, ...] | None = None) -> DataFrame:

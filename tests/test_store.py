@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -117,6 +118,39 @@ def test_interrupted_replace_is_finished_by_the_next_run(spark, schema, monkeypa
     assert {k[3] for k in content(spark, table)} == {7} and row_count(spark, table) == 4
 
 
+def test_stage_outlives_its_application_and_is_refused_without_its_rows(spark, schema, monkeypatch):
+    table = f"{schema}.trips"
+    replace_range(week_a(spark), table, KEY, *A)
+    before = content(spark, table)
+    real, calls = finish_replace, []
+
+    def die_at_the_swap(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("killed")
+        return real(*args)
+
+    def location():
+        return spark.sql(f"DESCRIBE FORMATTED {table}__staged").filter("col_name = 'Location'").first()["data_type"]
+
+    monkeypatch.setattr("cadencia.plans.store.finish_replace", die_at_the_swap)
+    with pytest.raises(OSError):
+        replace_range(week_a(spark, 7), table, KEY, *A)
+    monkeypatch.setattr("cadencia.plans.store.finish_replace", real)
+    path = location().removeprefix("file:")
+    assert spark.sparkContext.applicationId not in path
+    kept = spark.read.parquet(path).localCheckpoint()
+    kept.limit(1).write.mode("overwrite").parquet(path)
+    spark.catalog.refreshTable(f"{table}__staged")
+    with pytest.raises(RuntimeError, match="nothing was replaced"):
+        finish_replace(spark, table)
+    assert content(spark, table) == before
+    kept.write.mode("overwrite").parquet(path)
+    spark.catalog.refreshTable(f"{table}__staged")
+    assert finish_replace(spark, table) and {k[3] for k in content(spark, table)} == {7}
+    assert not os.path.exists(path)
+
+
 SQL = "SELECT v, count(*) AS n FROM IDENTIFIER(:source_table) GROUP BY v;"
 
 
