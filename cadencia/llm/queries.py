@@ -18,6 +18,7 @@ from cadencia.llm.quality import score, train
 from cadencia.llm.repeats import remove_repeats
 from cadencia.llm.sharding import shard
 from cadencia.llm.simhash import near_dedup
+from cadencia.llm.spelling import spelling_variants
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,11 +82,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), words=4, max_bits=4)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), min_chars=6, min_count=5, ratio=5, damage=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality, op3_mixing, op4_repeats, op5_sharding, op6_pii, op7_chat, op8_line_dedup,
-        op9_exact_dedup, op10_simhash,
+        op9_exact_dedup, op10_simhash, op11_spelling,
     )
 }
 
@@ -113,17 +118,24 @@ from docs left join hit using (doc_id) left join named using (doc_id)
 """
 
 # CRC-32 in SQL: the usual table of 256 remainders, folded over the bytes of the text.
-SHARDING_SQL = """
-with recursive steps as (
+_CRC_TABLE = """recursive steps as (
   select i, 0 as s, i::bigint as c from range(256) as r(i)
   union all
   select i, s + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end from steps where s < 8),
-crc as (select list(c order by i) as t from steps where s = 8),
+crc as (select list(c order by i) as t from steps where s = 8)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(
+      list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)),
+      lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::bigint)"""
+
+
+SHARDING_SQL = f"""
+with {_CRC_TABLE},
 rows as (
   select doc_id, strlen(coalesce(text, '')) + 1 as size, md5(coalesce(text, '')) as digest,
-    xor(list_reduce(
-      list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint)),
-      lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::bigint) as text_crc32
+    {_crc32("coalesce(text, '')")} as text_crc32
   from documents, crc),
 total as (select sum(size)::hugeint as total from rows),
 placed as (
@@ -182,10 +194,38 @@ grouped as (
 select doc_id, keep_id, group_size::bigint as group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256 from grouped
 """
 
+# Near words share what is left without the code point at one place (replaced), or one is left of the other (inserted, deleted).
+SPELLING_SQL = f"""
+with {_CRC_TABLE},
+runs as (select doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]+')) as run from documents),
+hashed as (select run, {_crc32("coalesce(doc_id::varchar, '') || ':' || run")} as h from runs, crc where length(run) >= 6),
+words as (
+  select word, count(*) as n
+  from (select case when h % 199 = 0 then run[: h % length(run)] || run[h % length(run) + 2 :] else run end as word from hashed)
+  where length(word) >= 6 group by word having count(*) >= 5),
+less as (select word, n, i, word[: i - 1] || word[i + 1 :] as rest from words, unnest(range(1, length(word) + 1)) as u(i)),
+pairs as (
+  select a.word, b.word as near, b.n as near_n from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select l.word, w.word, w.n from less l join words w on l.rest = w.word
+  union select w.word, l.word, l.n from less l join words w on l.rest = w.word),
+around as (
+  select word, count(*) as n_near, first(near order by near_n desc, near) as best, max(near_n) as best_n from pairs group by word),
+formed as (
+  select word, n, coalesce(n_near, 0) as n_near, case when best_n >= 5 * n then best end as form, case when best_n >= 5 * n then best_n end as form_n
+  from words left join around using (word)),
+chain as (
+  select word, word as at from formed
+  union all
+  select c.word, f.form from chain c join formed f on f.word = c.at where f.form is not null)
+select f.word, f.form, c.at as root, f.n::bigint as n, f.n_near::bigint as n_near, f.form_n::bigint as form_n
+from formed f join chain c using (word) join formed e on e.word = c.at where e.form is null
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION_SQL,
     "op5_sharding": SHARDING_SQL,
     "op7_chat": CHAT_SQL,
     "op8_line_dedup": LINES_SQL,
     "op9_exact_dedup": EXACT_SQL,
+    "op11_spelling": SPELLING_SQL,
 }
