@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from cadencia.llm.decontam import decontaminate
 from cadencia.llm.exact import exact_dedup
 from cadencia.llm.lines import line_dedup
 from cadencia.llm.mixing import mix
+from cadencia.llm.packing import pack
 from cadencia.llm.pii import find_pii
 from cadencia.llm.quality import score, train
 from cadencia.llm.repeats import remove_repeats
@@ -86,11 +88,15 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), min_chars=6, min_count=5, ratio=5, damage=199)
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=4096, end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality, op3_mixing, op4_repeats, op5_sharding, op6_pii, op7_chat, op8_line_dedup,
-        op9_exact_dedup, op10_simhash, op11_spelling,
+        op9_exact_dedup, op10_simhash, op11_spelling, op12_packing,
     )
 }
 
