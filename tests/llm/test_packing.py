@@ -137,7 +137,7 @@ def test_plans_of_random_histograms():
         size = rng.randrange(1, 50)
         lengths = [rng.randrange(1, size + 1) for _ in range(rng.randrange(0, 300))]
         found = sequences_of(dict(Counter(lengths)), size, 256)
-        assert -(-sum(lengths) // size) <= found <= best_fit(lengths, size) + 1
+        assert -(-sum(lengths) // size) <= found <= best_fit(lengths, size) * 1.03 + 1
         # Coarse classes waste room but place everything.
         assert sequences_of(dict(Counter(lengths)), size, rng.randrange(1, 20)) >= found - 1
 
