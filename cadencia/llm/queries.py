@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadencia.llm.alignment import align
 from cadencia.llm.chat import format_conversations, read_loss, read_turns
 from cadencia.llm.common import table
 from cadencia.llm.decontam import decontaminate
@@ -92,11 +93,18 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=4096, end_id=1)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    aligned = align(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.withColumn("groups_sha256", digest).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality, op3_mixing, op4_repeats, op5_sharding, op6_pii, op7_chat, op8_line_dedup,
-        op9_exact_dedup, op10_simhash, op11_spelling, op12_packing,
+        op9_exact_dedup, op10_simhash, op11_spelling, op12_packing, op13_alignment,
     )
 }
 
