@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.functions.text import null_if_na, without_bom
+from cadencia.sources import records
 
 FILES = T.StructType(
     [
@@ -80,15 +81,44 @@ def read_text_columns(
     """A CSV report with a header, all columns as text.
 
     Columns without a header are called ``_c<position>`` and left out unless ``unnamed``. Files read together must
-    share one header, or the read fails; the headers are read first, one line per file, and then all files in one
-    scan. Quoted values may hold line breaks, which keeps a file in one task: for huge files without any,
-    ``line_breaks=False`` lets Spark split it, and ``partitions`` deals the rows of unsplittable files out. ``origin`` adds
-    columns, of the file's metadata for example.
+    share one header, or the read fails. Quoted values may hold line breaks; files are split all the same, at the cost
+    of a scan for quotes before. ``line_breaks=False`` promises that there are none and spares it. Files that cannot be split
+    (compressed ones, and encodings that are not bytewise) are read by one task each, and ``partitions`` deals out their rows. ``origin``
+    adds columns, of the file's metadata for example.
     """
+    paths = [path] if isinstance(path, str) else list(path)
+    origin = dict(origin or {})
+    if line_breaks and encoding.upper() in records.BYTEWISE:
+        df = _split_records(spark, paths, sep, encoding, origin)
+    else:
+        df = _whole_files(spark, paths, sep, encoding, line_breaks, origin)
+    columns = []
+    for name in df.columns[: len(df.columns) - len(origin)]:
+        if unnamed or not UNNAMED.fullmatch(name):
+            col = F.col(f"`{name}`")
+            columns.append((null_if_na(col) if na_as_null else col).alias(name))
+    df = df.select(*columns, *[F.col(f"`{name}`") for name in origin])
+    return df.repartition(partitions) if partitions else df
+
+
+def _split_records(spark: SparkSession, paths: list[str], sep: str, encoding: str, origin: dict[str, Column]) -> DataFrame:
+    """The report's columns and those of ``origin``, from records put together across byte ranges."""
+    first = sorted(spark.read.text(paths).inputFiles())[0]
+    header = records.first_header(spark, first, sep)
+    fields = records.header_fields(header, sep, encoding)
+    rows = records.read_records(spark, paths, sep, origin, header, encoding)
+    schema = ", ".join(f"c{i} string" for i in range(len(fields)))
+    parsed = F.from_csv(records.decoded(F.col("record"), encoding), schema, {"sep": sep, "escape": '"', "multiLine": "true"})
+    rows = rows.select(parsed.alias("_parsed"), *[F.col(f"`{name}`") for name in origin])
+    named = [F.col(f"_parsed.c{i}").alias(name) for i, name in enumerate(records.column_names(fields))]
+    return rows.select(*named, *[F.col(f"`{name}`") for name in origin])
+
+
+def _whole_files(spark: SparkSession, paths: list[str], sep: str, encoding: str, line_breaks: bool, origin: dict[str, Column]) -> DataFrame:
+    """The same by Spark's reader, which splits files only without line breaks in values. Headers are read before, one line per file."""
     reader = functools.partial(
         spark.read.csv, sep=sep, encoding=encoding, header=True, inferSchema=False, escape='"', multiLine=line_breaks,
     )
-    paths = path if isinstance(path, str) else list(path)
     df = without_bom(reader(paths))
     files = df.inputFiles()
     if len(files) > 1:
@@ -96,14 +126,7 @@ def read_text_columns(
             header = without_bom(reader([file])).columns
             if header != df.columns:
                 raise ValueError(f"the header of {file} differs from the first file's: {header} against {df.columns}")
-    columns = []
-    for name in df.columns:
-        if unnamed or not UNNAMED.fullmatch(name):
-            col = F.col(f"`{name}`")
-            columns.append((null_if_na(col) if na_as_null else col).alias(name))
-    columns += [col.alias(name) for name, col in (origin or {}).items()]
-    df = df.select(*columns)
-    return df.repartition(partitions) if partitions else df
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], *[col.alias(name) for name, col in origin.items()])
 
 
 def read_trip_report(

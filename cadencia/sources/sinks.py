@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimeType
 
 from cadencia.functions import clock
 from cadencia.operators.audit import compare_schemas
+from cadencia.sources.records import decoded, read_records
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
@@ -40,15 +41,17 @@ def output_path(root: str, table: str, raw_name: str) -> str:
 
 
 def read_processed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Processed CSV by position under an explicit schema; one unreadable row fails the read."""
+    """Processed CSV by position under an explicit schema; one unreadable row fails the read. Files are split, line breaks in values or not."""
     clocks = [f.name for f in schema if isinstance(f.dataType, TimeType)]
     text = StructType(
         [StructField(f.name, StringType()) if f.name in clocks else f for f in schema]
     )
-    reader = spark.read.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-    raw = reader.csv(
-        path, schema=text, header=True, mode="FAILFAST", multiLine=True, escape='"', enforceSchema=True
-    )
+    positions = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(text)])
+    options = {"mode": "FAILFAST", "escape": '"', "multiLine": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in positions)
+    rows = read_records(spark, path, ",")
+    parsed = rows.select(F.from_csv(decoded(F.col("record"), "UTF-8"), fields, options).alias("_row"))
+    raw = parsed.select(*[F.col(f"_row.c{i}").alias(f.name) for i, f in enumerate(schema)])
     bad = lambda c: F.raise_error(F.concat(F.lit("not a time of day: "), c))
     restored = []
     for field in schema:

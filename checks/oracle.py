@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import altered_lineitem_sql, can_rows_sql, fleet_rows_sql, raw_trips_sql
+from checks.views import altered_lineitem_sql, can_rows_sql, event_notes_sql, fleet_rows_sql, raw_trips_sql
 
 _CLOCK = r"'^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$'"
 
@@ -311,6 +311,7 @@ from ({_typed()}) t""",
     "range_replace_result": _replaced(True),
     "trips_job_corrected": _typed(False),
     "processed_names": _typed(False),
+    "csv_line_breaks": f"select event_id::varchar as event_id, event_type, note from ({event_notes_sql()}) n",
     "newest_file": """
 select wanted, n_name, n_regionkey::varchar as n_regionkey from nation
 join (values ('Desinc_0.csv', 0), ('Desinc_none.csv', 2)) w(wanted, region) on n_regionkey = region""",

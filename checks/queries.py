@@ -26,7 +26,7 @@ from cadencia.sources.landing import land_report, landed
 from cadencia.sources.reports import can_file, expected_or_newest, read_text_columns
 from cadencia.sources.sinks import append_table, read_processed_csv, write_csv
 
-from checks.views import altered_lineitem, can_rows, fleet_rows, raw_trips, table
+from checks.views import altered_lineitem, can_rows, event_notes, fleet_rows, raw_trips, table
 
 WEEK = (datetime(2024, 1, 8, 3, 20), datetime(2024, 1, 15, 3, 20))
 MONTH = (datetime(2024, 1, 1), datetime(2024, 2, 1))
@@ -359,6 +359,16 @@ def landed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, f"{folder}/landed", "withdrawals").select("Ruta", "_c1", "Turno", "source_file")
 
 
+@query
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report whose quoted values hold line breaks, quotes and separators, written and read back in byte ranges."""
+    folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
+    event_notes(spark, sf_dir).write.csv(
+        folder, sep=";", encoding="ISO-8859-1", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    return read_text_columns(spark, f"{folder}/*.csv", ";", "ISO-8859-1")
+
+
 @query
 def append_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appends by name; rows with a column more are refused and leave the table as it was."""

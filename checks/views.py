@@ -143,3 +143,20 @@ select l_orderkey, l_partkey, l_suppkey, l_linenumber,
 from lineitem cross join lateral (select unnest(range(case when l_orderkey%107=0 then 2 else 1 end)) as copy) c
 where l_orderkey%101<>0
 """
+
+
+_NOTES = """
+select event_id, event_type,
+       case when event_id%3=0 then concat('línea ',event_id,{lf},'"',props,'";',{lf},{lf},'fin')
+            when event_id%3=1 then concat(event_type,'"',user_id,'"') else concat({lf},event_type,';') end as note
+from {events}
+"""
+
+
+def event_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text per event, with line breaks, quotes and separators."""
+    return spark.sql(_NOTES.format(lf="chr(10)", events="{events}"), events=table(spark, sf_dir, "events"))
+
+
+def event_notes_sql() -> str:
+    return _NOTES.format(lf="chr(10)", events="events")
