@@ -1,8 +1,8 @@
 """History tables: names, range replace, guarded rebuild.
 
-A history table is a catalog table in Parquet, partitioned by ``service_week``. New contents are
-staged as a table of their own, checked, and only then put in place; a job that dies in between
-leaves the stage, and the next run finishes or discards it first.
+A history is a versioned table in Parquet, partitioned by ``service_week``. New contents are staged as a table of
+their own, checked, and only then put in place; a job that dies in between leaves the stage, and the next run
+finishes or discards it first. A version is a table of its own whose unchanged weeks are the files of the version before.
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from __future__ import annotations
 import logging
 import re
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,24 +23,30 @@ from cadencia.operators.ranges import (
     in_window,
     range_replaced,
 )
+from cadencia.plans.versions import (
+    KEPT_VERSIONS,
+    as_properties,
+    checked_name,
+    current,
+    data_folder,
+    discard_plain,
+    drop_folders,
+    folders,
+    locked,
+    properties,
+    publish,
+    quoted,
+)
 from cadencia.schemas import PARTITION_COLUMN
 from cadencia.session import delete_folder, materialize, shared_dir
 
 _log = logging.getLogger(__name__)
-_TABLE = re.compile(r"[A-Za-z0-9_][A-Za-z0-9_-]*(\.[A-Za-z0-9_]+){1,2}")
-_STAGED, _OLD = "__staged", "__old"
+_STAGED = "__staged"
 _WEEKS, _ROWS = "touched_weeks", "staged_rows"
-
-
-def checked_name(name: str, label: str = "table") -> str:
-    """``schema.table`` or ``catalog.schema.table``; anything that could carry SQL is refused."""
-    if not isinstance(name, str) or not _TABLE.fullmatch(name):
-        raise ValueError(f"{label} {name!r} is not of the form schema.table or catalog.schema.table")
-    return name
-
-
-def quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in checked_name(name).split("."))
+#: Property of a version, one per week: the folder that the week's files are in.
+_FOLDER = "cadencia.week."
+#: How Spark names the folder of rows without a week.
+_NO_WEEK = "__HIVE_DEFAULT_PARTITION__"
 
 
 def row_count(spark: SparkSession, table: str) -> int | None:
@@ -50,18 +54,6 @@ def row_count(spark: SparkSession, table: str) -> int | None:
     return spark.table(quoted(table)).count() if spark.catalog.tableExists(checked_name(table)) else None
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    # ``insertInto`` follows the session setting, not a writer option.
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def with_week(df: DataFrame, key: RangeKey) -> DataFrame:
     """Put the service week of the row's instant last, as the partition column."""
     week = calendar.service_week(key.column(df))
@@ -70,7 +62,66 @@ def with_week(df: DataFrame, key: RangeKey) -> DataFrame:
 
 def create_history(df: DataFrame, table: str, key: RangeKey) -> None:
     """Create the table from its first rows, which may be none."""
-    with_week(df, key).hint("rebalance", PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN).saveAsTable(checked_name(table))
+    spark = df.sparkSession
+    with locked(spark, checked_name(table)):
+        if spark.catalog.tableExists(table):
+            raise ValueError(f"{table} exists")
+        _new_version(spark, table, with_week(df, key), {})
+
+
+def _new_version(spark: SparkSession, table: str, weekly: DataFrame, kept: dict[str, str]) -> None:
+    """Write ``weekly``, whole weeks, and publish them with the other weeks ``kept`` (week -> folder) of the version before."""
+    data, folder = data_folder(spark, table), uuid.uuid4().hex
+    # A few even files per week instead of one per task and week; a heavy week is split.
+    weekly.hint("rebalance", PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN).parquet(f"{data}/{folder}")
+    before = current(spark, table)
+    number = int(before.rsplit("__v", 1)[1]) + 1 if before else 1
+    version = f"{table}__v{number}"
+    # What a run left that died before it published.
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(version)}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in weekly.schema)
+    written = [f.removeprefix(f"{PARTITION_COLUMN}=") for f in folders(spark, f"{data}/{folder}") if f.startswith(f"{PARTITION_COLUMN}=")]
+    weeks = {**kept, **dict.fromkeys(written, folder)}
+    noted = as_properties({"cadencia.number": number, **{f"{_FOLDER}{w}": f for w, f in weeks.items()}})
+    spark.sql(f"CREATE TABLE {quoted(version)} ({columns}) USING parquet PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{data}' TBLPROPERTIES ({noted})")
+    places = [f"PARTITION ({PARTITION_COLUMN}={_literal(w)}) LOCATION '{data}/{f}/{PARTITION_COLUMN}={w}'" for w, f in sorted(weeks.items())]
+    for at in range(0, len(places), 500):
+        spark.sql(f"ALTER TABLE {quoted(version)} ADD IF NOT EXISTS {' '.join(places[at : at + 500])}")
+    publish(spark, table, quoted(version), version, weekly.columns)
+    discard_plain(spark, table)
+    _forget_versions(spark, table, number)
+
+
+def _literal(week: str) -> str:
+    return "NULL" if week == _NO_WEEK else f"DATE'{week}'"
+
+
+def _folders(spark: SparkSession, version: str) -> dict[str, str]:
+    """Week -> folder of a version."""
+    return {k.removeprefix(_FOLDER): v for k, v in properties(spark, version).items() if k.startswith(_FOLDER)}
+
+
+def _forget_versions(spark: SparkSession, table: str, number: int) -> None:
+    """Drop versions that no reader should hold any more, and the folders that none of the others names."""
+    schema, name = table.rsplit(".", 1)
+    used: set[str] = set()
+    for found in spark.catalog.listTables(schema, f"{name}__v*"):
+        version = f"{schema}.{found.name}"
+        if int(found.name.rsplit("__v", 1)[1]) > number - KEPT_VERSIONS:
+            used |= set(_folders(spark, version).values())
+        else:
+            spark.sql(f"DROP TABLE {quoted(version)}")
+    drop_folders(spark, data_folder(spark, table), used)
+
+
+def drop_history(spark: SparkSession, table: str) -> None:
+    """The table, its versions and their files."""
+    with locked(spark, checked_name(table)):
+        spark.sql(f"DROP VIEW IF EXISTS {quoted(table)}")
+        schema, name = table.rsplit(".", 1)
+        for found in spark.catalog.listTables(schema, f"{name}__v*"):
+            spark.sql(f"DROP TABLE {quoted(f'{schema}.{found.name}')}")
+        delete_folder(spark, data_folder(spark, table))
 
 
 def weeks_touched(start: datetime, end: datetime) -> list[date]:
@@ -102,6 +153,11 @@ def replace_range(
     check_window_arguments(start, end, date_type)
     if stray not in ("reject", "keep"):
         raise ValueError(f"stray must be 'reject' or 'keep', not {stray!r}")
+    with locked(new.sparkSession, table):
+        return _replace(new, table, key, start, end, stray)
+
+
+def _replace(new: DataFrame, table: str, key: RangeKey, start: datetime, end: datetime, stray: str) -> int:
     spark = new.sparkSession
     finish_replace(spark, table)
     weekly = with_week(new, key)
@@ -163,30 +219,34 @@ def finish_replace(spark: SparkSession, table: str) -> bool:
     staged_name = checked_name(table) + _STAGED
     if not spark.catalog.tableExists(staged_name):
         return False
-    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(staged_name)}").collect()}
+    properties_ = properties(spark, staged_name)
     present = spark.table(quoted(staged_name)).count()
-    if properties.get(_ROWS) != str(present):
+    if properties_.get(_ROWS) != str(present):
         raise RuntimeError(
-            f"{staged_name} holds {present} rows, {properties.get(_ROWS, 'an unknown number')} were staged; nothing was replaced, "
+            f"{staged_name} holds {present} rows, {properties_.get(_ROWS, 'an unknown number')} were staged; nothing was replaced, "
             "drop the stage and load the report again"
         )
-    columns = [f"`{c}`" for c in spark.table(quoted(table)).columns]
-    staged = spark.table(quoted(staged_name)).select(*columns)
-    listed = list(map(date.fromisoformat, properties[_WEEKS].split(",")))
-    # No more weeks than the window's, which the property lists.
-    filled = {r[0] for r in staged.filter(F.col(PARTITION_COLUMN).isin(listed)).select(PARTITION_COLUMN).distinct().collect()}
-    # A few even files per week instead of one per task and week; a heavy week is split.
-    with _dynamic_overwrite(spark):
-        staged.hint("rebalance", PARTITION_COLUMN).write.mode("overwrite").insertInto(quoted(table))
-    for week in listed:
-        if week not in filled:
-            spark.sql(
-                f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}=DATE'{week}')"
-            )
+    with locked(spark, table):
+        staged = spark.table(quoted(staged_name)).select(*[f"`{c}`" for c in spark.table(quoted(table)).columns])
+        listed = properties_[_WEEKS].split(",")
+        before = current(spark, table)
+        if before is None:
+            # A plain table of an earlier release: its other weeks move into the first version.
+            gone = staged.select(PARTITION_COLUMN).distinct()
+            others = spark.table(quoted(table)).filter(~F.coalesce(F.col(PARTITION_COLUMN).cast("string").isin(listed), F.lit(False)))
+            same_week = others[PARTITION_COLUMN].eqNullSafe(gone[PARTITION_COLUMN])
+            _new_version(spark, table, staged.unionByName(others.join(gone, same_week, "left_anti")), {})
+        else:
+            kept = {week: folder for week, folder in _folders(spark, before).items() if week not in listed}
+            _new_version(spark, table, staged, kept)
+        _drop_stage(spark, staged_name)
+    return True
+
+
+def _drop_stage(spark: SparkSession, staged_name: str) -> None:
     location = spark.sql(f"DESCRIBE FORMATTED {quoted(staged_name)}").filter("col_name = 'Location'").first()["data_type"]
     spark.sql(f"DROP TABLE {quoted(staged_name)}")
     delete_folder(spark, location)  # an external table's files outlive it
-    return True
 
 
 def render(sql: str) -> str:
@@ -208,42 +268,35 @@ def dry_run(spark: SparkSession, sql: str, source_table: str) -> tuple[DataFrame
     return query, sizes[-1] if sizes else "unknown"
 
 
-def recover_swap(spark: SparkSession, table: str) -> None:
-    """Undo or complete a swap that was interrupted between its two renames."""
-    old = checked_name(table) + _OLD
-    if spark.catalog.tableExists(old):
-        if spark.catalog.tableExists(table):
-            spark.sql(f"DROP TABLE {quoted(old)}")
-        else:
-            spark.sql(f"ALTER TABLE {quoted(old)} RENAME TO {quoted(table)}")
-
-
 def rebuild_table(
     spark: SparkSession, sql: str, source_table: str, dest_table: str, min_row_ratio: float = 0.9
 ) -> int:
     """Create or replace ``dest_table`` from a query over the full source; returns its rows.
 
-    The new contents are complete and checked before the old table is touched: no rows, or fewer
-    than ``min_row_ratio`` of the rows before, is an error and leaves the old table as it was.
+    The new contents are complete and checked before they are published, in one statement: no rows, or fewer
+    than ``min_row_ratio`` of the rows before, is an error and leaves the old contents as they were.
     """
     checked_name(dest_table, "dest_table")
     query, scanned = dry_run(spark, sql, source_table)
     _log.info("rebuilding %s, which scans %s", dest_table, scanned)
-    recover_swap(spark, dest_table)
-    before = row_count(spark, dest_table)
-    staged = f"{dest_table}{_STAGED}_{uuid.uuid4().hex}"
-    query.write.saveAsTable(staged)
-    after = row_count(spark, staged)
-    fault = None
-    if after == 0:
-        fault = f"{dest_table}: the query gave no rows"
-    elif before is not None and after < int(before * min_row_ratio):
-        fault = f"{dest_table} would shrink from {before} to {after} rows"
-    if fault:
-        spark.sql(f"DROP TABLE {quoted(staged)}")
-        raise RuntimeError(fault)
-    if before is not None:
-        spark.sql(f"ALTER TABLE {quoted(dest_table)} RENAME TO {quoted(dest_table + _OLD)}")
-    spark.sql(f"ALTER TABLE {quoted(staged)} RENAME TO {quoted(dest_table)}")
-    recover_swap(spark, dest_table)
+    with locked(spark, dest_table):
+        before = row_count(spark, dest_table)
+        data, version = data_folder(spark, dest_table), uuid.uuid4().hex
+        # The published version and the one before stay for readers that began with them.
+        old = current(spark, dest_table)
+        earlier = [f for f in folders(spark, data) if f != old]
+        path = f"{data}/{version}"
+        query.write.parquet(path)
+        after = spark.read.schema(query.schema).parquet(path).count()
+        fault = None
+        if after == 0:
+            fault = f"{dest_table}: the query gave no rows"
+        elif before is not None and after < int(before * min_row_ratio):
+            fault = f"{dest_table} would shrink from {before} to {after} rows"
+        if fault:
+            delete_folder(spark, path)
+            raise RuntimeError(fault)
+        publish(spark, dest_table, f"parquet.`{path}`", version, query.columns)
+        discard_plain(spark, dest_table)
+        drop_folders(spark, data, {version, old or version, *earlier[len(earlier) - (KEPT_VERSIONS - 2) :]})
     return after

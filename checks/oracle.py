@@ -309,6 +309,7 @@ select count(*) as total_rows, count(*) - count("FECHA") as bad_dates, count(*)
   {_stamp(f'max(cast("FECHA" as timestamp) + to_seconds({_seconds(chr(34) + "PARTIDA_REAL" + chr(34))}))')} as max_key
 from ({_typed()}) t""",
     "range_replace_result": _replaced(True),
+    "readers_during_swap": f"""select "FECHA", count(*) as n_rows, 0 as odd_reads from ({_replaced(False)}) t group by "FECHA\"""",
     "trips_job_corrected": _typed(False),
     "processed_names": _typed(False),
     "csv_line_breaks": f"select event_id::varchar as event_id, event_type, note from ({event_notes_sql()}) n",

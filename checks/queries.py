@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -285,6 +286,36 @@ def range_replace_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(quoted(history)).drop(PARTITION_COLUMN)
 
 
+@query
+def readers_during_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips of each day after a replace, and how many reads made meanwhile saw neither the old nor the new contents, or failed."""
+    rows = materialize(typed(spark, sf_dir, bad_days=False), "typed")
+    history = f"{scratch_schema(spark)}.trips"
+    create_history(rows, history, jobs.TRIP_KEY)
+    seen, done = [], threading.Event()
+
+    def look() -> tuple:
+        try:
+            return tuple(spark.table(quoted(history)).agg(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first())
+        except Exception as fault:  # noqa: BLE001 - counted
+            return (str(fault),)
+
+    def read() -> None:
+        while not done.is_set():
+            seen.append(look())
+
+    before, reader = look(), threading.Thread(target=read, daemon=True)
+    reader.start()
+    try:
+        replace_range(_corrected(rows), history, jobs.TRIP_KEY, *WEEK)
+    finally:
+        done.set()
+        reader.join()
+    odd = sum(s not in (before, look()) for s in set(seen))
+    stored = spark.table(quoted(history))
+    return stored.groupBy("FECHA").agg(F.count("*").alias("n_rows")).withColumn("odd_reads", F.lit(odd))
+
+
 @query
 def guarded_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scheduled gaps rebuilt twice from a stored trip table by the SQL file."""
