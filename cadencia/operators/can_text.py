@@ -116,7 +116,8 @@ def _float_text(digits: Column) -> Column:
     whole = F.regexp_replace(F.substring_index(digits, ".", 1), "^0+(?=.)", "")
     part = F.regexp_replace(F.regexp_replace(digits, r"^[0-9]*\.?", ""), "0+$", "")
     text = F.concat(F.when(whole == "", "0").otherwise(whole), F.lit("."), F.when(part == "", "0").otherwise(part))
-    return F.when(digits.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), text)
+    written_so = digits.rlike(r"^(0|[1-9][0-9]*)\.(0|[0-9]*[1-9])$")
+    return F.when(written_so, digits).when(digits.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), text)
 
 
 def _kept(condition: Column, value: Column) -> Column:
@@ -163,8 +164,8 @@ def key_value_entries(rest: Column) -> Column:
     """Parts with a letter and a ``=`` as (key, value), split at the first ``=``."""
     # Longer runs leave empty or padded parts, which the trimming and the filter take care of.
     parts = F.filter(
-        F.transform(F.split(rest, "  "), _tidy),
-        lambda p: p.contains("=") & p.rlike("[a-zA-Z]"),
+        F.transform(F.filter(F.split(rest, "  "), lambda p: p.contains("=")), _tidy),
+        lambda p: p.rlike("[a-zA-Z]"),
     )
     entries = F.transform(
         parts,
@@ -182,7 +183,8 @@ def last_of_each_key(entries: Column) -> Column:
     def repeated(entry: Column, i: Column) -> Column:
         return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other.key == entry.key)
 
-    return F.filter(entries, lambda entry, i: ~repeated(entry, i))
+    keys = entries["key"]
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(F.filter(entries, lambda entry, i: ~repeated(entry, i)))
 
 
 def parse_can(df: DataFrame, text: str = TEXT) -> DataFrame:

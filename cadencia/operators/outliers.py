@@ -144,12 +144,18 @@ def _score(features: Sequence[str], columns: Sequence[str]):
     return score
 
 
+def _join_group(rows: DataFrame, per_group: DataFrame, group: str) -> DataFrame:
+    """Rows with what is known of their group; rows without a group are a group too."""
+    named = per_group.withColumnRenamed(group, "_group")
+    return rows.join(named, rows[group].eqNullSafe(named["_group"])).drop("_group")
+
+
 def _score_in_place(features: Sequence[str], group: str, shared):
     def score(batches):
         for rows in batches:
             depth = np.zeros(len(rows), np.int64)
             for name, at in rows.groupby(group, dropna=False).indices.items():
-                depth[at] = mean_depth(rows.iloc[at][list(features)].to_numpy(float), *_arrays(shared.value[name]))
+                depth[at] = mean_depth(rows.iloc[at][list(features)].to_numpy(float), *_arrays(shared.value[None if pd.isna(name) else name]))
             yield rows.assign(depth=depth)
 
     return score
@@ -170,7 +176,7 @@ def training_pool(
     share = F.least(F.lit(1.0), F.lit(float(pool_rows)) / F.col("group_rows"))
     copies = F.floor(F.col("n") * share + F.least(position, F.lit(0.999999))).cast("bigint")
     return (
-        counted.join(sizes, group)
+        _join_group(counted, sizes, group)
         .select(group, "pieces", *features, copies.alias("copies"))
         .filter("copies > 0")
     )
@@ -212,7 +218,7 @@ def depth_scores(
     ).drop("pieces")
     # The row number only spreads the rows over pieces.
     numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    pieces = numbered.join(sizes.select(group, "pieces"), group).withColumn(
+    pieces = _join_group(numbered, sizes.select(group, "pieces"), group).withColumn(
         "piece", F.pmod(F.xxhash64("_row"), F.col("pieces"))
     )
     return (
@@ -241,7 +247,7 @@ def without_outliers(
     base = df if stored else materialize(df, "outliers-in")
     scored = materialize(depth_scores(base, group, features, trees, tree_rows), "outliers-scored")
     cuts = materialize(depth_cuts(scored, group, contamination), "outliers-cuts")
-    return scored.join(cuts, group).filter("depth >= cut").select(*df.columns)
+    return _join_group(scored, cuts, group).filter("depth >= cut").select(*df.columns)
 
 
 def warn_if_over_cut(before: int, after: int, contamination: float = CONTAMINATION) -> None:

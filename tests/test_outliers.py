@@ -64,3 +64,17 @@ def test_warning():
         warnings.simplefilter("error")
         warn_if_over_cut(100, 50)
         warn_if_over_cut(0, 0)
+
+
+@pytest.mark.parametrize("shared_bytes", [1 << 27, 0])
+def test_rows_without_a_group_are_a_group(spark, monkeypatch, shared_bytes):
+    df = materialize(headway_rows(spark), "test")
+    named = sorted((r.id, r.depth) for r in depth_scores(df).filter("RUTA = 'L1'").collect())
+    missing = materialize(df.withColumn("RUTA", F.when(F.col("RUTA") != "L1", F.col("RUTA"))), "test")
+    monkeypatch.setattr(outliers, "PIECE_ROWS", 250)
+    scored = depth_scores(missing, shared_bytes=shared_bytes)
+    assert scored.count() == df.count()
+    assert sorted((r.id, r.depth) for r in scored.filter("RUTA IS NULL").collect()) == named
+    kept = without_outliers(missing, stored=True)
+    assert {r.RUTA for r in kept.select("RUTA").distinct().collect()} == {None, "L2", "ONE", "SAME"}
+    assert -1 not in {r.id for r in kept.collect()}
