@@ -9,18 +9,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadencia.llm.common import as_bytes, bounded_batches
-from cadencia.llm.tokens import KEPT_WORDS, from_json, read_vocabulary
+from cadencia.llm.tokens import from_json, read_vocabulary
 from cadencia.session import materialize
 
 #: Id pairs whose counts are sent to every task (24 bytes each); more are joined instead.
 BROADCAST_PAIRS = 1 << 21
-#: New words encoded as one text.
+#: About so many words' alignments a worker keeps, the first it meets; later words it has at hand for one slice.
+KEPT_WORDS = 300_000
+#: Different id pairs a worker tells apart before it starts afresh.
+KEPT_PAIRS = 1 << 22
+#: New words encoded as one text, and bytes of texts aligned together.
 LEARNED = 50_000
+SLICE_BYTES = 1 << 21
+#: Cells of a table of texts and pairs.
+CELLS = 1 << 25
 
 _B_IDS = 1 << 20
 
@@ -94,6 +102,22 @@ def token_links(begin_a: np.ndarray, end_a: np.ndarray, begin_b: np.ndarray, end
     return a, b, group[:n_a], group[n_a:]
 
 
+class _Numbers(dict):
+    """Word -> number, the next one for a new word, and -1 for what is no word of its own: nothing, or with a blank at an end."""
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.known = 0
+
+    def __missing__(self, word: str) -> int:
+        if not word or word[0].isspace() or word[-1].isspace():
+            self[word] = -1
+            return -1
+        self[word] = number = self.known + len(self.new)
+        self.new.append(word)
+        return number
+
+
 class Aligner:
     """Alignments of words, kept from batch to batch. A word is what lies between two cuts."""
 
@@ -107,16 +131,17 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
+        #: Words with blanks at their ends, which only stand at the ends of texts.
+        self.edges: dict[str, int] = {}
         #: The different id pairs met, a_id * 2^20 + b_id, and the numbers they have here in increasing order.
         self.pairs, self.by_pair = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.groups: list[str] = []
         #: Per word: A tokens, B tokens, groups, links, and 1 if both sides give its bytes back.
         self.counts = np.zeros((0, 5), np.int64)
         self.codes, self.code_ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
-
-    def split(self, text: str) -> list[str]:
-        return _CUT.split(text) if self.sides[1].parts_at_spaces else [text]
+        #: Words, entries and words with blanks that stay, once there are enough.
+        self.kept: tuple[int, int, int] | None = None
 
     def _joined(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray] | None:
         """Ids of all words in a row on both sides, from one text of them all, and the words' ends in bytes; None if the bytes do not come back."""
@@ -137,15 +162,17 @@ class Aligner:
         flat = [np.array([i for ids, ok in zip(side, fine) if ok for i in ids], np.int64) for side in encoded]
         return flat, np.cumsum([len(r) if ok else 0 for r, ok in zip(raw, fine)]), np.array(fine)
 
-    def _learn(self, words: list[str]) -> None:
-        # Words without blanks at their ends are cut apart again wherever they stand, so they may be encoded as one text.
-        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        joined = self._joined(plain) if plain and self.sides[1].parts_at_spaces else None
-        if joined is not None:
-            self._add(plain, *joined, np.ones(len(plain), bool))
-            words = list(set(words) - set(plain))
-        if words:
-            self._add(words, *self._each(words))
+    def _learn(self) -> None:
+        """Adds the new words. They have no blanks at their ends, so they are cut apart again as parts of one text."""
+        new, self.number.new = self.number.new, []
+        for at in range(0, len(new), LEARNED):
+            some = new[at : at + LEARNED]
+            joined = self._joined(some)
+            if joined is not None:
+                self._add(some, *joined, np.ones(len(some), bool))
+            else:
+                self._add(some, *self._each(some))
+        self.number.known = len(self.groups)
 
     def _add(self, words: list[str], flat: list[np.ndarray], word_ends: np.ndarray, fine: np.ndarray) -> None:
         ends = [np.cumsum(size[ids]) for size, ids in zip(self.sizes, flat)]
@@ -167,7 +194,6 @@ class Aligner:
         self.counts = np.concatenate([self.counts, np.stack([*n_tokens, np.diff(group_ends, prepend=0), n_links, fine.astype(np.int64)], axis=1)])
         self.code_ends = np.concatenate([self.code_ends, self.code_ends[-1] + np.cumsum(n_links)])
         self.codes = np.concatenate([self.codes, self._numbers(flat[0][a] * _B_IDS + flat[1][b])])
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
 
     def _numbers(self, pairs: np.ndarray) -> np.ndarray:
         """Numbers of id pairs, new ones for those not met before."""
@@ -178,16 +204,46 @@ class Aligner:
             self.by_pair = np.argsort(self.pairs)
         return self.by_pair[np.searchsorted(self.pairs, different, sorter=self.by_pair)][inverse]
 
+    def _drop_surplus(self) -> None:
+        """Back to the words that stay; dictionaries give the latest entries first."""
+        if self.kept is None and len(self.number) > KEPT_WORDS:
+            self.kept = len(self.groups), len(self.number), len(self.edges)
+        if self.kept is not None and len(self.groups) + len(self.number) > self.kept[0] + self.kept[1]:
+            words, entries, edges = self.kept
+            while len(self.number) > entries:
+                self.number.popitem()
+            while len(self.edges) > edges:
+                self.edges.popitem()
+            del self.groups[words:]
+            self.counts, self.code_ends = self.counts[:words].copy(), self.code_ends[: words + 1].copy()
+            self.codes = self.codes[: self.code_ends[-1]].copy()
+            self.number.known = words
+
+    def _careful(self, text: str) -> list[int]:
+        """Numbers of the words of a text that has blanks next to spaces or at its ends."""
+        words = _CUT.split(text) if self.sides[1].parts_at_spaces else [text]
+        out = []
+        for word in words:
+            if self.number[word] >= 0 and self.sides[1].parts_at_spaces:
+                out.append(self.number[word])
+                continue
+            if word not in self.edges:
+                self._learn()  # numbers go on from here
+                self.edges[word] = len(self.groups)
+                self._add([word], *self._each([word]))
+                self.number.known = len(self.groups)
+            out.append(self.edges[word])
+        return out
+
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(word numbers, ends): the words of the texts in a row, and where each text's end. Texts that do not come back from both sides have none."""
-        if len(self.number) > KEPT_WORDS:
-            self.forget()
-        split = [self.split(t) if t else [] for t in texts]
-        new = list(set().union(*split) - self.number.keys())
-        for at in range(0, len(new), LEARNED):
-            self._learn(new[at : at + LEARNED])
-        get = self.number.__getitem__
-        numbers = [list(map(get, words)) for words in split]
+        self._drop_surplus()
+        get, at_spaces = self.number.__getitem__, self.sides[1].parts_at_spaces
+        numbers = [list(map(get, t.split(" "))) if t and at_spaces else [-1] * bool(t) for t in texts]
+        for i, found in enumerate(numbers):
+            if -1 in found:
+                numbers[i] = self._careful(texts[i])
+        self._learn()
         sizes = np.array([len(n) for n in numbers], np.int64)
         word = np.fromiter(itertools.chain.from_iterable(numbers), np.int64, int(sizes.sum()))
         row = np.repeat(np.arange(len(texts)), sizes)
@@ -219,6 +275,29 @@ def _texts(column: pa.Array) -> list[str]:
     return [(t or b"").decode() for t in as_bytes(column)]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``SLICE_BYTES`` of text (the last column), one row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.columns[-1]), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            yield batch.slice(x, y - x)
+
+
+def _rows_with(row: np.ndarray, code: np.ndarray, rows: int, codes: int) -> np.ndarray:
+    """For each code, in how many rows it occurs; ``row`` does not decrease."""
+    if rows * codes > 64 * len(row):
+        return np.bincount(np.unique(row * codes + code) % codes, minlength=codes)
+    out, step = np.zeros(codes, np.int64), max(1, CELLS // codes)
+    for at in range(0, rows, step):
+        x, y = np.searchsorted(row, (at, at + step))
+        met = np.zeros((min(step, rows - at), codes), bool)
+        met[row[x:y] - at, code[x:y]] = True
+        out += met.sum(axis=0)
+    return out
+
+
 def _link_rows(aligner: Aligner, word: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, pair number) of all links."""
     link_ends, code = aligner.links(word)
@@ -237,15 +316,15 @@ def _count_pairs(a: bytes, b: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(a, b)
         times = np.zeros(0, np.int64)
-        for batch in batches:
-            if len(aligner.number) > KEPT_WORDS:  # numbers of pairs go with the words
+        for batch in _slices(batches):
+            if len(aligner.pairs) > KEPT_PAIRS:
                 yield from counted(aligner, times)
                 aligner.forget()
                 times = times[:0]
             row, code = _link_rows(aligner, *aligner.words(_texts(batch.column(0))))
             n = len(aligner.pairs)
             if n:
-                more = np.bincount(np.unique(row * n + code) % n, minlength=n)
+                more = _rows_with(row, code, batch.num_rows, n)
                 more[: len(times)] += times
                 times = more
         yield from counted(aligner, times)
@@ -265,7 +344,7 @@ def _describe(a: bytes, b: bytes, counted: tuple[np.ndarray, np.ndarray, np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(a, b)
-        for batch in batches:
+        for batch in _slices(batches):
             word, ends = aligner.words(_texts(batch.column(1)))
             columns = [batch.column(0), *[pa.array(_per_text(aligner.counts[word, i], ends)) for i in range(len(_SUMS))]]
             groups = list(map(aligner.groups.__getitem__, word.tolist()))

@@ -107,7 +107,7 @@ def test_empty_table(spark):
 
 
 def test_words_align_as_whole_texts(plain, monkeypatch):
-    monkeypatch.setattr(alignment, "KEPT_WORDS", 300)  # also forget and learn anew
+    monkeypatch.setattr(alignment, "KEPT_WORDS", 300)  # words beyond these are dropped and learnt anew
     aligner = Aligner(read_vocabulary(A), read_vocabulary(B))
     rng = random.Random(1)
     bits = [*"abE.,'!\n\t1  ", "é", "▁", "the", "'s", "<|endoftext|>", " ", "日", "\x1c"]
