@@ -17,6 +17,7 @@ from cadencia.operators.can_wide import can_wide, layouts
 from cadencia.operators.fleet import fleet_snapshot, stamp_snapshot
 from cadencia.operators.outliers import warn_if_over_cut, without_outliers
 from cadencia.operators.ranges import RangeKey
+from cadencia.operators.stamps import INFER, inferred_format
 from cadencia.operators.trips import headways, typed_trips
 from cadencia.plans.store import rebuild_table, replace_range
 from cadencia.schemas import BRANDS
@@ -89,13 +90,18 @@ def run_can(
 ) -> tuple[DataFrame, list[date]]:
     """Telemetry of a range of days: one scan, one wide output per brand and day.
 
-    Returns rows per day and brand (zero rows included) and the days without a file. Days of a brand
+    ``formats`` may be ``["infer"]``: then the one format counts that reads every stamp of the range, and two that do so
+    differently are an error. Returns rows per day and brand (zero rows included) and the days without a file. Days of a brand
     whose columns agree are written together, to ``out_dir/<brand>/report_day=...``.
     """
     raw, skipped = read_can_reports(spark, folder, first, last, line_breaks)
     if raw is None:
         return can_summary(spark, None, []), skipped
-    parsed = materialize(parse_can(branded_rows(raw)), "can-parsed", partition_by=("brand", "report_day"))
+    branded = branded_rows(raw)
+    if tuple(formats) == (INFER,):
+        inferred = inferred_format(branded, "Fecha")
+        formats = clock.STAMP_FORMATS if inferred is None else (inferred,)
+    parsed = materialize(parse_can(branded), "can-parsed", partition_by=("brand", "report_day"))
     drop = {b.name: b.drop for b in BRANDS}
     for layout in layouts(parsed, ("brand", "report_day")):
         for brand in sorted({s[0] for s in layout.slots}):

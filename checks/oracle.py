@@ -312,6 +312,10 @@ from ({_typed()}) t""",
     "readers_during_swap": f"""select "FECHA", count(*) as n_rows, 0 as odd_reads from ({_replaced(False)}) t group by "FECHA\"""",
     "trips_job_corrected": _typed(False),
     "processed_names": _typed(False),
+    "stamp_formats": """
+select c as "column", f as format, count(*) as n_read, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as first, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as last
+from events, (values ('day_first', 'd/M/yyyy H:m:s[.SSSSSS]'), ('month_first', 'M/d/yyyy H:m:s[.SSSSSS]')) v(c, f)
+where event_id%50<>0 group by all""",
     "csv_line_breaks": f"select event_id::varchar as event_id, event_type, note from ({event_notes_sql()}) n",
     "newest_file": """
 select wanted, n_name, n_regionkey::varchar as n_regionkey from nation

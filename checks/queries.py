@@ -18,6 +18,7 @@ from cadencia.operators import audit, fleet, ranges, schedule, trips
 from cadencia.operators.can_text import PAIRS, branded_rows, brand_counts, parse_can, squeezed
 from cadencia.operators.can_wide import can_wide, layouts, unit_profile
 from cadencia.operators.outliers import without_outliers
+from cadencia.operators.stamps import inferred_format
 from cadencia.plans import jobs
 from cadencia.plans.audit import audit_frames
 from cadencia.plans.store import create_history, quoted, rebuild_table, replace_range
@@ -390,6 +391,23 @@ def landed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, f"{folder}/landed", "withdrawals").select("Ruta", "_c1", "Turno", "source_file")
 
 
+@query
+def stamp_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats of two text columns, one with the day first and one with the month first, and what they read by them."""
+    ts = table(spark, sf_dir, "events").select("ts", "event_id")
+    blank = F.col("event_id") % 50 == 0
+    orders = {"day_first": "dd/MM/yyyy HH:mm:ss", "month_first": "MM/dd/yyyy HH:mm:ss"}
+    texts = materialize(ts.select(*[F.when(blank, " ").otherwise(F.date_format("ts", f)).alias(n) for n, f in orders.items()]), "stamps")
+    found = None
+    for name in orders:
+        inferred = inferred_format(texts, name)
+        stamps = clock.report_stamp(F.col(name), (inferred,))
+        read = texts.agg(F.count(stamps).alias("n_read"), F.min(stamps).alias("first"), F.max(stamps).alias("last"))
+        rows = read.select(F.lit(name).alias("column"), F.lit(inferred).alias("format"), "n_read", "first", "last")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report whose quoted values hold line breaks, quotes and separators, written and read back in byte ranges."""
