@@ -13,6 +13,7 @@ import csv
 import io
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -171,40 +172,53 @@ def _assemble(sep: bytes, opened: Ranges, same_header, width: int):
             self.held, self.row, self.more = [], None, False
 
         def emit(self, values: pa.Array, rows: pa.RecordBatch, kind: int) -> Iterator[pa.RecordBatch]:
-            if kind in (_RECORD, _HEADER) and self.first and len(values):
-                if same_header is not None and not same_header(values[0].as_py()):
-                    raise ValueError(f"the header of {self.path} differs from the first file's: {values[0].as_py()!r}")
-                self.first = False
-                values, rows = values.slice(1), rows.slice(1)
+            if kind == _HEADER:
+                self.check_header(values[0].as_py())
+                return
             if kind == _HEADER_BEGUN:
                 self.first = False
             if len(values):
                 columns = [rows.column(i) for i in range(1, rows.num_columns)]
-                yield pa.RecordBatch.from_arrays([values, *columns, pa.array([kind] * len(values), pa.int32())], names=[*rows.schema.names, "kind"])
+                yield pa.RecordBatch.from_arrays([values, *columns, pa.array(np.full(len(values), kind, np.int32))], names=[*rows.schema.names, "kind"])
+
+        def check_header(self, header: bytes) -> None:
+            if same_header is not None and not same_header(header):
+                raise ValueError(f"the header of {self.path} differs from the first file's: {header!r}")
+            self.first = False
 
         def add(self, lines: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             values = lines.column("value")
-            marked = pc.indices_nonzero(pc.match_substring(values, '"')).to_pylist()
-            at = 0
-            for i in marked:
-                if i < at:
-                    continue
-                was, now = self.quoted, ends_quoted(values[i].as_py(), sep, self.quoted)
-                self.quoted = now
-                if was:
-                    if not now:
-                        self.hold(lines.slice(at, i + 1 - at))
+            marked = pc.indices_nonzero(pc.match_substring(values, '"'))
+            single = np.ones(lines.num_rows, bool)
+            at: list[int] = []
+            joined: list[bytes] = []
+            begin = 0
+            for i, line in zip(marked.to_pylist(), values.take(marked).to_pylist()):
+                was, self.quoted = self.quoted, ends_quoted(line, sep, self.quoted)
+                if self.quoted and not was:
+                    begin = i
+                elif was and not self.quoted:
+                    single[begin : i + 1] = False
+                    if self.more or self.row is not None:  # begun in an earlier range or batch
+                        self.hold(lines.slice(begin, i + 1 - begin))
                         yield from self.release(True)
-                        at = i + 1
-                elif now:
-                    yield from self.emit(values.slice(at, i - at), lines.slice(at, i - at), _RECORD)
-                    at = i
-            rest = lines.slice(at)
-            if rest.num_rows:
-                if self.quoted:
-                    self.hold(rest)
-                else:
-                    yield from self.emit(rest.column("value"), rest, _RECORD)
+                    else:
+                        at.append(begin)
+                        joined.append(b"\n".join(values.slice(begin, i + 1 - begin).to_pylist()))
+            if self.quoted:
+                single[begin:] = False
+            if self.first and single[0]:
+                self.check_header(values[0].as_py())
+                single[0] = False
+            elif self.first and at and at[0] == 0:
+                self.check_header(joined.pop(0))
+                at.pop(0)
+            whole = lines if single.all() else lines.filter(pa.array(single))
+            yield from self.emit(whole.column("value"), whole, _RECORD)
+            if joined:
+                yield from self.emit(pa.array(joined, pa.binary()), lines.take(pa.array(at, pa.int64())), _RECORD)
+            if self.quoted:
+                self.hold(lines.slice(begin))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Block | None = None
