@@ -21,9 +21,24 @@ def _at_or_after(digest: bytes, doc_id: int | None) -> Column:
     return at | same if doc_id is None else at | (same & (F.coalesce("doc_id", F.lit(_NO_ID)) >= doc_id))
 
 
-def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _free_names(columns: list[str], taken: tuple[str, ...]) -> list[str]:
+    """``columns``, those named like one of ``taken`` with as many prefixes ``document_`` as make them unlike all others."""
+    used, names = {c.lower() for c in (*taken, *columns)}, []
+    for name in columns:
+        if name.lower() in taken:
+            while name.lower() in used:
+                name = f"document_{name}"
+            used.add(name.lower())
+        names.append(name)
+    return names
+
+
+def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """One row per input row: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
+    With ``whole`` these follow the columns of ``docs``, so that a shard holds its documents; a column of ``docs`` that has the name of
+    one of the others but ``doc_id`` is then called ``document_<name>``.
+
     ``size`` is the text's UTF-8 bytes plus 1 (null has none); the law is ``bytes``. Rows are ordered by (MD5 of the
     text, id), a fixed shuffle of the corpus in which equal texts are neighbours, and cut where the running
     total of sizes passes each multiple of total / ``shards``. A cut inside a group of equal texts moves to the nearer
@@ -32,13 +47,14 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     another law and is null. Null and empty texts are one group. Rows that repeat an id and a text are kept and numbered; they
     may come in either order. Fewer rows than shards leave shards empty; an empty table gives an empty result.
 
-    Narrow rows are range-partitioned and written; one total per partition gives every partition its offset, and
+    Narrow rows (``whole``: all of each row, shuffled this once) are range-partitioned and written; one total per partition gives every partition its offset, and
     rows are summed inside their partition. The cuts, at most ``shards - 1`` rows, are the only thing collected.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     narrow = docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"), F.unhex(F.md5(text)).alias("digest"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []),
     )
     order = [F.col("digest"), F.col("doc_id").asc_nulls_first(), F.col("size")]
     parts = materialize(ordered_parts(narrow, *order), "shard-rows")
@@ -74,7 +90,13 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     number = reduce(lambda a, b: a + b, [b.cast("int") for b in bounds], F.lit(0))
     placed = placed.withColumn("shard", number)
     begins = placed.groupBy("shard").agg(F.min("rows_before").alias("begin"))
-    return placed.join(begins, "shard").select(
+    own = placed.join(begins, "shard").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("rows_before") - F.col("begin")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        *(["row"] if whole else []),
     )
+    if not whole:
+        return own
+    added = [c for c in own.columns if c not in ("doc_id", "row")]
+    names = _free_names(docs.columns, tuple(added))
+    return own.select(*[F.col("row")[c].alias(n) for c, n in zip(docs.columns, names)], *added)

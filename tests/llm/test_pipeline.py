@@ -81,6 +81,22 @@ def test_sharding_stage(stages):
     assert as_rows(stages[5]) == as_rows(expected)
 
 
+def test_shards_hold_their_documents(stages):
+    columns = list(stages[4].columns)
+    assert list(stages[5].columns)[: len(columns)] == columns
+    as_rows = lambda frame: Counter(frame[columns].itertuples(index=False, name=None))
+    assert as_rows(stages[5]) == as_rows(stages[4])
+
+
+def test_sharding_of_odd_rows(spark):
+    rows = [(1, "a", "x", 7, "p"), (1, "a", "x", 7, "p"), (None, None, None, None, None), (2, "", "y", 8, "q"), (3, "wide " * 100_000, None, 9, "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string, document_size long, size string")
+    kept = corpus_pipeline.sharding(spark, docs, SF)
+    assert kept.columns[:5] == ["doc_id", "text", "document_shard", "document_size", "document_document_size"]
+    assert Counter(tuple(r)[:5] for r in kept.collect()) == Counter(rows)
+    assert {r.doc_id: r["size"] for r in kept.collect()} == {1: 2, None: 1, 2: 1, 3: 500_001}
+
+
 def test_run_gives_the_last_stage(spark, stages):
     rows = corpus_pipeline.run(spark, SF).toPandas()
     order = ["shard", "slot"]
