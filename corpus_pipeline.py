@@ -77,8 +77,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of sixteen shards of near-equal bytes."""
-    return shard(docs, shards=16)
+    """Every row with all its columns, and its place in one of sixteen shards of near-equal bytes.
+
+    Null and empty texts are rows like others, rows that are equal stay together and are numbered in either order, and an
+    empty table gives no rows. A column named like one of those added (``size``, ``shard``, ...) is called ``document_<name>``.
+    """
+    return shard(docs, shards=16, whole=True)
 
 
 STAGES = [
