@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cadencia.operators.prints import compare_groups, fingerprint
 from cadencia.session import materialize
 
 LEFT, RIGHT = "1_left", "2_right"
@@ -69,6 +70,49 @@ def multiset_summary(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+#: Parts of a table that has no date: rows are dealt out by their hash.
+_BUCKETS = 1024
+_PART = "_part"
+
+
+class Narrowed(NamedTuple):
+    """What fingerprints leave to be compared row by row."""
+
+    left: DataFrame
+    right: DataFrame
+    equal_rows: int
+    parts: int
+    differing_parts: int
+
+
+def narrowed(left: DataFrame, right: DataFrame, column: str | None = None) -> Narrowed:
+    """Both sides without the days of ``column`` (without one: hash buckets) that hold equal multisets of rows. An action.
+
+    Each side is scanned once; a task sends one fingerprint per part. Equal rows lie in one part, so what the parts that
+    are left have more of is what the tables have more of. Rows without a date are a part.
+    """
+
+    def parted(df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in sorted(df.columns)]), F.lit(_BUCKETS))
+        return df.withColumn(_PART, F.col(f"`{column}`").cast("date") if column else bucket)
+
+    sides = [parted(df) for df in (left, right)]
+    prints = [fingerprint(df, [_PART], left.columns) for df in sides]
+    parts = materialize(compare_groups(*prints, [_PART]), "audit-parts")
+    total = parts.agg(F.sum(F.when(F.col("same"), F.col("left_rows")).otherwise(0)), F.count("*"), F.count_if(~F.col("same"))).first()
+    differing = parts.filter("NOT same").select(F.col(_PART).alias("_differing"))
+    kept = [df.join(differing, df[_PART].eqNullSafe(differing["_differing"]), "left_semi").select(*[f"`{c}`" for c in left.columns]) for df in sides]
+    return Narrowed(*kept, total[0] or 0, total[1], total[2])
+
+
+def narrowed_summary(parts: Narrowed) -> dict[str, int]:
+    """The summary of the two tables, from the parts that differ and the number of rows in the others. An action."""
+    equal = dict.fromkeys(("matched_rows", "left_total", "right_total"), parts.equal_rows)
+    found = multiset_summary(parts.left, parts.right).first().asDict() if parts.differing_parts else {}
+    names = ("matched_rows", "only_left_rows", "only_right_rows", "left_total", "right_total")
+    return {n: found.get(n, 0) + equal.get(n, 0) for n in names}
+
+
 def discrepancies(left: DataFrame, right: DataFrame, limit: int | None = None) -> DataFrame:
     """All copies of every row whose count differs, side column first; all of them unless a ``limit`` is named.
 

@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadencia.operators.audit import compare_schemas, discrepancies, multiset_summary
+from cadencia.operators.audit import compare_schemas, discrepancies, narrowed, narrowed_summary
 from cadencia.operators.ranges import date_filter
 from cadencia.plans.store import quoted
 from cadencia.session import materialize
@@ -43,7 +43,7 @@ def audit_frames(
     name: str, left: DataFrame, right: DataFrame, cutoff: str, until: str | None = None,
     out_dir: str | None = None, dump_limit: int | None = None,
 ) -> Report:
-    """Schemas first, then the rows; ``out_dir`` receives the differing rows.
+    """Schemas first, then a fingerprint per day, then the rows of the days that differ; ``out_dir`` receives the differing rows.
 
     All of them, unless the caller names a ``dump_limit``; a message then says how many of how many were written.
     """
@@ -54,13 +54,14 @@ def audit_frames(
     if not verdict.same:
         return Report(name, FAULT, verdict.messages, {})
     left, right = compare_frames(left, right, cutoff, until)
-    summary = multiset_summary(left, right).first().asDict()
+    parts = narrowed(left, right, next((c for c in left.columns if c.upper() == "FECHA"), None))
+    summary = narrowed_summary(parts)
     if not summary["only_left_rows"] + summary["only_right_rows"]:
         return Report(name, IDENTICAL, verdict.messages, summary)
     dump, messages = None, [*verdict.messages]
     if out_dir:
         dump = f"{out_dir.rstrip('/')}/discrepancies_{name}"
-        rows = materialize(discrepancies(left, right), "audit-rows")
+        rows = materialize(discrepancies(parts.left, parts.right), "audit-rows")
         found = rows.count()
         if dump_limit is not None and found > dump_limit:
             rows = rows.orderBy(*[f"`{c}`" for c in rows.columns if c != "side"], "side").limit(dump_limit)

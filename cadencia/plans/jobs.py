@@ -19,7 +19,8 @@ from cadencia.operators.outliers import warn_if_over_cut, without_outliers
 from cadencia.operators.ranges import RangeKey
 from cadencia.operators.stamps import INFER, inferred_format
 from cadencia.operators.trips import headways, typed_trips
-from cadencia.plans.store import rebuild_table, replace_range
+from cadencia.plans.gaps import refresh_gaps
+from cadencia.plans.store import replace_range
 from cadencia.schemas import BRANDS
 from cadencia.session import ensure_time_type, materialize
 from cadencia.sources.landing import ORIGIN, land_report, landed
@@ -55,11 +56,11 @@ def run_trips(
     spark: SparkSession, raw_path: str, start: datetime, end: datetime, tables: TripTables,
     landing: str, remove_outliers: bool = True, stray: str = "keep", line_breaks: bool = True, out_root: str | None = None,
 ) -> dict[str, int]:
-    """Weekly trips: land the report, replace the week in both histories, rebuild scheduled gaps.
+    """Weekly trips: land the report, replace the week in both histories, bring the scheduled gaps up to it.
 
     The CSV is parsed once, by the landing; both branches read the landed columns. A file that was corrected
-    under its old name is landed as a new version, and its rows are the ones that count. The gaps are
-    rebuilt from the trip table and therefore strictly after it. ``out_root`` receives the processed tables as CSV, named
+    under its old name is landed as a new version, and its rows are the ones that count. The gaps come
+    from the trip table and therefore strictly after it, recomputed for the dates and routes that changed. ``out_root`` receives the processed tables as CSV, named
     after the raw file. Returns rows written per table.
     """
     ensure_time_type(spark)
@@ -80,7 +81,7 @@ def run_trips(
         name = list_files(spark, raw_path).orderBy("name").first()["name"]
         for label, df in (("trips", trips), ("headways", rows)):
             write_csv(df, output_path(out_root, label, name))
-    written[tables.gaps] = rebuild_table(spark, SCHEDULED_GAPS_SQL, tables.trips, tables.gaps)
+    written[tables.gaps] = refresh_gaps(spark, tables.trips, tables.gaps).rows
     return written
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 import re
 import uuid
+from collections.abc import Mapping
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,7 @@ _WEEKS, _ROWS = "touched_weeks", "staged_rows"
 #: Property of a version, one per week: the folder that the week's files are in.
 _FOLDER = "cadencia.week."
 #: How Spark names the folder of rows without a week.
-_NO_WEEK = "__HIVE_DEFAULT_PARTITION__"
+NO_WEEK = "__HIVE_DEFAULT_PARTITION__"
 
 
 def row_count(spark: SparkSession, table: str) -> int | None:
@@ -93,10 +94,10 @@ def _new_version(spark: SparkSession, table: str, weekly: DataFrame, kept: dict[
 
 
 def _literal(week: str) -> str:
-    return "NULL" if week == _NO_WEEK else f"DATE'{week}'"
+    return "NULL" if week == NO_WEEK else f"DATE'{week}'"
 
 
-def _folders(spark: SparkSession, version: str) -> dict[str, str]:
+def week_folders(spark: SparkSession, version: str) -> dict[str, str]:
     """Week -> folder of a version."""
     return {k.removeprefix(_FOLDER): v for k, v in properties(spark, version).items() if k.startswith(_FOLDER)}
 
@@ -108,7 +109,7 @@ def _forget_versions(spark: SparkSession, table: str, number: int) -> None:
     for found in spark.catalog.listTables(schema, f"{name}__v*"):
         version = f"{schema}.{found.name}"
         if int(found.name.rsplit("__v", 1)[1]) > number - KEPT_VERSIONS:
-            used |= set(_folders(spark, version).values())
+            used |= set(week_folders(spark, version).values())
         else:
             spark.sql(f"DROP TABLE {quoted(version)}")
     drop_folders(spark, data_folder(spark, table), used)
@@ -237,7 +238,7 @@ def finish_replace(spark: SparkSession, table: str) -> bool:
             same_week = others[PARTITION_COLUMN].eqNullSafe(gone[PARTITION_COLUMN])
             _new_version(spark, table, staged.unionByName(others.join(gone, same_week, "left_anti")), {})
         else:
-            kept = {week: folder for week, folder in _folders(spark, before).items() if week not in listed}
+            kept = {week: folder for week, folder in week_folders(spark, before).items() if week not in listed}
             _new_version(spark, table, staged, kept)
         _drop_stage(spark, staged_name)
     return True
@@ -256,16 +257,20 @@ def render(sql: str) -> str:
     return sql.strip().rstrip(";")
 
 
+_UNITS = {"B": 1, **{f"{prefix}iB": 1024**power for power, prefix in enumerate("KMGTPE", 1)}}
+
+
 def dry_run(spark: SparkSession, sql: str, source_table: str) -> tuple[DataFrame, str]:
-    """Analyse a query without running it: its lazy result and the estimated size of what it scans.
+    """Analyse a query without running it: its lazy result and the estimated size of all it scans.
 
     Syntax errors and missing tables raise here.
     """
     args = {"source_table": quoted(checked_name(source_table, "source_table"))}
     query = spark.sql(render(sql), args=args)
     plan = spark.sql(f"EXPLAIN COST {render(sql)}", args=args).first()[0]
-    sizes = re.findall(r"Relation.*sizeInBytes=([^,)]+)", plan)
-    return query, sizes[-1] if sizes else "unknown"
+    # The optimized plan comes first; every relation in it is a line of its own.
+    sizes = re.findall(r"Relation.*sizeInBytes=([0-9.Ee+]+) ([KMGTPE]?i?B)", plan.split("== Physical Plan ==")[0])
+    return query, f"{sum(round(float(n) * _UNITS[u]) for n, u in sizes)} B" if sizes else "unknown"
 
 
 def rebuild_table(
@@ -279,15 +284,26 @@ def rebuild_table(
     checked_name(dest_table, "dest_table")
     query, scanned = dry_run(spark, sql, source_table)
     _log.info("rebuilding %s, which scans %s", dest_table, scanned)
-    with locked(spark, dest_table):
+    return put_version(spark, dest_table, query, min_row_ratio)
+
+
+def put_version(
+    spark: SparkSession, dest_table: str, rows: DataFrame, min_row_ratio: float = 0.9, beside: Mapping[str, DataFrame] | None = None,
+) -> int:
+    """Make ``rows`` the contents of ``dest_table``, written and checked before they are published; returns how many.
+
+    What is put ``beside`` them is Parquet in the version's folder under ``_beside``, which its readers do not see, and comes and
+    goes with the version.
+    """
+    with locked(spark, checked_name(dest_table, "dest_table")):
         before = row_count(spark, dest_table)
         data, version = data_folder(spark, dest_table), uuid.uuid4().hex
         # The published version and the one before stay for readers that began with them.
         old = current(spark, dest_table)
         earlier = [f for f in folders(spark, data) if f != old]
         path = f"{data}/{version}"
-        query.write.parquet(path)
-        after = spark.read.schema(query.schema).parquet(path).count()
+        rows.write.parquet(path)
+        after = spark.read.schema(rows.schema).parquet(path).count()
         fault = None
         if after == 0:
             fault = f"{dest_table}: the query gave no rows"
@@ -296,7 +312,9 @@ def rebuild_table(
         if fault:
             delete_folder(spark, path)
             raise RuntimeError(fault)
-        publish(spark, dest_table, f"parquet.`{path}`", version, query.columns)
+        for name, extra in (beside or {}).items():
+            extra.write.parquet(f"{path}/_beside/{name}")
+        publish(spark, dest_table, f"parquet.`{path}`", version, rows.columns)
         discard_plain(spark, dest_table)
         drop_folders(spark, data, {version, old or version, *earlier[len(earlier) - (KEPT_VERSIONS - 2) :]})
     return after

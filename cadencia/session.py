@@ -75,6 +75,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def materialize(df: DataFrame, label: str, partition_by: str | tuple[str, ...] | None = None) -> DataFrame:
     """Write an intermediate result as Parquet in the shared folder and read it back.
 

@@ -6,6 +6,8 @@ from cadencia.operators.audit import (
     discrepancies,
     multiset_summary,
     multisets_equal,
+    narrowed,
+    narrowed_summary,
     row_hash,
     roundtrip_faults,
 )
@@ -75,3 +77,23 @@ def test_audit_job(spark, schema, tmp_path):
     assert code == IDENTICAL
     with pytest.raises(ValueError):
         audit(spark, pairs, "10/07/2026")
+
+
+def test_only_days_that_differ_are_compared_by_row(spark):
+    days = spark.sql("SELECT IF(id % 10 = 9, null, DATE'2026-07-01' + CAST(id % 10 AS INT)) AS FECHA, id % 7 AS v, id % 5 = 0 AS w FROM range(400)")
+    third = F.col("FECHA") == "2026-07-03"
+    other = days.withColumn("v", F.when(third & F.col("w"), 99).otherwise(F.col("v"))).unionAll(days.filter(third).limit(2))
+    for column in ("FECHA", None):
+        found = narrowed(days, other, column)
+        assert narrowed_summary(found) == multiset_summary(days, other).first().asDict()
+        assert sorted(map(tuple, discrepancies(found.left, found.right).collect()), key=str) == sorted(
+            map(tuple, discrepancies(days, other).collect()), key=str
+        )
+        assert 0 < found.differing_parts < found.parts and (column is None or found[2:] == (360, 10, 1))
+        same = narrowed(days, days.repartition(3), column)
+        assert same.differing_parts == 0 and same.equal_rows == 400 and same.left.isEmpty()
+        assert narrowed_summary(same) == multiset_summary(days, days).first().asDict()
+        none = narrowed(days.limit(0), days.limit(0), column)
+        assert list(narrowed_summary(none).values()) == [0] * 5
+    gone = narrowed(days, days.filter(F.coalesce(~third, F.lit(True))), "FECHA")
+    assert gone.differing_parts == 1 and narrowed_summary(gone)["only_left_rows"] == 40
