@@ -63,6 +63,8 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--window-start", type=date.fromisoformat, help="default: the report's own week or day")
     land.add_argument("--no-line-breaks", action="store_true")
     land.add_argument("--landing", required=True)
+    land.add_argument("--expected", help="land one file of the folder given: the one of this name")
+    land.add_argument("--pattern", help="or else the newest whose name fits this pattern")
 
     rebuild = job.add_parser("rebuild", help="create or replace a table from a query file")
     rebuild.add_argument("source")
@@ -109,7 +111,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "land":
         fresh = jobs.run_landing(
             spark, args.paths, args.report, args.window_start or jobs.default_window_start(args.report), args.landing,
-            line_breaks=not args.no_line_breaks,
+            line_breaks=not args.no_line_breaks, expected=args.expected, pattern=args.pattern,
         )
         print("landed:", ", ".join(fresh) or "nothing new")
     elif args.job == "rebuild":

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from importlib import resources
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from cadencia.sources.landing import ORIGIN, land_report, landed
 from cadencia.sources.reports import (
     UNNAMED,
     days_between,
+    expected_or_newest,
     list_files,
     read_can_reports,
     read_fleet_report,
@@ -104,17 +107,25 @@ def run_can(
         formats = clock.STAMP_FORMATS if inferred is None else (inferred,)
     parsed = materialize(parse_can(branded), "can-parsed", partition_by=("brand", "report_day"))
     drop = {b.name: b.drop for b in BRANDS}
+    per_brand: dict[str, list] = {}
     for layout in layouts(parsed, ("brand", "report_day")):
         for brand in sorted({s[0] for s in layout.slots}):
-            days = [s[1] for s in layout.slots if s[0] == brand]
+            per_brand.setdefault(brand, []).append((layout.profiles, [s[1] for s in layout.slots if s[0] == brand]))
+
+    def write(brand: str) -> None:
+        for profiles, days in per_brand[brand]:
             rows = parsed.filter((F.col("brand") == brand) & F.col("report_day").isin(days))
-            wide = can_wide(rows, layout.profiles, drop[brand], formats, unreadable=unreadable)
+            wide = can_wide(rows, profiles, drop[brand], formats, unreadable=unreadable)
             (
                 wide.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("report_day")
                 .parquet(f"{out_dir.rstrip('/')}/{brand.replace(' ', '_')}")
             )
+
+    # A brand's folder has one writer; the brands, six at most, are written at the same time.
+    with ThreadPoolExecutor(len(BRANDS)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), sorted(per_brand)))
     done = [d for d in days_between(first, last) if d not in skipped]
     return can_summary(spark, parsed, done), skipped
 
@@ -166,8 +177,17 @@ def default_window_start(report: str) -> date:
 
 def run_landing(
     spark: SparkSession, paths: str | Sequence[str], report: str, window_start: date, landing: str,
-    line_breaks: bool = True,
+    line_breaks: bool = True, expected: str | None = None, pattern: str | None = None,
 ) -> list[str]:
+    """Land files unchanged; returns the names of those that were new.
+
+    With ``expected`` one file of the folder ``paths`` is landed: the one of that name, else the newest whose name fits ``pattern``.
+    """
     if report not in LANDED_REPORTS and not report.startswith("can_"):
         raise ValueError(f"unknown report {report!r}")
+    if expected is not None:
+        (folder,) = [paths] if isinstance(paths, str) else paths
+        paths = expected_or_newest(spark, folder, expected, pattern or expected)
+    elif pattern is not None:
+        raise ValueError("a pattern stands for a file that is expected; name that file too")
     return land_report(spark, paths, report, window_start.isoformat(), landing, line_breaks=line_breaks)

@@ -67,12 +67,12 @@ from ({raw_trips_sql(bad_days)}) raw
 """
 
 
-def _gaps(bad_days: bool = True) -> str:
+def _gaps(bad_days: bool = True, trips: str | None = None) -> str:
     return f"""
 with planned as (
   select cast(cast("FECHA" as timestamp) as date) as day, "RUTA" as route,
          cast("FECHA" as timestamp) + to_seconds({_seconds('"PARTIDA_PLANEADA"')}) as departs
-  from ({_typed(bad_days)}) t where "PARTIDA_PLANEADA" is not null),
+  from ({trips or _typed(bad_days)}) t where "PARTIDA_PLANEADA" is not null),
 steps as (
   select day, route, departs, lag(departs) over (partition by day, route order by departs) as earlier from planned)
 select cast(day as varchar) as "FECHA", route as "RUTA", cast(hour(departs) as bigint) as "HORA",
@@ -230,6 +230,9 @@ ORACLE_SQL: dict[str, str] = {
     "scheduled_gap_by_hour": _gaps(),
     "guarded_rebuild": _gaps(False),
     "trips_job_gaps": _gaps(False),
+    "gaps_incremental": _gaps(trips=f"""
+select * replace (case when {_KEY} >= timestamp '2024-01-08 03:20:00' and {_KEY} < timestamp '2024-01-22 03:20:00'
+                       then left("PARTIDA_PLANEADA", 6) || '00' else "PARTIDA_PLANEADA" end as "PARTIDA_PLANEADA") from ({_typed(False)}) r"""),
     "trips_typed": _typed(),
     "processed_csv_roundtrip": _typed(),
     "headway_punctuality": f"""
@@ -320,6 +323,11 @@ where event_id%50<>0 group by all""",
     "newest_file": """
 select wanted, n_name, n_regionkey::varchar as n_regionkey from nation
 join (values ('Desinc_0.csv', 0), ('Desinc_none.csv', 2)) w(wanted, region) on n_regionkey = region""",
+    "newest_of_many": """
+select 'Desinc_' || source || '.csv' as source_file, strftime(date '2026-07-01' + wanted::int, '%Y-%m-%d') as window_start, event_type,
+  count(*) as n_rows, sum(event_id)::bigint as id_sum
+from (select wanted, case when wanted < 12 then wanted else 7 end as source from range(12) w(wanted)) w
+join events on event_id % 12 = source group by all""",
     "guard_verdicts": f"""
 select * from (values ('empty', true, 0::bigint), ('bad_dates', true, 0), ('no_times', true, 0), ('outside', true, 0)) v(input, refused, n_rows)
 union all select 'good', false, count(*) from ({_typed(False)}) t where "PARTIDA_REAL" is not null and {_IN_WEEK}""",
@@ -334,6 +342,14 @@ select d.day as report_day, n.brand, count(b.brand) as n_rows, cast(1 as int) as
 from (values ('2025-03-01'),('2025-03-02'),('2025-03-04')) d(day)
 cross join (values ('Volvo'),('Yutong'),('BYD'),('Mercedes Benz'),('Alexander Dennis'),('Scania')) n(brand)
 left join {_BRANDED} b on n.brand = b.brand and strftime(strptime(b."Fecha", '%d/%m/%Y %H:%M:%S') + interval 30 year, '%Y-%m-%d') = d.day
+group by d.day, n.brand""",
+    "can_range_all": f"""
+select strftime(date '2025-03-01' + (d.day + (d.day >= 20)::int)::int, '%Y-%m-%d') as report_day, n.brand, count(b.brand) as n_rows, cast(1 as int) as n_skipped,
+  nullif(count(b.brand), 0) as n_stored, sum(b.l_orderkey)::bigint as key_sum,
+  strftime(min(strptime(b."Fecha", '%d/%m/%Y %H:%M:%S')), '%Y-%m-%d') as first_date
+from range(30) d(day)
+cross join (values ('Volvo'),('Yutong'),('BYD'),('Mercedes Benz'),('Alexander Dennis'),('Scania')) n(brand)
+left join {_BRANDED} b on n.brand = b.brand and b.l_orderkey % 30 = d.day
 group by d.day, n.brand""",
     "headway_inliers": f"""
 select route as "RUTA", count(*) + 1 as n_before, cast(0 as bigint) as planted_left, true as share_kept
@@ -348,6 +364,15 @@ from ({fleet_rows_sql()}) f group by all""",
 select "Ruta", "Jornada", "Económico", "Empresa Programado", "Empresa Real", "Date", "Turno",
   '2026-07-01' as window_start from ({fleet_rows_sql()}) f""",
     "multiset_audit_summary": _counts(),
+    "audit_by_day": """
+with changed as (select * replace (case when day(l_shipdate) = 1 then l_quantity + 1 else l_quantity end as l_quantity) from lineitem),
+  gone as (select count(*) as n from (select * from lineitem except all select * from changed)),
+  come as (select count(*) as n from (select * from changed except all select * from lineitem))
+select (select count(*) from lineitem) - gone.n as matched_rows, gone.n as only_left_rows, come.n as only_right_rows,
+  (select count(*) from lineitem) as left_total, (select count(*) from changed) as right_total,
+  (select count(distinct l_shipdate::date) from lineitem) as n_days,
+  (select count(distinct l_shipdate::date) from lineitem where day(l_shipdate) = 1) as n_differing
+from gone, come""",
     "multiset_audit_dump": f"""
 {_differing("side, " + ", ".join(c if c != "l_shipdate" else "strftime(l_shipdate,'%Y-%m-%d %H:%M:%S') as l_shipdate" for c in _LINE_COLUMNS))}""",
     "multiset_audit_all": f"select side, l_quantity, count(*) as n_rows from ({_differing('*')}) r group by all",

@@ -21,9 +21,10 @@ from cadencia.operators.outliers import without_outliers
 from cadencia.operators.stamps import inferred_format
 from cadencia.plans import jobs
 from cadencia.plans.audit import audit_frames
+from cadencia.plans.gaps import refresh_gaps
 from cadencia.plans.store import create_history, quoted, rebuild_table, replace_range
 from cadencia.schemas import BRANDS, PARTITION_COLUMN, trip_schema
-from cadencia.session import ensure_time_type, materialize, scratch_dir
+from cadencia.session import ensure_time_type, materialize, path_exists, scratch_dir
 from cadencia.sources.landing import land_report, landed
 from cadencia.sources.reports import can_file, expected_or_newest, read_text_columns
 from cadencia.sources.sinks import append_table, read_processed_csv, write_csv
@@ -329,6 +330,24 @@ def guarded_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(quoted(f"{schema}.gaps"))
 
 
+NEXT_WEEK = (WEEK[1], WEEK[1] + timedelta(weeks=1))
+
+
+@query
+def gaps_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scheduled gaps of the whole history, brought up to it after each of two replaces that round planned departures to minutes."""
+    rows = materialize(typed(spark, sf_dir, bad_days=False), "typed")
+    schema = scratch_schema(spark)
+    create_history(rows, f"{schema}.trips", jobs.TRIP_KEY)
+    refresh_gaps(spark, f"{schema}.trips", f"{schema}.gaps")
+    for window in (WEEK, NEXT_WEEK):
+        inside = rows.filter(ranges.in_window(jobs.TRIP_KEY.column(rows), *window))
+        minute = F.concat(F.substring("PARTIDA_PLANEADA", 1, 6), F.lit("00"))
+        replace_range(inside.withColumn("PARTIDA_PLANEADA", minute), f"{schema}.trips", jobs.TRIP_KEY, *window)
+        refresh_gaps(spark, f"{schema}.trips", f"{schema}.gaps")
+    return spark.table(quoted(f"{schema}.gaps"))
+
+
 def _weekly_run(spark: SparkSession, sf_dir: str, remove_outliers: bool) -> jobs.TripTables:
     folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
     raw_trips(spark, sf_dir, bad_days=False).write.csv(
@@ -483,6 +502,36 @@ def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked
 
 
+def _one_file_per_value(spark: SparkSession, rows: DataFrame, column: str, folder: str, names: dict[str, str], encoding: str) -> list[str]:
+    """CSV reports, one per value of ``column`` (which they do not hold) and all written at once; the paths, in the order of ``names``."""
+    new = f"{folder}/new"
+    rows.repartition(F.col(column)).write.partitionBy(column).csv(new, sep=";", encoding=encoding, header=True, escape='"')
+    for value, name in names.items():
+        _put_under_one_name(spark, f"{new}/{column}={value}", f"{folder}/in/{name}")
+    return [f"{folder}/in/{name}" for name in names.values()]
+
+
+@query
+def newest_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in twelve reports, landed by expected name; the eighth report, the newest, stands for two that are not there."""
+    folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("event_id") % 12).alias("report"))
+    paths = _one_file_per_value(spark, events, "report", folder, {str(n): f"Desinc_{n}.csv" for n in range(12)}, "UTF-8")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for number, path in enumerate(paths):
+        at = 1_780_000_000_000 + 60_000 * (number if number != 7 else 99)
+        hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(hadoop(path), at, -1)
+    for number in range(14):
+        jobs.run_landing(
+            spark, f"{folder}/in", "operators", date(2026, 7, number + 1), f"{folder}/landed", line_breaks=False,
+            expected=f"Desinc_{number}.csv", pattern="Desinc_*.csv",
+        )
+    rows = landed(spark, f"{folder}/landed", "operators", versions="all")
+    return rows.groupBy("source_file", F.col("window_start").cast("string").alias("window_start"), "event_type").agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("event_id").cast("bigint")).alias("id_sum")
+    )
+
+
 @query
 def guard_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which inputs the guard of the range replace refuses, and how many rows it lets through."""
@@ -558,6 +607,18 @@ def multiset_audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.multiset_summary(*_sides(spark, sf_dir))
 
 
+@query
+def audit_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables that differ on every month's first day: what is only on one side, and how many days were compared by row."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    first = F.dayofmonth("l_shipdate") == 1
+    changed = lineitem.withColumn("l_quantity", F.when(first, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    found = audit.narrowed(lineitem, changed, "l_shipdate")
+    summary = audit.narrowed_summary(found)
+    counts = {**summary, "n_days": found.parts, "n_differing": found.differing_parts}
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
 @query
 def multiset_audit_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole discrepancy report."""
@@ -676,6 +737,30 @@ def can_range_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumn("n_skipped", F.lit(len(skipped)))
 
 
+@query
+def can_range_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry job over all rows, dealt out to thirty days with one missing between them: what it reports and what it stored."""
+    folder = f"{scratch_dir(spark)}/can-{uuid.uuid4().hex}"
+    first = date(2025, 3, 1)
+    days = [first + timedelta(days=n) for n in range(31) if n != 20]
+    number = F.col("l_orderkey") % 30
+    rows = can_rows(spark, sf_dir).withColumn("day", F.when(number < 20, number).otherwise(number + 1))
+    names = {str((d - first).days): can_file(d) for d in days}
+    _one_file_per_value(spark, rows, "day", folder, names, "ISO-8859-1")
+    summary, skipped = jobs.run_can(spark, f"{folder}/in", first, days[-1], f"{folder}/out", line_breaks=False)
+    stored = None
+    for brand in BRANDS:
+        out = f"{folder}/out/{brand.name.replace(' ', '_')}"
+        if not path_exists(spark, out):  # a brand without a row
+            continue
+        wide = spark.read.option("mergeSchema", "true").parquet(out)
+        found = wide.groupBy("report_day").agg(
+            F.count("*").alias("n_stored"), F.sum(F.col("l_orderkey").cast("bigint")).alias("key_sum"), F.min("Fecha").cast("date").alias("first_date")
+        ).withColumn("brand", F.lit(brand.name))
+        stored = found if stored is None else stored.unionByName(found)
+    return summary.join(stored, ["report_day", "brand"], "left").withColumn("n_skipped", F.lit(len(skipped)))
+
+
 @query
 def can_brand_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brand_counts(can_rows(spark, sf_dir))

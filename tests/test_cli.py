@@ -1,3 +1,5 @@
+import pytest
+
 from cadencia.__main__ import main
 
 
@@ -16,5 +18,12 @@ def test_jobs_from_the_command_line(spark, schema, tmp_path, capsys):
     (tmp_path / "w.csv").write_text("a;b\n1;2\n")
     land = ["land", "operators", str(tmp_path / "w.csv"), "--window-start", "2026-07-03", "--landing", str(tmp_path / "l")]
     assert main(land) == 0 and main(land) == 0
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "w.csv").write_text("a;b\n1;2\n")
+    pick = ["land", "withdrawals", str(tmp_path / "in"), "--landing", str(tmp_path / "l"), "--pattern", "w*.csv"]
+    assert main([*pick, "--expected", "today.csv"]) == 0
     printed = capsys.readouterr().out
     assert "skipped: 2026-07-01" in printed and "landed: w.csv" in printed and "nothing new" in printed
+    assert printed.count("landed: w.csv") == 2
+    with pytest.raises(ValueError):
+        main(pick)
