@@ -2,15 +2,22 @@
 
 The text starts with a brand, followed by special groups and ``key = value`` parts that are set
 apart by two or more blanks. Each special group that is found is cut out of the remainder (one blank
-takes its place) before the next one is looked for.
+takes its place) before the next one is looked for. That chain of searches is one small Python function over Arrow
+batches: as expressions it made methods that the JVM does not compile.
 """
 
 from __future__ import annotations
 
+import functools
+import re
+import sys
+import unicodedata
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadencia.functions.text import strip, without_bom
 from cadencia.schemas import BRANDS
@@ -19,8 +26,7 @@ TEXT = "Can Data"
 BRAND = "Marca"
 PAIRS = "pairs"
 
-# Unicode classes, letters of either case. Java's \s lacks the separators 1C to 1F.
-_FLAGS = "(?iU)"
+# Java's \s lacks the separators 1C to 1F.
 _S = r"[\s\x1c-\x1f]"
 
 
@@ -30,6 +36,11 @@ class Group(NamedTuple):
     fields: tuple[str, ...]
     kinds: str  # per field: n number, t text, p pressure with unit
 
+    @property
+    def texts(self) -> tuple[str, ...]:
+        """Names of what the pattern captures: the fields, and the unit of pressures."""
+        return (*self.fields, *(["_unit"] if "p" in self.kinds else []))
+
 
 # Special groups of the telemetry text, in the order in which they are taken out.
 _GROUPS = (
@@ -82,6 +93,8 @@ _GROUPS = (
 KNOWN_BRANDS = ("Yutong", "ADennis", "Volvo", "BYD", "Mercedes", "Scania")
 
 FIELDS = tuple(f for g in _GROUPS for f in g.fields)
+_TEXTS = tuple(t for g in _GROUPS for t in g.texts)
+_N_TEXTS = len(_TEXTS)
 NUMERIC_FIELDS = tuple(f for g in _GROUPS for f, k in zip(g.fields, g.kinds) if k == "n")
 
 
@@ -120,71 +133,93 @@ def _float_text(digits: Column) -> Column:
     return F.when(written_so, digits).when(digits.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), text)
 
 
-def _kept(condition: Column, value: Column) -> Column:
-    """``value`` where the condition holds. The row number, always true, keeps the optimizer from writing a
-    filter on the result out through all the steps below, which would repeat them."""
-    return F.when(condition & (F.monotonically_increasing_id() >= 0), value)
-
-
-def _parts(hit: Column, group: Group) -> Column:
-    """Everything a group captures, by one search."""
-    pattern = _FLAGS + group.pattern.replace(r"\s", _S)
-    n = len(group.fields) + ("p" in group.kinds)
-    return F.split(F.regexp_replace(hit, pattern, "\x01".join(f"${i + 1}" for i in range(n))), "\x01")
-
-
-def _field(hit: Column, parts: Column, group: Group, index: int) -> Column:
-    part = F.get(parts, F.lit(index))
-    if group.kinds[index] == "n":
-        part = part.try_cast("double")
-    elif group.kinds[index] == "p":
-        # Null if the number is unreadable, e.g. 1..2.
-        part = F.concat(_float_text(part), F.lit(" "), F.get(parts, F.lit(len(group.fields))))
-    return _kept(hit != "", part)
-
-
-def _hit(rest: Column, group: Group) -> Column:
-    """The text of a group, or ''. Most groups are missing from most texts, and a plain search for the anchor is cheap."""
-    pattern = _FLAGS + group.pattern.replace(r"\s", _S)
-    return F.when(F.lower(rest).contains(group.anchor), F.regexp_extract(rest, pattern, 0)).otherwise("")
-
-
-def _without(rest: Column, hit: Column) -> Column:
-    at = F.call_function("locate", hit, rest)
-    before = F.substring(rest, F.lit(1), at - 1)
-    after = F.substring(rest, at + F.length(hit), F.length(rest))
-    return F.when(hit != "", F.concat(before, F.lit(" "), after)).otherwise(rest)
-
-
-def _tidy(part: Column) -> Column:
-    return strip(F.btrim(strip(part), F.lit(",")))
-
-
-def key_value_entries(rest: Column) -> Column:
-    """Parts with a letter and a ``=`` as (key, value), split at the first ``=``."""
-    # Longer runs leave empty or padded parts, which the trimming and the filter take care of.
-    parts = F.filter(
-        F.transform(F.filter(F.split(rest, "  "), lambda p: p.contains("=")), _tidy),
-        lambda p: p.rlike("[a-zA-Z]"),
-    )
-    entries = F.transform(
-        parts,
-        lambda p: F.struct(
-            _tidy(F.substring_index(p, "=", 1)).alias("key"),
-            _tidy(F.substring(p, F.instr(p, "=") + 1, F.length(p))).alias("value"),
-        ),
-    )
-    return F.filter(entries, lambda e: e.key != "")
-
-
-def last_of_each_key(entries: Column) -> Column:
-    """Of repeated keys the last one stays. ``entries`` must be a column, as it is read for every entry."""
-
-    def repeated(entry: Column, i: Column) -> Column:
-        return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other.key == entry.key)
-
-    keys = entries["key"]
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(F.filter(entries, lambda entry, i: ~repeated(entry, i)))
+def _word_class() -> str:
+    r"""The SQL engine's Unicode ``\w`` as a class: letters, marks, decimal digits, connectors, joiners, letters in circles and squares."""
+    kinds = {"Lu", "Ll", "Lt", "Lm", "Lo", "Nl", "Nd", "Mn", "Mc", "Me", "Pc"}
+    codes = {c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in kinds}
+    codes |= {0x200C, 0x200D, *range(0x24B6, 0x24EA), *range(0x1F130, 0x1F14A), *range(0x1F150, 0x1F16A), *range(0x1F170, 0x1F18A)}
+    starts, ends = ([c for c in sorted(codes) if c + step not in codes] for step in (-1, 1))
+    return "[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends)) + "]"
+
+
+@functools.cache
+def _compiled(latin: bool) -> list[tuple[str, re.Pattern, int, int]]:
+    """Per group: anchor, pattern, where its texts go, and how many there are. In Latin-1 Python's ``\\w`` has some numerals more."""
+    word = r"[^\W\xb2\xb3\xb9\xbc-\xbe]" if latin else _word_class()
+    groups, at = [], 0
+    for group in _GROUPS:
+        groups.append((group.anchor, re.compile(group.pattern.replace(r"\w", word), re.IGNORECASE), at, at + len(group.texts)))
+        at += len(group.texts)
+    return groups
+
+
+_BREAKS = re.compile(r"[\n\r\t]+")
+_WIDE = re.compile(r"\s{2,}")
+_LETTER = re.compile("[a-zA-Z]")
+
+
+def _tidy(part: str) -> str:
+    return part.strip().strip(",").strip()
+
+
+def _parse(text: str) -> tuple[str, list[str | None], dict[str, str]]:
+    """Brand, what the groups capture, and the ``key = value`` parts; of repeated keys the last one stays."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+            latin = True
+        except UnicodeEncodeError:
+            latin = False
+    else:
+        latin = True
+    plain = _WIDE.sub("  ", _BREAKS.sub(" ", text)).strip()
+    word = plain.split(None, 1)[0] if plain else ""
+    if word in KNOWN_BRANDS:
+        brand, rest = word, plain[len(word) :].strip()
+    else:
+        brand, _, rest = plain.partition("  ")
+        brand = brand.strip()
+    captured: list[str | None] = [None] * _N_TEXTS
+    low = rest.lower()
+    for anchor, pattern, begin, end in _compiled(latin):
+        if anchor in low and (hit := pattern.search(rest)):
+            captured[begin:end] = hit.groups()
+            # One blank takes the place of what was found.
+            rest = f"{rest[: hit.start()]} {rest[hit.end() :]}"
+            low = rest.lower()
+    pairs: dict[str, str] = {}
+    for part in rest.split("  "):
+        if "=" in part:
+            part = _tidy(part)
+            key, _, value = part.partition("=")
+            if (key := _tidy(key)) and _LETTER.search(part):
+                pairs.pop(key, None)
+                pairs[key] = _tidy(value)
+    return brand, captured, pairs
+
+
+@functools.cache
+def _parser():
+    """The parse as a function of columns; the texts of a batch go in, a struct of texts and a map comes out."""
+    names = ["brand", *_TEXTS]
+    pairs_type = T.MapType(T.StringType(), T.StringType())
+    result = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(PAIRS, pairs_type)])
+
+    def parse(texts: pa.Array) -> pa.Array:
+        brands, rows, sizes, keys, values = [], [], [0], [], []
+        for text in texts.to_pylist():
+            brand, captured, pairs = _parse(text)
+            brands.append(brand)
+            rows.append(captured)
+            keys += pairs
+            values += pairs.values()
+            sizes.append(len(keys))
+        columns = [pa.array(c, pa.string()) for c in (brands, *(zip(*rows) if rows else [()] * _N_TEXTS))]
+        entries = pa.MapArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string()))
+        return pa.StructArray.from_arrays([*columns, entries], names=[*names, PAIRS])
+
+    # Named more than once by what reads it, so the optimizer must not write it out again, which would parse again.
+    return F.arrow_udf(parse, result).asNondeterministic()
 
 
 def parse_can(df: DataFrame, text: str = TEXT) -> DataFrame:
@@ -193,31 +228,20 @@ def parse_can(df: DataFrame, text: str = TEXT) -> DataFrame:
     A key in ``pairs`` may have the name of a fixed field; ``can_wide`` lets it win.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c != text]
-    # Every step is a projection of its own that the next ones name more than once, so Spark keeps them apart.
-    plain, word, rest = F.col("_plain"), F.col("_word"), F.col("_rest0")
-    known = word.isin(*KNOWN_BRANDS)
-    gap = F.instr(plain, "  ")
-    steps = (
-        df.withColumn("_plain", squeezed(F.col(f"`{text}`")))
-        .withColumn("_word", F.regexp_extract(plain, r"(?U)^[^\s\x1c-\x1f]*", 0))
-        .withColumn("_brand", F.when(known, word).otherwise(strip(F.substring_index(plain, "  ", 1))))
-        .withColumn(
-            "_rest0",
-            F.when(known, strip(F.substring(plain, F.length(word) + 1, F.length(plain))))
-            .when(gap > 0, F.substring(plain, gap + 2, F.length(plain)))
-            .otherwise(""),
-        )
-    )
+    whole = F.make_valid_utf8(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    steps = df.select(*kept, _parser()(whole).alias("_parsed"))
+    part = lambda name: F.col(f"_parsed.{name}")
     fields = []
-    for i, group in enumerate(_GROUPS):
-        hit, parts = F.col(f"_hit{i}"), F.col(f"_parts{i}")
-        steps = steps.withColumn(f"_hit{i}", _hit(rest, group)).withColumns({f"_rest{i + 1}": _without(rest, hit), f"_parts{i}": _parts(hit, group)})
-        fields += [_field(hit, parts, group, k).alias(name) for k, name in enumerate(group.fields)]
-        rest = F.col(f"_rest{i + 1}")
-    steps = steps.withColumn("_entries", key_value_entries(rest))
-    pairs = F.map_from_entries(last_of_each_key(F.col("_entries")))
-    always = F.lit(True)
-    return steps.select(*kept, _kept(always, F.col("_brand")).alias(BRAND), *fields, _kept(always, pairs).alias(PAIRS))
+    for group in _GROUPS:
+        for name, kind in zip(group.fields, group.kinds):
+            col = part(name)
+            if kind == "n":
+                col = col.try_cast("double")
+            elif kind == "p":
+                # Null if the number is unreadable, e.g. 1..2.
+                col = F.concat(_float_text(col), F.lit(" "), part(group.texts[-1]))
+            fields.append(col.alias(name))
+    return steps.select(*kept, part("brand").alias(BRAND), *fields, part(PAIRS).alias(PAIRS))
 
 
 def brand_counts(df: DataFrame, text: str = TEXT) -> DataFrame:

@@ -43,6 +43,18 @@ def test_grammar(spark, text, brand, fields):
     assert got == fields
 
 
+def test_letters_digits_and_case_beyond_ascii(spark):
+    text = "Volvo  temperatura BATERIAS = 21 mi\u0301n, 35 \u24b6x  ALARM Motor = o\u00aa, Battery = \u203f, Air = no\u00bd"
+    got, _ = parsed(spark, text)
+    assert got == {"Temp_Bat_Min": 21.0, "Temp_Bat_Min_Tipo": "mi\u0301n", "Temp_Bat_Max": 35.0, "Temp_Bat_Max_Tipo": "\u24b6x",
+                   "ALARM_Motor": "o\u00aa", "ALARM_Battery": "\u203f", "ALARM_Air": "no"}
+
+
+def test_a_text_is_parsed_in_one_pass(spark):
+    plan = parse_can(can(spark, ["Volvo  a = 1"])).filter("ALARM_Brake IS NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp_extract" not in plan and "locate" not in plan
+
+
 def test_whitespace(spark):
     rows = can(spark, ["  a \t b\n\nc  ", None, "   "]).select(squeezed(F.col("`Can Data`")).alias("v")).collect()
     assert [r.v for r in rows] == ["a  b c", "", ""]
