@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 _DAY_TEXT = r"^\d{1,2}/\d{1,2}/\d{4}$"
 _CLOCK_TEXT = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
+_FULL_CLOCK_TEXT = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d\z"
 
 # Formats accepted for telemetry stamps, tried in this order. Days come before months: 01/07/2026 is 1 July.
 STAMP_FORMATS = (
@@ -35,6 +36,12 @@ def clock_seconds(col: Column) -> Column:
     return F.when(col.rlike(_CLOCK_TEXT), part[0] * 3600 + part[1] * 60 + part[2])
 
 
+def plain_clock(col: Column) -> Column:
+    """``H:m:s`` text as ``HH:mm:ss``; null where ``clock_seconds`` is null. Most texts are written so already."""
+    part = [F.lpad(F.btrim(F.split_part(col, F.lit(":"), F.lit(i)), F.lit("\r\n")), 2, "0") for i in (1, 2, 3)]
+    return F.when(col.rlike(_FULL_CLOCK_TEXT), col).when(col.rlike(_CLOCK_TEXT), F.concat_ws(":", *part))
+
+
 def seconds_of_day(df: DataFrame, name: str) -> Column:
     """Seconds since midnight of a TIME, timestamp or ``HH:mm:ss`` text column."""
     col, kind = df[name], df.schema[name].dataType

@@ -30,12 +30,12 @@ def typed_trips(raw: DataFrame, clock_as: str = "time") -> DataFrame:
     require_headers(raw, [f.header for f in TRIP_FIELDS])
     if clock_as == "time":
         ensure_time_type(raw.sparkSession)
-        as_clock = clock.time_of_day
+        as_clock = lambda c: clock.time_of_day(clock.clock_seconds(c))
     else:
-        as_clock = clock.clock_text
+        as_clock = clock.plain_clock
     typed = {
         "day": lambda c: clock.midnight(clock.report_day(c)),
-        "clock": lambda c: as_clock(clock.clock_seconds(c)),
+        "clock": as_clock,
         "whole": numbers.whole_or_zero,
         "real": numbers.real_or_zero,
         "text": lambda c: c.cast("string"),

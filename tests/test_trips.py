@@ -3,7 +3,9 @@ from collections import Counter, defaultdict
 from datetime import datetime, time
 
 import pytest
+from pyspark.sql import functions as F
 
+from cadencia.functions import clock
 from cadencia.operators.schedule import scheduled_gaps
 from cadencia.operators.trips import headways, typed_trips
 from cadencia.plans.jobs import SCHEDULED_GAPS_SQL
@@ -121,3 +123,27 @@ def test_scheduled_gaps(spark, schema):
     for result in (scheduled_gaps(trips), by_sql):
         ours = {(f"{r.FECHA:%d/%m/%Y}", r.RUTA, r.HORA): r.INTERVALO_SEC for r in result.collect()}
         assert ours == expected
+
+
+def test_clock_texts_are_written_in_full_without_arithmetic(spark):
+    texts = ["5:6:7", "05:06:07", "23:59:59", "24:00:00", "-", "", None, "5:6:7\n", "05:06:07\r\n", "1:2", "12:60:00", " 1:2:3"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = df.select("t", clock.plain_clock(F.col("t")).alias("p"), clock.clock_text(clock.clock_seconds(F.col("t"))).alias("s"))
+    assert all(r.p == r.s for r in plain.collect())
+    typed = typed_trips(df.select(*[F.col("t").alias(f.header) for f in TRIP_FIELDS]), clock_as="text")
+    assert "interval" not in typed._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_trips_of_one_row_group_are_read_by_several_tasks(spark, tmp_path):
+    from checks.views import raw_trips
+
+    events = spark.range(0, 40_000).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ'2024-01-08 05:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.0D AS value", "'' AS props")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    rows = raw_trips(spark, str(tmp_path), bad_days=False)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and sum(sizes) == 40_800 and max(sizes) < 11_500
