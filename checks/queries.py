@@ -376,11 +376,8 @@ def trips_job_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = jobs.TripTables(f"{schema}.trips", f"{schema}.headways", f"{schema}.gaps")
     raw = raw_trips(spark, sf_dir, bad_days=False)
     for vehicle in (F.lit("1"), F.col("`Vehiculo real`")):
-        raw.withColumn("Vehiculo real", vehicle).coalesce(1).write.mode("overwrite").csv(
-            f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True, ignoreLeadingWhiteSpace=False
-        )
-        _put_under_one_name(spark, f"{folder}/new", f"{folder}/raw/RV_month.csv")
-        jobs.run_trips(spark, f"{folder}/raw/RV_month.csv", *MONTH, tables, f"{folder}/landed", remove_outliers=False)
+        _write_report(spark, raw.withColumn("Vehiculo real", vehicle), folder, "RV_month")
+        jobs.run_trips(spark, f"{folder}/raw/RV_month*.csv", *MONTH, tables, f"{folder}/landed", remove_outliers=False)
     return spark.table(quoted(tables.trips)).drop(PARTITION_COLUMN)
 
 
@@ -390,11 +387,27 @@ def _put_under_one_name(spark: SparkSession, folder: str, name: str) -> None:
     target = path(name)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     (part,) = [f.getPath() for f in fs.globStatus(path(f"{folder}/part-*.csv"))]
+    _put(fs, part, target)
+
+
+def _put(fs, part, target) -> None:
     fs.mkdirs(target.getParent())
     fs.delete(target, False)
     fs.rename(part, target)
 
 
+def _write_report(spark: SparkSession, raw: DataFrame, folder: str, name: str) -> None:
+    """The report as one file per task, under fixed names in ``raw``, the first one ``<name>.csv``; those of an earlier call are replaced."""
+    new, path = f"{folder}/new-{uuid.uuid4().hex}", spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    raw.write.csv(new, sep=";", encoding="ISO-8859-1", header=True, ignoreLeadingWhiteSpace=False)
+    fs = path(new).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath() for f in fs.globStatus(path(f"{new}/part-*.csv"))), key=lambda p: p.getName())
+    for old in fs.globStatus(path(f"{folder}/raw/{name}_*.csv")) or []:
+        fs.delete(old.getPath(), False)
+    for number, part in enumerate(parts):
+        _put(fs, part, path(f"{folder}/raw/{name}{f'_{number:05d}' if number else ''}.csv"))
+
+
 @query
 def landed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one name in two folders, with a column that has no header: all rows and columns are landed."""
@@ -461,10 +474,7 @@ def processed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_time_type(spark)
     folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
     schema = scratch_schema(spark)
-    raw_trips(spark, sf_dir, bad_days=False).coalesce(1).write.csv(
-        f"{folder}/new", sep=";", encoding="ISO-8859-1", header=True, ignoreLeadingWhiteSpace=False
-    )
-    _put_under_one_name(spark, f"{folder}/new", f"{folder}/raw/RV_sem01.csv")
+    _write_report(spark, raw_trips(spark, sf_dir, bad_days=False), folder, "RV_sem01")
     tables = jobs.TripTables(f"{schema}.trips", f"{schema}.headways", f"{schema}.gaps")
     jobs.run_trips(
         spark, f"{folder}/raw/*.csv", *MONTH, tables, f"{folder}/landed", remove_outliers=False, line_breaks=False,
@@ -535,7 +545,7 @@ def newest_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def guard_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which inputs the guard of the range replace refuses, and how many rows it lets through."""
-    rows = typed(spark, sf_dir, bad_days=False)
+    rows = materialize(typed(spark, sf_dir, bad_days=False), "typed")  # five guards read it
     inside = rows.filter(ranges.in_window(jobs.TRIP_KEY.strict_column(rows), *WEEK))
     cases = {
         "good": inside,
@@ -731,7 +741,8 @@ def can_range_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         day = first + timedelta(days=offset)
         moved = can_rows(spark, sf_dir).withColumn("Fecha", F.replace("Fecha", F.lit("/1995 "), F.lit("/2025 ")))
         rows = moved.filter(F.col("Fecha").startswith(f"{day:%d/%m/%Y}"))
-        rows.coalesce(1).write.csv(f"{folder}/new{offset}", sep=";", encoding="ISO-8859-1", header=True)
+        # One file per day, but the table is not read by one task for it.
+        rows.repartition(1).write.csv(f"{folder}/new{offset}", sep=";", encoding="ISO-8859-1", header=True)
         _put_under_one_name(spark, f"{folder}/new{offset}", f"{folder}/in/{can_file(day)}")
     summary, skipped = jobs.run_can(spark, f"{folder}/in", first, first + timedelta(days=3), f"{folder}/out")
     return summary.withColumn("n_skipped", F.lit(len(skipped)))
