@@ -513,9 +513,10 @@ def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _one_file_per_value(spark: SparkSession, rows: DataFrame, column: str, folder: str, names: dict[str, str], encoding: str) -> list[str]:
-    """CSV reports, one per value of ``column`` (which they do not hold) and all written at once; the paths, in the order of ``names``."""
+    """CSV reports, one per value of ``column`` (which they do not hold) and all written at once; the paths, in the order of ``names``.
+    A value's rows must come from one task."""
     new = f"{folder}/new"
-    rows.repartition(F.col(column)).write.partitionBy(column).csv(new, sep=";", encoding=encoding, header=True, escape='"')
+    rows.write.partitionBy(column).csv(new, sep=";", encoding=encoding, header=True, escape='"')
     for value, name in names.items():
         _put_under_one_name(spark, f"{new}/{column}={value}", f"{folder}/in/{name}")
     return [f"{folder}/in/{name}" for name in names.values()]
@@ -526,7 +527,7 @@ def newest_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events in twelve reports, landed by expected name; the eighth report, the newest, stands for two that are not there."""
     folder = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
     events = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("event_id") % 12).alias("report"))
-    paths = _one_file_per_value(spark, events, "report", folder, {str(n): f"Desinc_{n}.csv" for n in range(12)}, "UTF-8")
+    paths = _one_file_per_value(spark, events.repartition("report"), "report", folder, {str(n): f"Desinc_{n}.csv" for n in range(12)}, "UTF-8")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for number, path in enumerate(paths):
         at = 1_780_000_000_000 + 60_000 * (number if number != 7 else 99)
@@ -755,7 +756,8 @@ def can_range_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = date(2025, 3, 1)
     days = [first + timedelta(days=n) for n in range(31) if n != 20]
     number = F.col("l_orderkey") % 30
-    rows = can_rows(spark, sf_dir).withColumn("day", F.when(number < 20, number).otherwise(number + 1))
+    day = F.when(number < 20, number).otherwise(number + 1)
+    rows = can_rows(spark, sf_dir, day).withColumn("day", day)
     names = {str((d - first).days): can_file(d) for d in days}
     _one_file_per_value(spark, rows, "day", folder, names, "ISO-8859-1")
     summary, skipped = jobs.run_can(spark, f"{folder}/in", first, days[-1], f"{folder}/out", line_breaks=False)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _RAW_TRIPS = """
@@ -102,10 +102,13 @@ from (select l_orderkey, l_linenumber, l_shipdate,
 """
 
 
-def can_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telemetry text from ``lineitem``; (l_orderkey, l_linenumber) is a label, not a key."""
+def can_rows(spark: SparkSession, sf_dir: str, by: Column | None = None) -> DataFrame:
+    """Telemetry text from ``lineitem``; (l_orderkey, l_linenumber) is a label, not a key. Rows of one value of ``by`` come from one
+    task: they are shuffled before the texts are made."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = lineitem if by is None else lineitem.repartition(by)
     sql = _CAN.format(text="string", when="date_format(l_shipdate,'dd/MM/yyyy HH:mm:ss')", lineitem="{lineitem}")
-    return spark.sql(sql.replace('"', "`"), lineitem=table(spark, sf_dir, "lineitem"))
+    return spark.sql(sql.replace('"', "`"), lineitem=lineitem)
 
 
 def can_rows_sql() -> str:

@@ -143,3 +143,17 @@ def test_range_of_days(spark, tmp_path):
     assert len(rows) == volvo.count() == 2
     assert rows[1]["T (°C)"] == 30 and rows[1]["RPM (rpm)"] == 9 and rows[3]["T"] == "alta"
     assert rows[1]["Hora"] == "05:00:00" and "Marca" not in rows[1]
+
+
+def test_rows_are_dealt_out_before_their_texts_are_made(spark, tmp_path):
+    from checks.views import can_rows
+
+    spark.range(500).selectExpr(
+        "id AS l_orderkey", "CAST(id % 7 + 1 AS int) AS l_linenumber", "id % 11 AS l_suppkey", "2.0D AS l_quantity", "0.05D AS l_discount",
+        "TIMESTAMP_NTZ'1995-03-01 00:00:00' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = can_rows(spark, str(tmp_path), F.col("l_orderkey") % 30)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert any("Velocidad" in line for line in plan[:at]) and not any("Velocidad" in line for line in plan[at:])
+    per_task = rows.select((F.col("l_orderkey") % 30).alias("d"), F.spark_partition_id().alias("t")).distinct()
+    assert per_task.groupBy("d").count().filter("count > 1").isEmpty()
