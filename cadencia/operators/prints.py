@@ -21,14 +21,22 @@ COUNT = "n_rows"
 PRINTS = tuple(f"print{seed}_{piece}" for seed in _SEEDS for piece in range(_PIECES))
 
 
-def _plain(field: T.StructField) -> Column:
+def _plain(field: T.StructField) -> list[Column]:
     """The column as something that hashes alike only where the values are the same: -0.0 is not 0.0, and any type has a hash."""
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        return col.cast("string")
+        return [col, F.when(col == 0, col.cast("string"))]  # only zeros need their text
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(F.struct(col), {"ignoreNullFields": "false"})
-    return col
+        return [F.to_json(F.struct(col), {"ignoreNullFields": "false"})]
+    return [col]
+
+
+def row_prints(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of the row, one per seed, over ``columns`` in order of their names."""
+    fields = [df.schema[c] for c in sorted(columns)]
+    # A null leaves a hash as it is; the row of which columns are null tells (null, 'a') from ('a', null).
+    nulls = F.concat(F.lit(""), *[F.when(F.col(f"`{f.name}`").isNull(), "n").otherwise("v") for f in fields])
+    return [F.xxhash64(F.lit(seed), nulls, *[p for f in fields for p in _plain(f)]) for seed in _SEEDS]
 
 
 def fingerprint(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -36,13 +44,8 @@ def fingerprint(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None
 
     The columns are taken in order of their names, so frames whose columns stand in another order agree.
     """
-    fields = [df.schema[c] for c in sorted(df.columns if columns is None else columns)]
-    # A null leaves a hash as it is; the row of which columns are null tells (null, 'a') from ('a', null).
-    nulls = F.concat(F.lit(""), *[F.when(F.col(f"`{f.name}`").isNull(), "n").otherwise("v") for f in fields])
-    hashed = df.select(
-        *[F.col(f"`{c}`") for c in by],
-        *[F.xxhash64(F.lit(seed), nulls, *[_plain(f) for f in fields]).alias(f"_h{seed}") for seed in _SEEDS],
-    )
+    hashes = row_prints(df, df.columns if columns is None else columns)
+    hashed = df.select(*[F.col(f"`{c}`") for c in by], *[h.alias(f"_h{seed}") for seed, h in zip(_SEEDS, hashes)])
     mask = (1 << _PIECE_BITS) - 1
     sums = [
         F.sum(F.shiftrightunsigned(f"_h{seed}", piece * _PIECE_BITS).bitwiseAND(F.lit(mask))).alias(f"print{seed}_{piece}")
