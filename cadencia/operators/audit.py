@@ -85,24 +85,51 @@ class Narrowed(NamedTuple):
     differing_parts: int
 
 
+def _narrow(left: DataFrame, right: DataFrame, column: str | None) -> tuple[Narrowed, int, int]:
+    """The narrowed sides, and the number of rows of both whole ones."""
+
+    def parted(df: DataFrame) -> DataFrame:
+        bucket = F.pmod(row_prints(df, df.columns)[0], F.lit(_BUCKETS))
+        return df.withColumn(_PART, F.col(f"`{column}`").cast("date") if column else bucket)
+
+    sides = [parted(df) for df in (left, right)]
+    prints = [fingerprint(df, [_PART], left.columns) for df in sides]
+    parts = materialize(compare_groups(*prints, [_PART]), "audit-parts")
+    total = parts.agg(
+        F.sum(F.when(F.col("same"), F.col("left_rows")).otherwise(0)), F.count("*"), F.count_if(~F.col("same")),
+        F.sum("left_rows"), F.sum("right_rows"),
+    ).first()
+    names = [f"`{c}`" for c in left.columns]
+    if total[1] == total[2]:  # nothing is left out, so no row needs its part again
+        kept = [df.select(*names) for df in (left, right)]
+    else:
+        differing = parts.filter("NOT same").select(F.col(_PART).alias("_differing"))
+        kept = [df.join(differing, df[_PART].eqNullSafe(differing["_differing"]), "left_semi").select(*names) for df in sides]
+    return Narrowed(*kept, total[0] or 0, total[1], total[2]), total[3] or 0, total[4] or 0
+
+
 def narrowed(left: DataFrame, right: DataFrame, column: str | None = None) -> Narrowed:
     """Both sides without the days of ``column`` (without one: hash buckets) that hold equal multisets of rows. An action.
 
     Each side is scanned once; a task sends one fingerprint per part. Equal rows lie in one part, so what the parts that
     are left have more of is what the tables have more of. Rows without a date are a part.
     """
+    return _narrow(left, right, column)[0]
 
-    def parted(df: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in sorted(df.columns)]), F.lit(_BUCKETS))
-        return df.withColumn(_PART, F.col(f"`{column}`").cast("date") if column else bucket)
 
-    sides = [parted(df) for df in (left, right)]
-    prints = [fingerprint(df, [_PART], left.columns) for df in sides]
-    parts = materialize(compare_groups(*prints, [_PART]), "audit-parts")
-    total = parts.agg(F.sum(F.when(F.col("same"), F.col("left_rows")).otherwise(0)), F.count("*"), F.count_if(~F.col("same"))).first()
-    differing = parts.filter("NOT same").select(F.col(_PART).alias("_differing"))
-    kept = [df.join(differing, df[_PART].eqNullSafe(differing["_differing"]), "left_semi").select(*[f"`{c}`" for c in left.columns]) for df in sides]
-    return Narrowed(*kept, total[0] or 0, total[1], total[2])
+def narrowed_report(left: DataFrame, right: DataFrame, column: str | None = None) -> tuple[dict[str, int], DataFrame | None]:
+    """The summary of the two tables and all discrepancies, written (None: no part differs). An action.
+
+    A row that is not in the report has as many copies on either side, so the report and the numbers of rows give the summary.
+    """
+    found, left_rows, right_rows = _narrow(left, right, column)
+    rows, only_left, only_right = None, 0, 0
+    if found.differing_parts:
+        rows = materialize(discrepancies(found.left, found.right), "audit-rows")
+        counted = multiset_summary(*[rows.filter(F.col("side") == side).drop("side") for side in (LEFT, RIGHT)]).first()
+        only_left, only_right = counted["only_left_rows"], counted["only_right_rows"]
+    summary = {"matched_rows": left_rows - only_left, "only_left_rows": only_left, "only_right_rows": only_right, "left_total": left_rows, "right_total": right_rows}
+    return summary, rows
 
 
 def narrowed_summary(parts: Narrowed) -> dict[str, int]:

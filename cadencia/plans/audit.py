@@ -8,10 +8,9 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadencia.operators.audit import compare_schemas, discrepancies, narrowed, narrowed_summary
+from cadencia.operators.audit import compare_schemas, narrowed, narrowed_report, narrowed_summary
 from cadencia.operators.ranges import date_filter
 from cadencia.plans.store import quoted
-from cadencia.session import materialize
 from cadencia.sources.sinks import dump_discrepancies
 
 IDENTICAL, DIFFERENT, FAULT = 0, 1, 2
@@ -54,14 +53,13 @@ def audit_frames(
     if not verdict.same:
         return Report(name, FAULT, verdict.messages, {})
     left, right = compare_frames(left, right, cutoff, until)
-    parts = narrowed(left, right, next((c for c in left.columns if c.upper() == "FECHA"), None))
-    summary = narrowed_summary(parts)
+    day = next((c for c in left.columns if c.upper() == "FECHA"), None)
+    summary, rows = narrowed_report(left, right, day) if out_dir else (narrowed_summary(narrowed(left, right, day)), None)
     if not summary["only_left_rows"] + summary["only_right_rows"]:
         return Report(name, IDENTICAL, verdict.messages, summary)
     dump, messages = None, [*verdict.messages]
-    if out_dir:
+    if rows is not None:
         dump = f"{out_dir.rstrip('/')}/discrepancies_{name}"
-        rows = materialize(discrepancies(parts.left, parts.right), "audit-rows")
         found = rows.count()
         if dump_limit is not None and found > dump_limit:
             rows = rows.orderBy(*[f"`{c}`" for c in rows.columns if c != "side"], "side").limit(dump_limit)
