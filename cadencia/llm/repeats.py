@@ -96,27 +96,52 @@ def _ranges(marked: np.ndarray, start: int, length: int) -> list[tuple[int, int]
     return [(start + int(a), start + int(b) - 1 + length) for a, b in zip(edge[::2], edge[1::2])]
 
 
+def shared_windows(anchors: list[int], texts: list[bytes], length: int) -> list[np.ndarray]:
+    """For each segment: which of its windows may occur in another segment of its anchor or twice in itself, by their hash."""
+    joined = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts])
+    begins = np.cumsum(sizes) - sizes
+    hashes = np.concatenate([gram_hashes(joined[at : at + BLOCK], length) for at in range(0, len(joined) - length + 1, BLOCK - length + 1)])
+    # Windows that begin in one segment and end in the next are none.
+    counts = sizes - length + 1
+    inside = np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    keys = hashes[inside] ^ np.repeat(np.array(anchors, np.int64).view(np.uint64) * np.uint64(_ODD), counts)
+    order = np.argsort(keys)
+    same = keys[order[1:]] == keys[order[:-1]]
+    shared = np.zeros(len(keys), bool)
+    shared[order[1:][same]] = shared[order[:-1][same]] = True
+    return np.split(shared, np.cumsum(counts)[:-1])
+
+
 def repeated_windows(anchors: list[int], texts: list[bytes], again: list[bool], length: int) -> list[np.ndarray]:
     """For segments in corpus order: which of their windows occur earlier in a segment of the same anchor, or in the same one.
 
-    One run-length index holds all segments; symbols carry the number of their anchor, so matches stay among segments of
+    What lies outside a segment's first and last window whose hash occurs twice cannot match and is left out. One run-length
+    index holds the rest of all segments; symbols carry the number of their anchor, so matches stay among segments of
     one. Segments are streamed through it, except those that are the first of their anchor and cannot repeat
     themselves. A window with a long enough match is marked if the earliest place of that match lies before it.
     """
     marks = [np.zeros(len(t) - length + 1, bool) for t in texts]
+    kept, ends = [], []
+    for i, shared in enumerate(shared_windows(anchors, texts, length) if texts else ()):
+        found = np.flatnonzero(shared)
+        if len(found):
+            kept.append((i, int(found[0])))
+            ends.append(int(found[-1]) + length)
     number: dict[int, int] = {}
-    streamed, coloured = [], []
-    for i, (anchor, text) in enumerate(zip(anchors, texts)):
-        if anchor in number or again[i]:
-            streamed.append(i)
-        colour = number.setdefault(anchor, len(number))
-        coloured.append(np.frombuffer(text, np.uint8).astype(np.int64) + 256 * colour)
+    streamed, coloured, begins, at = [], [], [], 0
+    for j, ((i, low), high) in enumerate(zip(kept, ends)):
+        if anchors[i] in number or again[i]:
+            streamed.append(j)
+        colour = number.setdefault(anchors[i], len(number))
+        coloured.append(np.frombuffer(texts[i], np.uint8)[low:high].astype(np.int64) + 256 * colour)
+        begins.append(at)
+        at += high - low + 1
     if streamed:
         index = RunIndex(coloured, length)
-        begins = np.cumsum([0, *[len(t) + 1 for t in texts]]).tolist()
-        for i, (lengths, where) in zip(streamed, index.matching_statistics([coloured[i] for i in streamed], length)):
-            n = len(marks[i])
-            marks[i] = (lengths[:n] >= length) & (index.first[where[:n]] < begins[i] + np.arange(n))
+        for j, (lengths, where) in zip(streamed, index.matching_statistics([coloured[j] for j in streamed], length)):
+            (i, low), n = kept[j], len(coloured[j]) - length + 1
+            marks[i][low : low + n] = (lengths[:n] >= length) & (index.first[where[:n]] < begins[j] + np.arange(n))
     return marks
 
 
