@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Upper bound of a filter: 2^28 bits are 32 MB. More hashes than it can tell apart cost shuffle, not results.
 MAX_BITS = 1 << 28
@@ -92,9 +93,18 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def twice_filter(hashes: DataFrame, bits: int) -> np.ndarray:
     """The ``twice`` filter over the only column (a 64-bit hash) of ``hashes``."""
+    return _filter(hashes, bits, "twice")
+
+
+def seen_filter(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The ``once`` filter: what ``hashes`` holds, however often."""
+    return _filter(hashes, bits, "once")
+
+
+def _filter(hashes: DataFrame, bits: int, which: str) -> np.ndarray:
     filled = hashes.mapInArrow(_fill(bits), _SCHEMA)
-    merged = filled.repartition(SEGMENTS, "segment").mapInArrow(_merge, _SCHEMA).select("segment", "twice")
+    merged = filled.repartition(SEGMENTS, "segment").mapInArrow(_merge, _SCHEMA).select("segment", F.col(which).alias("bits"))
     out = np.zeros((SEGMENTS, bits // 8 // SEGMENTS), np.uint8)
     for row in merged.collect():  # at most SEGMENTS rows, bits / 8 bytes in all
-        out[row.segment] = np.frombuffer(zlib.decompress(row.twice), np.uint8)
+        out[row.segment] = np.frombuffer(zlib.decompress(row.bits), np.uint8)
     return out.reshape(-1)

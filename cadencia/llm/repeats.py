@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,14 @@ from cadencia.session import materialize
 GRAM = 24
 #: A segment has at most so many windows; a text is hashed in blocks of so many bytes.
 SEGMENT_WINDOWS = 512
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 #: Bytes of segments indexed together, and of one anchor's segments beyond which its windows are compared by shuffle.
 BUCKET_BYTES = 1 << 19
 ANCHOR_BYTES = 1 << 20
 
+#: A segment has so many keys; two segments of an anchor that share a window share a key.
+KEYS = 3
+
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -39,19 +42,32 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWER, _BACK = _powers(_ODD, BLOCK + 4096), _powers(_INVERSE, BLOCK + 4096)
 
 
-def gram_hashes(data: np.ndarray, k: int = GRAM) -> np.ndarray:
-    """64-bit hash of every k bytes in a row: differences of prefix sums of byte * odd^position, shifted back to position 0, mixed."""
-    n = len(data)
+def _prefix_sums(data: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(data) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWER[: len(data)], out=sums[1:])
+    return sums
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWER[:n], out=sums[1:])
-        h = (sums[k:] - sums[: n - k + 1]) * _BACK[: n - k + 1]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
     return h
 
 
+def _grams(sums: np.ndarray, k: int) -> np.ndarray:
+    n = max(0, len(sums) - k)
+    with np.errstate(over="ignore"):
+        return _mixed((sums[k:] - sums[:n]) * _BACK[:n])
+
+
+def gram_hashes(data: np.ndarray, k: int = GRAM) -> np.ndarray:
+    """64-bit hash of every k bytes in a row: differences of prefix sums of byte * odd^position, shifted back to position 0, mixed."""
+    return _grams(_prefix_sums(data), k)
+
+
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     have = 1
     while have < width:
@@ -61,30 +77,98 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def segments(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, start, n_bytes, again) of the text's segments.
+class Segments:
+    """Segments of pieces of texts that lie one after the other in ``data``, piece i from ``begins[i]`` on.
 
     Every window of ``length`` bytes has an anchor, the smallest hash of its k-grams, which equal windows share. A segment is a
     run of windows with one anchor; each window lies in exactly one. ``again``: the anchor's gram may occur in it more than
     once, without which no window of it can repeat inside it.
     """
-    data = np.frombuffer(text, np.uint8)
-    parts = []
-    for at in range(0, len(data) - length + 1, BLOCK - length + 1):
-        h = gram_hashes(data[at : at + BLOCK])
+
+    def __init__(self, data: np.ndarray, begins: np.ndarray, length: int):
+        self.length, self.sums = length, _prefix_sums(data)
+        h = _grams(self.sums, GRAM)
         low = sliding_minimum(h, length - GRAM + 1)
-        first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
-        if len(low) > SEGMENT_WINDOWS:
-            first = np.union1d(first, np.arange(0, len(low), SEGMENT_WINDOWS))
+        inside = np.ones(len(low), bool)
+        change = np.concatenate(([True], low[1:] != low[:-1]))
+        # Windows that begin in one piece and end in the next are none.
+        crossing = (begins[1:, None] - np.arange(1, length)).ravel()
+        inside[crossing], low[crossing] = False, 0
+        change[begins] = change[begins[1:] - length + 1] = True
+        first = np.flatnonzero(change)
         last = np.append(first[1:], len(low)) - 1
-        anchor = low[first]
-        # Grams that are some window's anchor; of those that return soon, the segments are looked into.
+        first, last = first[inside[first]], last[inside[first]]
+        parts = -(-(last - first + 1) // SEGMENT_WINDOWS)
+        if parts.max() > 1:
+            run = np.repeat(np.arange(len(parts)), parts)
+            first = first[run] + SEGMENT_WINDOWS * (np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts))
+            last = np.minimum(last[run], first + SEGMENT_WINDOWS - 1)
+        self.first, self.last, self.anchor = first, last, low[first]
+        self.piece = np.searchsorted(begins, first, side="right") - 1
+        # Grams that are some window's anchor, by hash; of those that return soon, the segments are looked into.
         pad = np.zeros(length - GRAM, np.uint64)
         places = np.flatnonzero(h == ~sliding_minimum(~np.concatenate((pad, low, pad)), length - GRAM + 1))
-        places = places[np.argsort(h[places], kind="stable")]
-        soon = (h[places[1:]] == h[places[:-1]]) & (np.diff(places) <= SEGMENT_WINDOWS + length)
-        again = np.isin(anchor, h[places[1:][soon]]) if soon.any() else np.zeros(len(first), bool)
-        parts.append((anchor, first + at, last - first + length, again))
+        self.places = places[np.argsort(h[places], kind="stable")]
+        hashes = h[self.places]
+        equal = hashes[1:] == hashes[:-1]
+        number = np.concatenate(([0], np.cumsum(~equal)))
+        self.number = number[np.searchsorted(hashes, self.anchor)]
+        self.ordered = number * len(data) + self.places
+        of = number * len(begins) + np.searchsorted(begins, self.places, side="right") - 1
+        soon = (of[1:] == of[:-1]) & (np.diff(self.places) <= SEGMENT_WINDOWS + length)
+        self.again = np.isin(self.number * len(begins) + self.piece, of[1:][soon]) if soon.any() else np.zeros(len(first), bool)
+
+    def keys(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``which``, key): hashes of the anchor's gram with so many bytes to its left and so many to its right.
+
+        A window that two segments share has x bytes left of the gram and ``length - GRAM - x`` to the right. The numbers of
+        left bytes are dealt into ranges; the key of x's range holds as many bytes on either side as any window of the range.
+        """
+        span, size = self.length - GRAM, len(self.sums) - 1
+        first, last, number = self.first[which], self.last[which], self.number[which]
+        begin = np.searchsorted(self.ordered, number * size + first)
+        count = np.searchsorted(self.ordered, number * size + last + span, side="right") - begin
+        segment = np.repeat(np.arange(len(which)), count)
+        place = self.places[np.arange(len(segment)) + np.repeat(begin - (np.cumsum(count) - count), count)]
+        lefts, rights = place - first[segment], last[segment] + span - place
+        cuts = [(span + 1) * i // KEYS for i in range(KEYS + 1)]
+        owner, found = [], []
+        for i, (left, end) in enumerate(zip(cuts, cuts[1:])):
+            right = span + 1 - end
+            own = np.flatnonzero((lefts >= left) & (rights >= right))
+            at, k = place[own] - left, left + GRAM + right
+            with np.errstate(over="ignore"):
+                found.append(_mixed((self.sums[at + k] - self.sums[at]) * _BACK[at] + np.uint64(i)))
+            owner.append(segment[own])
+        return np.concatenate(owner), np.concatenate(found)
+
+
+def cut_up(texts: list[bytes | None], length: int) -> Iterator[tuple[Segments, np.ndarray, np.ndarray]]:
+    """Segments of texts, in blocks, with the number of each one's text and its start in it."""
+    joined, begins, rows, offsets, size = [], [], [], [], 0
+    for row, text in enumerate(texts):
+        for at in range(0, len(text or b"") - length + 1, BLOCK - length + 1):
+            piece = text[at : at + BLOCK]  # type: ignore[index]
+            if size + len(piece) > BLOCK:
+                yield _block(joined, begins, rows, offsets, length)
+                joined, begins, rows, offsets, size = [], [], [], [], 0
+            joined.append(piece)
+            begins.append(size)
+            rows.append(row)
+            offsets.append(at - size)
+            size += len(piece)
+    if joined:
+        yield _block(joined, begins, rows, offsets, length)
+
+
+def _block(joined: list[bytes], begins: list[int], rows: list[int], offsets: list[int], length: int) -> tuple[Segments, np.ndarray, np.ndarray]:
+    found = Segments(np.frombuffer(b"".join(joined), np.uint8), np.array(begins), length)
+    return found, np.array(rows)[found.piece], found.first + np.array(offsets)[found.piece]
+
+
+def segments(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, start, n_bytes, again) of the text's segments."""
+    parts = [(s.anchor, start, s.last - s.first + length, s.again) for s, _, start in cut_up([text], length)]
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
@@ -157,12 +241,14 @@ def remove_repeats(
     only an id are ordered by a hash of the text. Null ids come first. An empty table gives an empty result. Other
     columns are not read.
 
-    1. Texts are cut into segments by anchors that equal windows share, and Bloom filters find anchors seen twice.
-    2. Only those segments are shuffled, as digests. Equal segments: all but the first are removed whole.
-    3. Different segments of one anchor, first copies only, go to buckets; run-length indexes mark their windows.
+    1. Of equal texts all but the first are removed whole; a Bloom filter lets only the first on, and seldom another, which does no harm.
+    2. Texts are cut into segments by anchors that equal windows share. Bloom filters find anchors seen twice, then among their
+       segments longer strings around the anchor seen twice, one of which segments that share a window share.
+    3. Only those segments are shuffled, as digests. Equal segments: all but the first are removed whole.
+    4. Different segments of one anchor, first copies only, go to buckets; run-length indexes mark their windows.
        An anchor with very many different segments is not sent to one task: its windows are digested and the first
        of each found by a combined aggregation.
-    4. Each document gets its list of ranges and is cut.
+    5. Each document gets its list of ranges and is cut. Texts are shuffled only if a Bloom filter may know their hash.
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
@@ -170,36 +256,64 @@ def remove_repeats(
     bounded_batches(spark)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     source = source.withColumn("tk", F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length("text")))
+    source = source.withColumn("dk", F.xxhash64("doc_id", "tk"))
     id_field = source.schema["doc_id"]
 
+    whole = materialize(
+        source.filter(F.octet_length("text") >= length).select("doc_id", "tk", "dk", F.unhex(F.md5("text")).alias("m"), F.octet_length("text").cast("long").alias("n")),
+        "repeat-texts",
+    )
+    first_texts = materialize(
+        whole.groupBy("tk", "m").agg(F.min(F.struct("doc_id", "dk")).alias("first"), F.count(F.lit(1)).alias("copies")), "repeat-first-texts",
+    )
+    n_bytes, n_texts = whole.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    firsts_known = spark.sparkContext.broadcast(bloom.seen_filter(first_texts.select("first.dk"), bloom.bits_for(n_texts, max_bits)))
+    copied = whole.join(first_texts.filter("copies > 1"), ["tk", "m"]).filter(~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).select(
+        "doc_id", "tk", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"),
+    )
+
+    def first_only(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(bloom.contains(firsts_known.value, batch.column("dk").to_numpy(zero_copy_only=False).view(np.uint64))))
+
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [segments(t, length)[0] for t in as_bytes(batch.column(0)) if t and len(t) >= length]
-            if found:
+            for found, _, _ in cut_up(as_bytes(first_only(batch).column("text")), length):
                 # Twice for a text that repeats its anchor: both segments count.
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h"])
+                yield pa.RecordBatch.from_arrays([pa.array(found.anchor.view(np.int64))], names=["h"])
 
-    n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     expected = n_bytes * 2 // (length - GRAM + 2)
-    twice = spark.sparkContext.broadcast(bloom.twice_filter(source.select("text").mapInArrow(anchors, "h long"), bloom.bits_for(expected, max_bits)))
+    twice = spark.sparkContext.broadcast(bloom.twice_filter(source.select("text", "dk").mapInArrow(anchors, "h long"), bloom.bits_for(expected, max_bits)))
 
-    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def suspect_segments(texts: list[bytes | None]) -> Iterator[tuple]:
+        for found, row, start in cut_up(texts, length):
+            taken = np.flatnonzero(bloom.contains(twice.value, found.anchor) | found.again)
+            if len(taken):
+                yield found, row, start, taken, *found.keys(taken)
+
+    def suspect_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, parts = [], []
-            for r, text in enumerate(as_bytes(batch.column(1))):
-                if not text or len(text) < length:
-                    continue
-                h, start, size, again = segments(text, length)
-                taken = np.flatnonzero(bloom.contains(twice.value, h) | again)
-                if len(taken):
-                    g = np.array([xxhash.xxh3_64_intdigest(text[a : a + n]) for a, n in zip(start[taken].tolist(), size[taken].tolist())], np.uint64)
-                    rows.append(np.full(len(taken), r))
-                    parts.append((h[taken], g, start[taken], size[taken], again[taken]))
-            if parts:
-                h, g, start, size, again = (np.concatenate(x) for x in zip(*parts))
-                index = pa.array(np.concatenate(rows))
+            for *_, keys in suspect_segments(as_bytes(first_only(batch).column("text"))):
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["h"])
+
+    keys_twice = spark.sparkContext.broadcast(
+        bloom.twice_filter(source.select("text", "dk").mapInArrow(suspect_keys, "h long"), bloom.bits_for(expected * KEYS, max_bits))
+    )
+
+    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in map(first_only, batches):
+            texts = as_bytes(batch.column("text"))
+            for found, row, start, taken, owner, keys in suspect_segments(texts):
+                shared = found.again[taken]
+                shared[owner[bloom.contains(keys_twice.value, keys)]] = True
+                taken = taken[shared]
+                row, start, size = row[taken], start[taken], found.last[taken] - found.first[taken] + length
+                g = np.array([xxhash.xxh3_64_intdigest(texts[r][a : a + n]) for r, a, n in zip(row.tolist(), start.tolist(), size.tolist())], np.uint64)
+                index = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(index), batch.column(2).take(index), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(start), pa.array(size), pa.array(again)],
+                    [
+                        batch.column("doc_id").take(index), batch.column("tk").take(index), pa.array(found.anchor[taken].view(np.int64)), pa.array(g.view(np.int64)),
+                        pa.array(start), pa.array(size), pa.array(found.again[taken]),
+                    ],
                     names=["doc_id", "tk", "h", "g", "start", "size", "again"],
                 )
 
@@ -222,28 +336,45 @@ def remove_repeats(
     sums = wanted.agg(
         F.sum(F.when(F.col("bytes") <= anchor_bytes, F.col("bytes"))).alias("narrow"), F.count_if(F.col("bytes") > anchor_bytes).alias("wide"),
     ).first()
-    lists = to_read.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("h", "start", "size", "again", "wide")).alias("s")).select(
-        F.col("doc_id").alias("d"), F.col("tk").alias("t"), "s",
+    lists = materialize(
+        to_read.groupBy("doc_id", "tk", "wide").agg(F.collect_list(F.struct("h", "start", "size", "again")).alias("s")).select(
+            F.col("doc_id").alias("d"), F.col("tk").alias("t"), "wide", "s",
+        ),
+        "repeat-lists",
     )
 
+    def among(rows: DataFrame) -> Column:
+        """Whether a row of the source may be one of ``rows``, so that only texts that are needed are shuffled."""
+        known = spark.sparkContext.broadcast(bloom.seen_filter(rows.select("t"), bloom.bits_for(n_texts, max_bits)))
+
+        @F.arrow_udf("boolean")
+        def look_up(tk: pa.Array) -> pa.Array:
+            return pa.array(bloom.contains(known.value, tk.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+        return look_up("tk")
+
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, values = [], []
             for r, (text, listed) in enumerate(zip(as_bytes(batch.column(1)), batch.column(3).to_pylist())):
                 for s in listed:
                     rows.append(r)
-                    values.append((s["h"], s["start"], text[s["start"] : s["start"] + s["size"]], s["again"], s["wide"]))
+                    values.append((s["h"], s["start"], text[s["start"] : s["start"] + s["size"]], s["again"]))
             index = pa.array(rows, pa.int64())
-            h, start, piece, again, wide = zip(*values) if values else ((),) * 5
+            h, start, piece, again = zip(*values) if values else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(index), batch.column(2).take(index), pa.array(h, pa.int64()), pa.array(start, pa.int64()), pa.array(piece, pa.binary()), pa.array(again, pa.bool_()), pa.array(wide, pa.bool_())],
-                names=["doc_id", "tk", "h", "start", "piece", "again", "wide"],
+                [batch.column(0).take(index), batch.column(2).take(index), pa.array(h, pa.int64()), pa.array(start, pa.int64()), pa.array(piece, pa.binary()), pa.array(again, pa.bool_())],
+                names=["doc_id", "tk", "h", "start", "piece", "again"],
             )
 
-    piece_fields = [id_field, *[T.StructField(n, T.LongType()) for n in ("tk", "h", "start")], T.StructField("piece", T.BinaryType()), T.StructField("again", T.BooleanType()), T.StructField("wide", T.BooleanType())]
-    # Rows that repeat an id and a text are one document here.
-    read = source.join(lists, source["doc_id"].eqNullSafe(F.col("d")) & (source["tk"] == F.col("t"))).select("doc_id", "text", "tk", "s")
-    cut_out = read.mapInArrow(pieces, T.StructType(piece_fields))
+    piece_fields = [id_field, *[T.StructField(n, T.LongType()) for n in ("tk", "h", "start")], T.StructField("piece", T.BinaryType()), T.StructField("again", T.BooleanType())]
+
+    def cut_out(listed: DataFrame) -> DataFrame:
+        # Rows that repeat an id and a text are one document here.
+        read = source.filter(among(listed)).join(listed, source["doc_id"].eqNullSafe(F.col("d")) & (source["tk"] == F.col("t")))
+        return read.select("doc_id", "text", "tk", "s").mapInArrow(pieces, T.StructType(piece_fields))
+
     buckets = max(1, -(-(sums.narrow or 0) // bucket_bytes))
 
     def index_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +415,7 @@ def remove_repeats(
 
     range_schema = T.StructType([id_field, *[T.StructField(n, T.LongType()) for n in ("tk", "start", "end")]])
     bucketed = (
-        cut_out.filter("not wide").withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
+        cut_out(lists.filter("not wide")).withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
         .repartition("bucket").sortWithinPartitions("bucket", "h", "doc_id", "tk", "start")
     )
     indexed = bucketed.mapInArrow(index_buckets, range_schema)
@@ -299,15 +430,15 @@ def remove_repeats(
                     names=["doc_id", "tk", "start", "w"],
                 )
 
-    spread = cut_out.filter("wide").mapInArrow(windows, T.StructType([id_field, T.StructField("tk", T.LongType()), T.StructField("start", T.LongType()), T.StructField("w", T.BinaryType())]))
     if sums.wide:
-        spread = materialize(spread, "repeat-windows")
+        window_schema = T.StructType([id_field, *[T.StructField(n, T.LongType()) for n in ("tk", "start")], T.StructField("w", T.BinaryType())])
+        spread = materialize(cut_out(lists.filter("wide")).mapInArrow(windows, window_schema), "repeat-windows")
         earliest = materialize(spread.groupBy("w").agg(F.min(F.struct("doc_id", "tk", "start")).alias("first")), "repeat-earliest")
         later = spread.join(earliest, "w").filter(~is_first).select("doc_id", "tk", "start", (F.col("start") + length).alias("end"))
         indexed = indexed.unionByName(later)
 
     ranges = (
-        copies.unionByName(indexed).groupBy("doc_id", "tk").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("r"))
+        copied.unionByName(copies).unionByName(indexed).groupBy("doc_id", "tk").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("r"))
         .select(F.col("doc_id").alias("d"), F.col("tk").alias("t"), F.col("r.start").alias("begins"), F.col("r.end").alias("ends"))
     )
     ranges = materialize(ranges, "repeat-ranges")
@@ -335,7 +466,11 @@ def remove_repeats(
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(out, kinds)]], names=["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"],
             )
 
-    joined = source.join(ranges, source["doc_id"].eqNullSafe(F.col("d")) & (source["tk"] == F.col("t")), "left").select("doc_id", "text", "begins", "ends")
+    has_ranges = among(ranges)
+    joined = (
+        source.filter(has_ranges).join(ranges, source["doc_id"].eqNullSafe(F.col("d")) & (source["tk"] == F.col("t")), "left").select("doc_id", "text", "begins", "ends")
+        .unionByName(source.filter(~has_ranges).select("doc_id", "text"), allowMissingColumns=True)
+    )
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     return joined.mapInArrow(cut, T.StructType([
         id_field, T.StructField("text", T.BinaryType()), *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")],
